@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from corpusqa.fixed_values import HTML_SECTION_TAGS
 from corpusqa.functions.text import col, py_strip
 
-# Parts of a page that are not text. An unclosed one runs to the end.
-HIDDEN = (
-    r"(?is)<!--.*?(?:-->|\z)"
-    r"|<(?:script|style|template|noscript|head)\b[^>]*>.*?"
-    r"(?:</(?:script|style|template|noscript|head)\s*>|\z)"
+# Parts of a page that are not text. An unclosed one runs to the end; an
+# unclosed head ends where the body starts.
+HIDDEN = "(?is)" + "|".join(
+    [r"<!--.*?(?:-->|\z)", r"<head\b[^>]*>.*?(?:</head\s*>|(?=<body\b)|\z)"]
+    + [
+        rf"<{tag}\b[^>]*>.*?(?:</{tag}\s*>|\z)"
+        for tag in ("script", "style", "template", "noscript")
+    ]
 )
 # Tags that end a block of text.
 BLOCK_TAG = (
