@@ -210,6 +210,7 @@ def code_chunks(
 # -- header splitting -------------------------------------------------------------
 
 _MD_HEADER = r"[ \t]*#{1,3}(?:[ \t][^\n]*+)?+(?:\n|\z)"
+_MD_HEAD = rf"\A{_MD_HEADER}"
 _MD_FENCE = "".join(
     [
         r"(?:[ \t]*```[^`\n]*+\n(?:(?![ \t]*```)[^\n]*+\n)*+[^\n]*+(?:\n|\z)",
@@ -233,27 +234,27 @@ def markdown_sections(
     longer sections recursively.
     """
     sections = F.regexp_extract_all(fold_newlines("text"), F.lit(_MD_SECTION), F.lit(0))
-    found = documents.select(
-        "path", *keep, F.posexplode(F.filter(sections, lambda s: s != "")).alias("_at", "_section")
+
+    def parts(section: Column) -> Column:
+        head = F.regexp_extract(section, _MD_HEAD, 0)
+        body = F.substring(section, F.length(head) + 1, F.lit(2**31 - 1))
+        return F.struct(
+            F.when(head != "", py_strip(head)).alias("header"), py_strip(body).alias("chunk")
+        )
+
+    filled = F.filter(F.transform(sections, parts), lambda s: s["chunk"] != "")
+    found = documents.select("path", *keep, F.posexplode(filled).alias("chunk_id", "_s"))
+    return _resized(
+        found.select("path", *keep, "chunk_id", "_s.header", "_s.chunk"), [*keep, "header"], max_size
     )
-    head = F.regexp_extract("_section", rf"\A({_MD_HEADER})", 1)
-    named = found.select(
-        "path",
-        *keep,
-        F.when(head != "", py_strip(head)).alias("header"),
-        py_strip(F.substring("_section", F.length(head) + 1, F.lit(2**31 - 1))).alias("chunk"),
-        F.col("_at").alias("chunk_id"),
-    ).filter(F.col("chunk") != "")
-    return _resized(named, [*keep, "header"], max_size)
 
 
 def html_header_sections(
     documents: DataFrame, keep: Sequence[str] = (), max_size: int | None = None
 ) -> DataFrame:
     """Raw HTML (column ``text``): one chunk of plain text per heading or section tag."""
-    found = documents.select("path", *keep, F.posexplode(html_sections("text")).alias("chunk_id", "_raw"))
-    chunks = found.select("path", *keep, "chunk_id", html_text("_raw").alias("chunk"))
-    return _resized(chunks.filter(F.col("chunk") != ""), list(keep), max_size)
+    chunks = F.transform(html_sections("text"), html_text)
+    return _resized(_exploded(documents, chunks, keep), list(keep), max_size)
 
 
 def _resized(chunks: DataFrame, keep: list[str], max_size: int | None) -> DataFrame:
@@ -293,12 +294,11 @@ def split_documents(
     pieces = _recursive_pieces(by_size, lang, size, overlap)
     html = html_sections(text) if html_is_raw else F.array(text)
     sections = F.regexp_extract_all(fold_newlines(text), F.lit(_MD_SECTION), F.lit(0))
-    head = rf"\A{_MD_HEADER}"
     chunks = (
         F.when(kind == "html", F.transform(html, html_text) if html_is_raw else html)
         .when(
             kind == "markdown",
-            F.transform(sections, lambda s: py_strip(F.regexp_replace(s, head, ""))),
+            F.transform(sections, lambda s: py_strip(F.regexp_replace(s, _MD_HEAD, ""))),
         )
         .otherwise(pieces)
     )

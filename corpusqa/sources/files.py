@@ -37,7 +37,9 @@ def extension_glob(extensions: Iterable[str] = tuple(SUPPORTED_EXTENSIONS)) -> s
     return "*{" + ",".join(either_case(e) for e in extensions) + "}"
 
 
-def list_files(spark: SparkSession, source_dir: str) -> DataFrame:
+def list_files(
+    spark: SparkSession, source_dir: str, extensions: Iterable[str] = tuple(SUPPORTED_EXTENSIONS)
+) -> DataFrame:
     """Supported files directly under ``source_dir``, with their bytes.
 
     The glob drops other files while listing, so they are never opened; select
@@ -45,7 +47,7 @@ def list_files(spark: SparkSession, source_dir: str) -> DataFrame:
     """
     files = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", extension_glob())
+        .option("pathGlobFilter", extension_glob(extensions))
         .load(source_dir)
     )
     return supported_files(files)
@@ -130,71 +132,108 @@ def decode_rows(
     )
 
 
+# Kinds of file that take the same way to text.
+_CODE = [e for e in EXTENSION_LANGUAGES if e != ".html"]
+
+
+def _natively(files: DataFrame, encoding: str) -> DataFrame:
+    """Code, markup, pages and plain text, in generated code; others get an error."""
+    ext = F.col("ext")
+    text = (
+        F.when(ext.isin(_CODE), code_text("content"))
+        .when(ext == ".html", html_text(decode_text("content")))
+        .when(ext == ".txt", plain_text("content", encoding))
+    )
+    error = F.when(
+        ~ext.isin([*_CODE, ".html", ".txt"]),
+        F.concat(F.lit("Unsupported file type: "), F.col("path")),
+    )
+    return files.select("path", "ext", text.alias("text"), error.alias("error"))
+
+
+def _by_function(files: DataFrame, read: Callable[[Column], Column]) -> DataFrame:
+    """Files whose reader returns ``struct<text, error>``."""
+    read_files = files.select("path", "ext", read(F.col("content")).alias("r"))
+    return read_files.select("path", "ext", "r.text", "r.error")
+
+
+def _as_tables(files: DataFrame, drop_empty_columns: bool) -> DataFrame:
+    texts = files.select("path", code_text("content").alias("text"))
+    tables = csv_text(texts.filter(F.col("text").rlike(r"\S")), drop_empty_columns)
+    blank = texts.filter(~F.col("text").rlike(r"\S")).select(
+        "path", F.lit(None).cast("string").alias("text"),
+        F.lit("No columns to parse from file").alias("error"),
+    )
+    return tables.unionByName(blank).select("path", F.lit(".csv").alias("ext"), "text", "error")
+
+
+def _extract(
+    files_of: Callable[[list[str], bool], DataFrame],
+    encoding: str,
+    decoders: Mapping[str, Callable[[bytes], str]] | None,
+    drop_empty_columns: bool,
+) -> DataFrame:
+    """Union of the ways to text; ``files_of(extensions, inside)`` gives each its files."""
+    decoders = dict(decoders or {})
+    special = sorted({".json", ".csv", *decoders})
+    branches = [_natively(files_of(special, False), encoding)]
+    if ".json" not in decoders:
+        branches.append(_by_function(files_of([".json"], True), pretty_json))
+    if ".csv" not in decoders:
+        branches.append(_as_tables(files_of([".csv"], True), drop_empty_columns))
+    for ext, decode in decoders.items():
+        branches.append(_by_function(files_of([ext], True), _decoded(decode)))
+    out = branches[0]
+    for branch in branches[1:]:
+        out = out.unionByName(branch)
+    return out
+
+
 def extract_text(
     files: DataFrame,
     encoding: str = "utf-8",
     decoders: Mapping[str, Callable[[bytes], str]] | None = None,
     drop_empty_columns: bool = False,
 ) -> DataFrame:
-    """Each file's text by its extension: ``path, ext, text, error``.
+    """Text of each file in a table of files: ``path, ext, text, error``.
 
     Code and markup read as they are, HTML pages as visible text, ``.txt``
     stripped, JSON re-printed, CSV as an aligned table. Other document kinds
-    need a decoder from the caller (``{".pdf": fn}``, bytes to text). One row
-    per file; a file without text keeps its row and says why in ``error``.
+    need a decoder from the caller (``{".pdf": fn}``, bytes to text). A file
+    without text keeps its row and says why in ``error``.
 
-    Kinds that need Python or a whole extra plan are separate filtered branches
-    joined by ``unionByName``: inside one CASE, Spark would run them for all rows.
+    Kinds that need Python or a plan of their own are filtered branches of a
+    union: inside one CASE, Spark would run them for all rows.
     """
-    decoders = dict(decoders or {})
-    files = files.select("path", file_extension("path").alias("ext"), "content")
-    code = [e for e in EXTENSION_LANGUAGES if e != ".html"]
+    named = files.select("path", file_extension("path").alias("ext"), "content")
 
-    is_table = (F.col("ext") == ".csv") & decode_text("content").rlike(r"\S")
-    elsewhere = F.col("ext").isin([".json", *decoders])
-    if ".csv" not in decoders:
-        elsewhere = elsewhere | is_table
-    native = files.filter(~elsewhere).select(
-        "path",
-        "ext",
-        F.when(F.col("ext").isin(code), code_text("content"))
-        .when(F.col("ext") == ".html", html_text(decode_text("content")))
-        .when(F.col("ext") == ".txt", plain_text("content", encoding))
-        .alias("text"),
-        F.when(F.col("ext") == ".csv", "No columns to parse from file")
-        .when(
-            ~F.col("ext").isin([*code, ".html", ".txt"]),
-            F.concat(F.lit("Unsupported file type: "), F.col("path")),
-        )
-        .alias("error"),
-    )
-    branches = [native]
+    def files_of(extensions: list[str], inside: bool) -> DataFrame:
+        chosen = F.col("ext").isin(extensions)
+        return named.filter(chosen if inside else ~chosen)
 
-    def from_struct(kind: str, read: Callable[[Column], Column]) -> DataFrame:
-        return (
-            files.filter(F.col("ext") == kind)
-            .select("path", "ext", read(col("content")).alias("r"))
-            .select("path", "ext", "r.text", "r.error")
-        )
+    return _extract(files_of, encoding, decoders, drop_empty_columns)
 
-    if ".json" not in decoders:
-        branches.append(from_struct(".json", pretty_json))
-    if ".csv" not in decoders:
-        tables = files.filter(is_table).select(
-            "path", code_text("content").alias("text")
-        )
-        branches.append(
-            csv_text(tables, drop_empty_columns).select(
-                "path", F.lit(".csv").alias("ext"), "text", "error"
-            )
+
+def read_texts(
+    spark: SparkSession,
+    source_dir: str,
+    encoding: str = "utf-8",
+    decoders: Mapping[str, Callable[[bytes], str]] | None = None,
+    drop_empty_columns: bool = False,
+) -> DataFrame:
+    """``extract_text`` over a directory's supported files.
+
+    Every branch of the union lists its own extensions, so no file is opened by
+    a branch that would then throw it away.
+    """
+
+    def files_of(extensions: list[str], inside: bool) -> DataFrame:
+        chosen = [e for e in SUPPORTED_EXTENSIONS if (e in extensions) == inside]
+        return list_files(spark, source_dir, chosen).select(
+            "path", file_extension("path").alias("ext"), "content"
         )
-    for kind, decode in decoders.items():
-        branches.append(from_struct(kind, _decoded(decode)))
 
-    out = branches[0]
-    for branch in branches[1:]:
-        out = out.unionByName(branch)
-    return out
+    return _extract(files_of, encoding, decoders, drop_empty_columns)
 
 
 def documents(extracted: DataFrame) -> DataFrame:
