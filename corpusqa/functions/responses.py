@@ -7,6 +7,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusqa.fixed_values import UNEXPECTED_VERDICT
 from corpusqa.functions.text import col, py_strip
@@ -52,7 +53,7 @@ def field_text(fields: Column | str, key: str) -> Column:
     )
 
 
-@F.pandas_udf("struct<instruction:string,input:string,output:string>")
+@F.pandas_udf(T.StructType([T.StructField(key, T.StringType()) for key in PAIR_KEYS]))
 def python_spelling(elements: pd.Series) -> pd.DataFrame:
     """The three fields spelled by Python's ``str()``: ``True``, ``{'k': 1}``."""
 

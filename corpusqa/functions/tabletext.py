@@ -18,10 +18,11 @@ WHOLE = r"^\s*[+-]?[0-9]{1,18}\s*$"
 DECIMAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,3})?\s*$"
 BOOLEAN = r"^(True|TRUE|true|False|FALSE|false)$"
 
-# One record: cells and line breaks inside quotes belong to it. One cell: quoted
-# (a doubled quote stands for one) or bare. Possessive, so matching never backs up.
+# One record: cells and line breaks inside quotes belong to it. One cell and the
+# comma before it: quoted (a doubled quote stands for one) or bare. Possessive, so
+# matching never backs up.
 _RECORD = r'(?:[^"\n]|"(?:[^"]|"")*+")++'
-_CELL = r'(?:^|,)((?:"(?:[^"]|"")*+"|[^,"])*+)'
+_CELL = r',((?:"(?:[^"]|"")*+"|[^,"])*+)'
 
 # Kinds of cell and column, in the order a column's kind is decided.
 TEXT, BOOL, FLOAT, INT, MISSING = "text", "bool", "float", "int", "missing"
@@ -86,7 +87,8 @@ def csv_records(text: Column | str) -> Column:
 
 def csv_cells(record: Column | str) -> Column:
     """Cells of one record, unquoted."""
-    cells = F.regexp_extract_all(col(record), F.lit(_CELL), F.lit(1))
+    led = F.concat(F.lit(","), col(record))
+    cells = F.regexp_extract_all(led, F.lit(_CELL), F.lit(1))
     return F.transform(
         cells,
         lambda c: F.when(

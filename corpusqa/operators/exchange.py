@@ -136,21 +136,19 @@ def pairs(
 
 def parse_rejects(answered: DataFrame) -> DataFrame:
     """What gave no pair: failed calls, answers without an array, elements not objects."""
-    elements = json_elements("response")
-    bad = F.size(F.filter(elements, lambda e: ~e.startswith("{")))
-    reasons = (
-        F.when(F.col("error").isNotNull(), F.struct(F.lit("call").alias("stage"), F.col("error").alias("reason")))
-        .when(elements.isNull(), F.struct(F.lit("parse").alias("stage"), F.lit("no valid JSON array").alias("reason")))
-        .when(
-            bad > 0,
-            F.struct(F.lit("parse").alias("stage"), F.concat(bad.cast("string"), F.lit(" elements are not objects")).alias("reason")),
-        )
+    answers = answered.withColumn(
+        "elements", F.when(F.col("error").isNull(), json_elements("response"))
     )
-    return (
-        answered.select("path", "chunk_id", reasons.alias("r"))
-        .filter(F.col("r").isNotNull())
-        .select("path", "chunk_id", "r.stage", "r.reason")
+    bad = F.size(F.filter("elements", lambda e: ~e.startswith("{")))
+    reason = (
+        F.when(F.col("error").isNotNull(), F.col("error"))
+        .when(F.col("elements").isNull(), "no valid JSON array")
+        .when(bad > 0, F.concat(bad.cast("string"), F.lit(" elements are not objects")))
     )
+    stage = F.when(F.col("error").isNotNull(), "call").otherwise("parse")
+    return answers.select(
+        "path", "chunk_id", stage.alias("stage"), reason.alias("reason")
+    ).filter(F.col("reason").isNotNull())
 
 
 def alpaca_rows(pairs: DataFrame, include_verification: bool = False) -> DataFrame:

@@ -23,14 +23,14 @@ from corpusqa.fixed_values import RATE_WINDOW_SECONDS, REQUESTS_PER_MINUTE, TOKE
 
 
 def rolling_usage(calls: DataFrame, window_seconds: int = RATE_WINDOW_SECONDS) -> DataFrame:
-    """``(key, at, tokens)`` with ``at`` in microseconds to usage at each moment.
+    """``(key, at_us, tokens)``, times in microseconds, to usage at each moment.
 
-    Result, one row per key and moment: ``key, at, n_calls, tokens, max_tokens,
+    Result, one row per key and moment: ``key, at_us, n_calls, tokens, max_tokens,
     window_calls, window_tokens``. The window is half-open: a call as old as the
     window is out. Calls at the same moment are all in each other's window.
     """
     width = F.lit(window_seconds * 1_000_000).cast("bigint")
-    moments = calls.groupBy("key", "at").agg(
+    moments = calls.groupBy("key", "at_us").agg(
         F.count("*").alias("n_calls"),
         F.sum("tokens").cast("bigint").alias("tokens"),
         F.max("tokens").cast("bigint").alias("max_tokens"),
@@ -40,7 +40,7 @@ def rolling_usage(calls: DataFrame, window_seconds: int = RATE_WINDOW_SECONDS) -
     def entry(at: Column, calls_in, tokens_in, calls_out, tokens_out, largest) -> Column:
         return F.struct(
             (at - F.pmod(at, width)).alias("bucket"),
-            at.alias("at"),
+            at.alias("at_us"),
             calls_in.alias("calls_in"),
             tokens_in.alias("tokens_in"),
             calls_out.alias("calls_out"),
@@ -48,7 +48,7 @@ def rolling_usage(calls: DataFrame, window_seconds: int = RATE_WINDOW_SECONDS) -
             largest.alias("max_tokens"),
         )
 
-    at, n, tokens = F.col("at"), F.col("n_calls"), F.col("tokens")
+    at, n, tokens = F.col("at_us"), F.col("n_calls"), F.col("tokens")
     entries = moments.select(
         "key",
         F.inline(
@@ -59,7 +59,7 @@ def rolling_usage(calls: DataFrame, window_seconds: int = RATE_WINDOW_SECONDS) -
         ),
     )
     group = Window.partitionBy("key", "bucket")
-    running = group.orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    running = group.orderBy("at_us").rangeBetween(Window.unboundedPreceding, Window.currentRow)
 
     def inside(entered: str, left: str) -> Column:
         return F.sum(entered).over(running) + F.sum(left).over(group) - F.sum(left).over(running)
@@ -69,7 +69,7 @@ def rolling_usage(calls: DataFrame, window_seconds: int = RATE_WINDOW_SECONDS) -
         .withColumn("window_tokens", inside("tokens_in", "tokens_out"))
         .filter(F.col("calls_in") > 0)
         .select(
-            "key", "at", F.col("calls_in").alias("n_calls"), F.col("tokens_in").alias("tokens"),
+            "key", "at_us", F.col("calls_in").alias("n_calls"), F.col("tokens_in").alias("tokens"),
             "max_tokens", "window_calls", "window_tokens",
         )
     )
@@ -99,12 +99,12 @@ def audit_calls(
 ) -> DataFrame:
     """Every call with the rolling usage at its moment and its flags.
 
-    An equi-join on (key, at); the usage side has one row per pair of them, so a
+    An equi-join on (key, at_us); the usage side has one row per pair of them, so a
     moment with very many calls is skewed on one side only, which AQE splits.
     """
-    usage = rolling_usage(calls, window_seconds).select("key", "at", "window_calls", "window_tokens")
+    usage = rolling_usage(calls, window_seconds).select("key", "at_us", "window_calls", "window_tokens")
     flagged = over_limits(
-        calls.join(usage, ["key", "at"]).withColumn("max_tokens", F.col("tokens")),
+        calls.join(usage, ["key", "at_us"]).withColumn("max_tokens", F.col("tokens")),
         max_calls, max_tokens,
     )
     return flagged.drop("max_tokens")

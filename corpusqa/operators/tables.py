@@ -89,7 +89,7 @@ def csv_rows(texts: DataFrame) -> DataFrame:
 
 
 def column_layout(rows: DataFrame) -> DataFrame:
-    """Per table the array ``layout``: kind, has_missing, decimals, named, width by column.
+    """Per table the array ``layout`` with each column's kind, width and so on.
 
     One aggregate over (table, column), combined map-side, so what is shuffled
     is a few numbers per column and map task, whatever the number of rows.
@@ -138,10 +138,15 @@ def column_layout(rows: DataFrame) -> DataFrame:
         .when(F.col("kind") == INT, F.col("w_int"))
         .otherwise(F.col("w_text"))
     )
+    # pandas sets the name of a numeric or boolean column one place in.
+    lead = F.when(F.col("kind") == TEXT, "").otherwise(" ")
     width = F.greatest(
-        "w_name", body_width, F.when(F.col("has_missing"), len(MISSING_CELL)).otherwise(0)
+        F.col("w_name") + F.length(lead), body_width, F.when(F.col("has_missing"), len(MISSING_CELL)).otherwise(0)
+    )
+    entry = F.struct(
+        "pos", "kind", "has_missing", "decimals", "named", "n_cells",
+        lead.alias("lead"), width.alias("width"),
     )
-    entry = F.struct("pos", "kind", "has_missing", "decimals", "named", width.alias("width"))
     return (
         facts.withColumn("kind", column_kind)
         .groupBy(*TABLE)
@@ -182,18 +187,23 @@ def drop_empty_columns(table: DataFrame) -> DataFrame:
 def table_lines(rows: DataFrame) -> DataFrame:
     """Each table row as one aligned line: ``path, sheet, row_no, line, problem``.
 
-    Right-aligned columns with one space between, the header line first.
-    ``problem`` is set on the rows of a table in which a record has more cells
+    Right-aligned columns with one space between, the header line first; a
+    table without rows is the three lines pandas prints for one. ``problem`` is set on the rows of a table in which a record has more cells
     than there are column names.
     """
 
     def placed(cell: Column, at: Column) -> Column:
-        text = F.when(
-            F.col("row_no") == 0, F.coalesce(cell, F.lit(MISSING_CELL))
-        ).otherwise(write_cell(cell, at["kind"], at["has_missing"], at["decimals"]))
+        name = F.concat(at["lead"], F.coalesce(cell, F.lit("")))
+        text = F.when(F.col("row_no") == 0, name).otherwise(
+            write_cell(cell, at["kind"], at["has_missing"], at["decimals"])
+        )
         return F.lpad(text, at["width"], F.lit(" "))
 
     line = F.array_join(F.zip_with("cells", "layout", placed), " ")
+    no_rows = F.concat(
+        F.lit("Empty DataFrame\nColumns: ["), F.array_join("cells", ", "), F.lit("]\nIndex: []")
+    )
+    line = F.when(F.exists("layout", lambda at: at["n_cells"] > 0), line).otherwise(no_rows)
     names = F.size(F.filter("layout", lambda at: at["named"]))
     problem = F.when(
         names < F.size("layout"),

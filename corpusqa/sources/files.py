@@ -14,6 +14,7 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusqa.fixed_values import EXTENSION_LANGUAGES
 from corpusqa.functions.filetypes import (
@@ -68,7 +69,12 @@ def code_text(content: Column | str) -> Column:
     return fold_newlines(decode_text(content))
 
 
-@F.pandas_udf("struct<text:string,error:string>")
+_TEXT_OR_ERROR = T.StructType(
+    [T.StructField("text", T.StringType()), T.StructField("error", T.StringType())]
+)
+
+
+@F.pandas_udf(_TEXT_OR_ERROR)
 def pretty_json(contents: pd.Series) -> pd.DataFrame:
     """JSON text re-printed with indent 2 and non-ASCII kept, or the parse error.
 
@@ -91,7 +97,7 @@ def pretty_json(contents: pd.Series) -> pd.DataFrame:
 def _decoded(decode: Callable[[bytes], str]) -> Callable[[Column], Column]:
     """A caller's ``bytes -> str`` decoder as a column function with an error field."""
 
-    @F.pandas_udf("struct<text:string,error:string>")
+    @F.pandas_udf(_TEXT_OR_ERROR)
     def run(contents: pd.Series) -> pd.DataFrame:
         def read(content: bytes | None) -> tuple[str | None, str | None]:
             if content is None:
