@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpusqa.fixed_values import DOCUMENT_EXTENSIONS, EXTENSION_LANGUAGES
-from corpusqa.functions.text import col
+from corpusqa.functions.text import col, literal_map
 
 SUPPORTED_EXTENSIONS = [*DOCUMENT_EXTENSIONS, *EXTENSION_LANGUAGES]
 
@@ -65,8 +63,7 @@ def language(name: Column | str, strict: bool = False) -> Column:
     The map has 26 fixed entries, so it is a literal in the plan: no join.
     """
     ext = _dotted(file_extension(name))
-    pairs = chain.from_iterable(EXTENSION_LANGUAGES.items())
-    found = F.try_element_at(F.create_map(*[F.lit(x) for x in pairs]), ext)
+    found = F.try_element_at(literal_map(EXTENSION_LANGUAGES), ext)
     if not strict:
         return found
     problem = F.concat(F.lit("Unsupported programming language extension: "), ext)

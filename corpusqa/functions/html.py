@@ -8,17 +8,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpusqa.fixed_values import HTML_SECTION_TAGS
-from corpusqa.functions.text import col, py_strip
+from corpusqa.functions.text import col, literal_map, py_strip
 
 # Parts of a page that are not text. An unclosed one runs to the end; an
 # unclosed head ends where the body starts.
-HIDDEN = "(?is)" + "|".join(
-    [r"<!--.*?(?:-->|\z)", r"<head\b[^>]*>.*?(?:</head\s*>|(?=<body\b)|\z)"]
-    + [
-        rf"<{tag}\b[^>]*>.*?(?:</{tag}\s*>|\z)"
-        for tag in ("script", "style", "template", "noscript")
-    ]
-)
+HIDDEN = "(?is)<(?:" + "|".join(
+    [r"!--.*?(?:-->|\z)", r"head\b[^>]*>.*?(?:</head\s*>|(?=<body\b)|\z)"]
+    + [rf"{tag}\b[^>]*>.*?(?:</{tag}\s*>|\z)" for tag in ("script", "style", "template", "noscript")]
+) + ")"
 # Tags that end a block of text.
 BLOCK_TAG = (
     r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|details|div|dl|dt|fieldset"
@@ -26,15 +23,13 @@ BLOCK_TAG = (
     r"|summary|table|tbody|td|tfoot|th|thead|title|tr|ul)\b[^>]*>"
 )
 ANY_TAG = r"<[/!?]?[A-Za-z][^>]*>"
+# References other than the ones plain replacements below can take.
+_OTHER_ENTITY = r"&(?!(?:amp|lt|gt|quot);)[A-Za-z#]"
 _ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 
-def _entity_map() -> Column:
-    names = sorted(name2codepoint) + ["apos"]
-    chars = [chr(name2codepoint[n]) for n in sorted(name2codepoint)] + ["'"]
-    return F.map_from_arrays(
-        F.array(*[F.lit(n) for n in names]), F.array(*[F.lit(c) for c in chars])
-    )
+# The named references of HTML 4, from the standard library, and one of XML.
+ENTITIES = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
 
 
 def _code_point(number: Column) -> Column:
@@ -45,10 +40,11 @@ def unescape(c: Column | str) -> Column:
     """Named and numeric character references to characters, in one pass.
 
     The text is cut at each ``&``; every piece starts with at most one
-    reference, so ``&amp;lt;`` gives ``&lt;`` and is not read twice.
+    reference, so ``&amp;lt;`` gives ``&lt;`` and is not read twice. A text with
+    only the four commonest takes plain replacements, ``&amp;`` last.
     """
     c = col(c)
-    entities = _entity_map()
+    entities = literal_map(ENTITIES)
 
     def piece(p: Column) -> Column:
         name = F.regexp_extract(p, _ENTITY, 1)
@@ -67,7 +63,14 @@ def unescape(c: Column | str) -> Column:
     pieces = F.split(c, "&", -1)
     rest = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), piece)
     whole = F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))
-    return F.when(F.contains(c, F.lit("&")), whole).otherwise(c)
+    plain = c
+    for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("amp", "&")):
+        plain = F.replace(plain, F.lit(f"&{name};"), F.lit(char))
+    return (
+        F.when(~F.contains(c, F.lit("&")), c)
+        .when(~c.rlike(_OTHER_ENTITY), plain)
+        .otherwise(whole)
+    )
 
 
 def visible(html: Column | str) -> Column:

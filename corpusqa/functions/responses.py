@@ -27,18 +27,16 @@ def json_elements(response: Column | str) -> Column:
     """Elements of the response's JSON array as JSON texts; null if invalid.
 
     The array is wrapped in an object before parsing: parsed bare, text after
-    the array would be accepted. Going through ``array<string>`` keeps one bad
-    element from nulling all the others.
+    the array would be accepted. No array gives ``{"r":}``, which is invalid as
+    well. Going through ``array<string>`` keeps one bad element from nulling
+    all the others.
     """
-    array = json_array_text(response)
-    wrapped = F.concat(F.lit('{"r":'), array, F.lit("}"))
-    parsed = F.from_json(wrapped, "r array<string>", _STRICT)
-    return F.when(array != "", parsed.getField("r"))
+    wrapped = F.concat(F.lit('{"r":'), json_array_text(response), F.lit("}"))
+    return F.from_json(wrapped, "r array<string>", _STRICT).getField("r")
 
 
-def pair_fields(element: Column | str) -> Column:
+def pair_fields(element: Column) -> Column:
     """One element as ``map<string,string>``; null when it is not an object."""
-    element = col(element)
     return F.when(
         element.startswith("{"), F.from_json(element, "map<string,string>", _STRICT)
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def literal_map(entries: dict[str, str]) -> Column:
+    """A constant ``map<string,string>``, folded by the optimizer into one literal."""
+    return F.from_json(F.lit(json.dumps(entries)), "map<string,string>")
+
+
 def py_strip(c: Column | str) -> Column:
     """Strip both ends like Python's ``str.strip()``.
 

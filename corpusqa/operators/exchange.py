@@ -2,16 +2,18 @@
 
 A request has an id made of its place (``generate:path#chunk`` or
 ``verify:path#chunk#pair``), unique by construction; a hash would collide at
-this scale. Responses are ``request_id, response, error``.
+this scale. Answered requests carry ``response`` and ``error``: either joined
+from a table ``request_id, response, error`` or got from a function in place.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusqa.functions.prompts import generation_prompt, verification_prompt
 from corpusqa.functions.responses import (
@@ -25,7 +27,6 @@ from corpusqa.functions.responses import (
 from corpusqa.functions.tokens import TokenCounter, estimate_tokens
 
 GENERATE, VERIFY = "generate", "verify"
-RESPONSES = "request_id string, response string, error string"
 
 
 def _request_id(op: str, *place: str):
@@ -50,14 +51,19 @@ def generation_requests(
 def apply_model(
     requests: DataFrame, model: Callable[[str], str], parallelism: int | None = None
 ) -> DataFrame:
-    """Call ``model(prompt)`` for every request: ``request_id, response, error``.
-
-    A call that raises gives its message as ``error`` and no response. Calls
-    are slow and may not give the same answer twice, so the result should be
-    written before more than one thing is read from it. ``parallelism`` spreads
-    the calls over that many tasks; the hash of the id, not round-robin, so a
-    lost task is redone with the same rows.
+    """Call ``model(prompt)`` for every request: the requests with ``response, error``.
+
+    A call that raises gives its message as ``error`` and no response. The
+    prompt is not kept; the other columns pass through, so no join is needed
+    afterwards. Calls are slow and may not give the same answer twice: write
+    the result before more than one thing is read from it. ``parallelism``
+    spreads the calls over that many tasks; by the hash of the id, not
+    round-robin, so a lost task is redone with the same rows.
     """
+    kept = requests.drop("prompt")
+    schema = T.StructType(
+        [*kept.schema.fields, T.StructField("response", T.StringType()), T.StructField("error", T.StringType())]
+    )
 
     def call(prompt: str) -> tuple[str | None, str | None]:
         try:
@@ -65,22 +71,16 @@ def apply_model(
         except Exception as problem:  # the caller's model may raise anything
             return None, str(problem) or type(problem).__name__
 
-    def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            answers = [call(p) for p in part["prompt"]]
-            yield pd.DataFrame(
-                {
-                    "request_id": part["request_id"],
-                    "response": [a[0] for a in answers],
-                    "error": [a[1] for a in answers],
-                },
-                dtype=object,
-            )
-
-    wanted = requests.select("request_id", "prompt")
+            answers = [call(p) for p in part.column("prompt").to_pylist()]
+            columns = [part.column(c) for c in kept.columns]
+            columns += [pa.array([a[k] for a in answers], pa.string()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
     if parallelism:
-        wanted = wanted.repartition(parallelism, "request_id")
-    return wanted.mapInPandas(batches, RESPONSES)
+        requests = requests.repartition(parallelism, "request_id")
+    return requests.mapInArrow(batches, schema)
 
 
 def attach_responses(requests: DataFrame, responses: DataFrame) -> DataFrame:
@@ -103,12 +103,17 @@ def parsed_elements(answered: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Elements of the answers' JSON arrays: ``path, chunk_id, pair_id, element, fields``.
 
     ``fields`` is null for an element that is not an object. Answers without a
-    valid array give no rows.
+    valid array give no rows. Fields are parsed before the explode: a filter on
+    them then stays above it and does not parse a second time.
     """
+    parsed = F.transform(
+        json_elements("response"),
+        lambda e: F.struct(e.alias("element"), pair_fields(e).alias("fields")),
+    )
     elements = answered.filter(F.col("error").isNull()).select(
-        "path", "chunk_id", *keep, F.posexplode(json_elements("response")).alias("pair_id", "element")
+        "path", "chunk_id", *keep, F.posexplode(parsed).alias("pair_id", "_e")
     )
-    return elements.withColumn("fields", pair_fields("element"))
+    return elements.select("path", "chunk_id", *keep, "pair_id", "_e.element", "_e.fields")
 
 
 def pairs(

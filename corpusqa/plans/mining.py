@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +23,6 @@ Model = Callable[[str], str]
 class Mined:
     """The tables of one run; all are lazy."""
 
-    chunks: DataFrame
-    requests: DataFrame
     pairs: DataFrame
     rows: DataFrame
     calls: DataFrame
@@ -33,49 +31,50 @@ class Mined:
 
 
 def mine(
-    chunks: DataFrame,
-    responses: DataFrame,
-    verdicts: DataFrame | Callable[[DataFrame], DataFrame] | None = None,
+    answered: DataFrame,
+    check: Callable[[DataFrame], DataFrame] | None = None,
     verdict_mode: str = "prefix",
     count_tokens: TokenCounter = estimate_tokens,
     spelling: str = "json",
 ) -> Mined:
-    """Chunks and the model's responses to pairs, output rows and usage.
+    """Answered generation requests to pairs, output rows and usage.
 
-    ``verdicts`` switches verification on: the responses to the verification
-    requests, or a function from those requests to them. Chunk text is carried
-    through the one join with the responses when pairs will be verified, and
-    pruned before it when not.
+    ``check`` switches verification on: it gets the verification requests and
+    gives them back answered. The requests then need a ``chunk`` column: the
+    chunk's text stays with its pairs, so verifying joins nothing. Without
+    ``check`` nothing reads the text and it is pruned early.
     """
-    requests = exchange.generation_requests(chunks, count_tokens, keep=["chunk"])
-    answered = exchange.attach_responses(requests, responses)
-    found = exchange.pairs(answered, ["chunk"], spelling)
+    found = exchange.pairs(answered, ["chunk"] if check else [], spelling)
     calls = usage.calls(answered, count_tokens)
     bad = exchange.parse_rejects(answered)
-    if verdicts is None:
-        pairs = found.drop("chunk", "complete")
+    if check is None:
+        pairs = found.drop("complete")
         rows = exchange.alpaca_rows(pairs)
     else:
-        asked = exchange.verification_requests(found, count_tokens=count_tokens)
-        came = verdicts(asked) if callable(verdicts) else verdicts
-        checked = exchange.attach_responses(asked, came)
+        checked = check(exchange.verification_requests(found, count_tokens=count_tokens))
         pairs = exchange.verified_pairs(checked, verdict_mode)
         rows = exchange.alpaca_rows(pairs, include_verification=True)
         calls = calls.unionByName(usage.calls(checked, count_tokens))
+        incomplete = F.lit("pair without instruction or output")
         bad = bad.unionByName(
             found.filter(~F.col("complete")).select(
-                "path", "chunk_id", F.lit("verify").alias("stage"),
-                F.lit("pair without instruction or output").alias("reason"),
+                "path", "chunk_id", F.lit("verify").alias("stage"), incomplete.alias("reason")
             )
         )
-    return Mined(chunks, requests, pairs, rows, calls, bad, usage.usage_summary(calls))
+    return Mined(pairs, rows, calls, bad, usage.usage_summary(calls))
+
+
+def asking(
+    model: Model, name: str, parallelism: int | None = None
+) -> Callable[[DataFrame], DataFrame]:
+    """Requests to answered requests by calling ``model``, written once asked."""
+    return lambda requests: written(exchange.apply_model(requests, model, parallelism), name)
 
 
 def process_text(chunks: DataFrame, model: Model, parallelism: int | None = None) -> DataFrame:
-    """Chunks to pairs by calling ``model`` once per chunk; answers are written first."""
+    """Chunks to pairs by calling ``model`` once per chunk."""
     requests = exchange.generation_requests(chunks)
-    responses = written(exchange.apply_model(requests, model, parallelism), "responses")
-    return exchange.pairs(exchange.attach_responses(requests, responses))
+    return exchange.pairs(asking(model, "responses", parallelism)(requests))
 
 
 def verify_dataset(
@@ -83,9 +82,8 @@ def verify_dataset(
     verdict_mode: str = "prefix", parallelism: int | None = None,
 ) -> DataFrame:
     """Pairs with verdicts by calling ``model`` once per pair."""
-    asked = exchange.verification_requests(pairs, chunks)
-    responses = written(exchange.apply_model(asked, model, parallelism), "verdicts")
-    return exchange.verified_pairs(exchange.attach_responses(asked, responses), verdict_mode)
+    requests = exchange.verification_requests(pairs, chunks)
+    return exchange.verified_pairs(asking(model, "verdicts", parallelism)(requests), verdict_mode)
 
 
 def mine_documents(
@@ -117,18 +115,13 @@ def mine_documents(
     chunks = chunking.split_documents(
         with_text(extracted), chunk_size, chunk_overlap, html_is_raw=False
     )
-
-    def ask(name: str) -> Callable[[DataFrame], DataFrame]:
-        return lambda asked: written(exchange.apply_model(asked, model, parallelism), name)
-
-    requests = exchange.generation_requests(chunks, count_tokens)
-    responses = ask("responses")(requests)
+    requests = exchange.generation_requests(chunks, count_tokens, ["chunk"] if verify else [])
     mined = mine(
-        chunks, responses, ask("verdicts") if verify else None, verdict_mode, count_tokens
+        asking(model, "responses", parallelism)(requests),
+        asking(model, "verdicts", parallelism) if verify else None,
+        verdict_mode,
+        count_tokens,
     )
     save_rows(mined.pairs, output, run_id, include_verification and verify)
     bad = rejects(extracted).unionByName(mined.rejects)
-    whole = Mined(
-        mined.chunks, mined.requests, mined.pairs, mined.rows, mined.calls, bad, mined.summary
-    )
-    return whole, f"{output}/run_id={run_id}"
+    return replace(mined, rejects=bad), f"{output}/run_id={run_id}"

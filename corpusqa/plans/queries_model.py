@@ -49,9 +49,7 @@ def verify_prompt_sql(context: str, question: str, answer: str) -> str:
 
 
 def _answered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = samples.windows(spark, sf_dir)
-    requests = exchange.generation_requests(chunks, keep=["doc_id", "chunk"])
-    return exchange.attach_responses(requests, samples.responses(chunks))
+    return samples.answered(samples.windows(spark, sf_dir))
 
 
 # -- generation ------------------------------------------------------------------
@@ -66,7 +64,7 @@ def gen_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT doc_id, {tokens_sql('text')} AS n_tokens FROM documents")
 def token_est(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", "doc_id")
     return docs.select("doc_id", estimate_tokens("text").alias("n_tokens"))
 
 
@@ -191,8 +189,7 @@ def verify_rows_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mined(spark: SparkSession, sf_dir: str, verify: bool = True) -> Mined:
-    chunks = samples.windows(spark, sf_dir)
-    return mine(chunks, samples.responses(chunks), samples.verdicts if verify else None)
+    return mine(_answered(spark, sf_dir), samples.check if verify else None)
 
 
 @query(f"SELECT {_FLAT} FROM ({samples.VERIFIED_SQL})")
@@ -239,8 +236,7 @@ def incremental_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def process(batch: DataFrame) -> DataFrame:
         named = batch.withColumn("path", samples.document_path(F.lit(".txt")))
-        chunks = samples.char_windows(named, keep=["doc_id"])
-        return mine(chunks, samples.responses(chunks)).pairs
+        return mine(samples.answered(samples.char_windows(named, keep=["doc_id"]))).pairs
 
     for _ in range(2):
         stream = (

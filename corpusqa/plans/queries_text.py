@@ -80,7 +80,7 @@ def supported_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT doc_id, {strip_sql('text')} AS text, text AS code FROM documents")
 def decoded_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text files in two encodings and two line-end styles, read back."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", "doc_id")
     ends = F.when(F.col("doc_id") % 2 == 0, "\r\n").otherwise("\r")
     shown = F.replace(F.col("text"), F.lit("\n"), ends)
     latin = (F.col("doc_id") % 3 == 0) & F.col("text").rlike(r"\A[\x00-\xff]*\z")
@@ -216,7 +216,7 @@ def html_text_sql(x: str) -> str:
 
 @query(f"SELECT page_id, {html_text_sql('html')} AS text FROM pages")
 def page_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", html_text("html").alias("text"))
+    return table(spark, sf_dir, "pages", "page_id").select("page_id", html_text("html").alias("text"))
 
 
 _TAGS = "|".join(HTML_SECTION_TAGS)
@@ -230,7 +230,7 @@ _TAGS = "|".join(HTML_SECTION_TAGS)
               regexp_replace({visible_sql('html')}, '(?i)(<(?:{_TAGS})\\b)', chr(1) || '\\1', 'g') AS v FROM pages)))
   WHERE chunk <> ''""")
 def html_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
+    pages = table(spark, sf_dir, "pages", "page_id")
     raw = pages.select(
         F.concat("url", F.lit("#"), F.col("page_id").cast("string")).alias("path"),
         F.col("html").alias("text"),
@@ -415,7 +415,7 @@ def splitter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
   FROM g WHERE chunk <> ''""")
 def md_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with every third line made a header and every seventh a fence."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", "doc_id")
 
     def mark(line, i):
         level = F.repeat(F.lit("#"), (i % 4 + 1).cast("int"))
@@ -451,6 +451,6 @@ def mixed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT doc_id, {strip_sql('x')} AS stripped, length(x) AS n_before FROM (SELECT doc_id, chr(160) || chr(9) || text || chr(12288) || chr(10) AS x FROM documents)")
 def stripped_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", "doc_id")
     padded = F.concat(F.lit("\xa0\t"), F.col("text"), F.lit("　\n"))
     return docs.select("doc_id", py_strip(padded).alias("stripped"), F.length(padded).cast("bigint").alias("n_before"))

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusqa.operators.chunking import char_windows
-from corpusqa.operators.exchange import generation_requests
+from corpusqa.operators.exchange import attach_responses, generation_requests
+from corpusqa.sources.shared import written
 
 EXTENSIONS = [
     ".txt", ".py", ".md", ".html", ".json", ".csv", ".pdf", ".JAVA",
@@ -19,8 +20,17 @@ EXTENSIONS = [
 ]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    """A given table. With ``spread_by``, one in too few pieces is spread out first.
+
+    A file with one row group is read by one task, and so would be all the text
+    work behind it. A table in enough pieces is left as it is.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if spread_by and 2 * df.rdd.getNumPartitions() <= cores:
+        return df.repartition(cores, spread_by)
+    return df
 
 
 def micros(ts: str) -> Column:
@@ -39,7 +49,7 @@ def document_path(ext: Column) -> Column:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``path, text`` (and the source columns) with every document a ``.txt`` file."""
-    return table(spark, sf_dir, "documents").withColumn("path", document_path(F.lit(".txt")))
+    return table(spark, sf_dir, "documents", "doc_id").withColumn("path", document_path(F.lit(".txt")))
 
 
 DOCUMENTS_SQL = "SELECT *, source || '/doc' || doc_id || '.txt' AS path FROM documents"
@@ -50,7 +60,7 @@ def mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     choice = F.element_at(
         F.array(*[F.lit(e) for e in EXTENSIONS]), (F.col("doc_id") % len(EXTENSIONS) + 1).cast("int")
     )
-    return table(spark, sf_dir, "documents").withColumn("path", document_path(choice))
+    return table(spark, sf_dir, "documents", "doc_id").withColumn("path", document_path(choice))
 
 
 _EXTENSION_LIST = "[" + ", ".join(f"'{e}'" for e in EXTENSIONS) + "]"
@@ -75,7 +85,8 @@ def responses(chunks: DataFrame) -> DataFrame:
     """An answer for each chunk: good, wrapped in prose, broken, empty, or failed.
 
     The first pair's answer is the whole chunk's letters; the second element
-    goes through missing, null, nested and non-object forms.
+    goes through missing, null, nested and non-object forms. Written, as a
+    model's answers are, and read back as the table ``request_id, response, error``.
     """
     doc, n = F.col("doc_id"), F.col("chunk_id")
     clean = F.regexp_replace("chunk", "[^A-Za-z ]", " ")
@@ -101,11 +112,19 @@ def responses(chunks: DataFrame) -> DataFrame:
         .otherwise(array)
     )
     failed = doc % 17 == 3
-    return generation_requests(chunks, keep=["doc_id", "chunk"]).select(
+    asked = generation_requests(chunks, keep=["doc_id", "chunk"])
+    answers = asked.select(
         "request_id",
         F.when(~failed, answer).alias("response"),
         F.when(failed, "timeout").alias("error"),
     )
+    return written(answers, "responses")
+
+
+def answered(chunks: DataFrame) -> DataFrame:
+    """Generation requests joined with their answers."""
+    requests = generation_requests(chunks, keep=["doc_id", "chunk"])
+    return attach_responses(requests, responses(chunks))
 
 
 _FIRST = """'{"instruction": "What does part ' || chunk_id || ' of ' || path || ' say?", "input": "", "output": "'
@@ -147,8 +166,8 @@ PAIRS_SQL = f"""SELECT path, doc_id, chunk_id, chunk, CAST(pair_id AS INTEGER) A
   FROM ({ELEMENTS_SQL}) WHERE json_type(e) = 'OBJECT'"""
 
 
-def verdicts(asked: DataFrame) -> DataFrame:
-    """A verification answer for each request, by the length of the pair's output."""
+def check(asked: DataFrame) -> DataFrame:
+    """Verification requests answered in place, by the length of the pair's output."""
     kind = F.length("output") % 6
     answer = (
         F.when(kind == 0, "CORRECT - supported by the text")
@@ -157,9 +176,12 @@ def verdicts(asked: DataFrame) -> DataFrame:
         .when(kind == 3, '{"verdict": "CORRECT", "explanation": "ok"}')
         .when(kind == 5, "CORRECT")
     )
-    return asked.select(
-        "request_id", answer.alias("response"), F.when(kind == 4, "boom").alias("error")
-    )
+    return asked.withColumns({"response": answer, "error": F.when(kind == 4, "boom")})
+
+
+def verdicts(asked: DataFrame) -> DataFrame:
+    """The same answers as a table of their own."""
+    return check(asked).select("request_id", "response", "error")
 
 
 VERDICT_RESPONSE_SQL = """CASE length(output) % 6
