@@ -20,7 +20,7 @@ _STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 def json_array_text(response: Column | str) -> Column:
     """The text from the first ``[`` to the last ``]``, ``''`` if there is none."""
-    return F.regexp_extract(col(response), r"(\[[\s\S]*\])", 1)
+    return F.regexp_extract(col(response), r"(?s)\[.*\]", 0)
 
 
 def json_elements(response: Column | str) -> Column:
@@ -89,7 +89,7 @@ def verdict(response: Column | str, error: Column | str | None = None, mode: str
         .otherwise(result("UNKNOWN", F.lit(UNEXPECTED_VERDICT)))
     )
     if mode == "json":
-        body = F.regexp_extract(response, r"(\{[\s\S]*\})", 1)
+        body = F.regexp_extract(response, r"(?s)\{.*\}", 0)
         answer = F.from_json(body, "verdict string, explanation string", _STRICT)
         status = F.upper(py_strip(answer.getField("verdict")))
         found = F.when(

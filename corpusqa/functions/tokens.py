@@ -12,7 +12,7 @@ from corpusqa.functions.text import col
 
 # A token is a run of letters, up to three digits, or a run of other
 # non-blank characters.
-TOKEN_PATTERN = r"\p{L}+|\p{N}{1,3}|[^\s\p{L}\p{N}]+"
+TOKEN_PATTERN = r"\p{L}++|\p{N}{1,3}+|[^\s\p{L}\p{N}]++"
 
 TokenCounter = Callable[[Column], Column]
 

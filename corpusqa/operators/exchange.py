@@ -61,6 +61,7 @@ def apply_model(
     round-robin, so a lost task is redone with the same rows.
     """
     kept = requests.drop("prompt")
+    passed = kept.columns
     schema = T.StructType(
         [*kept.schema.fields, T.StructField("response", T.StringType()), T.StructField("error", T.StringType())]
     )
@@ -74,9 +75,9 @@ def apply_model(
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             answers = [call(p) for p in part.column("prompt").to_pylist()]
-            columns = [part.column(c) for c in kept.columns]
+            columns = [part.column(c) for c in passed]
             columns += [pa.array([a[k] for a in answers], pa.string()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            yield pa.RecordBatch.from_arrays(columns, names=[*passed, "response", "error"])
 
     if parallelism:
         requests = requests.repartition(parallelism, "request_id")

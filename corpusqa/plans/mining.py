@@ -109,12 +109,13 @@ def mine_documents(
     """
     run_id = run_stamp()
     extracted = written(
-        read_texts(spark, source_dir, decoders=decoders, drop_empty_columns=remove_empty_columns),
+        read_texts(
+            spark, source_dir, decoders=decoders,
+            drop_empty_columns=remove_empty_columns, raw_html=True,
+        ),
         "texts",
     )
-    chunks = chunking.split_documents(
-        with_text(extracted), chunk_size, chunk_overlap, html_is_raw=False
-    )
+    chunks = chunking.split_documents(with_text(extracted), chunk_size, chunk_overlap)
     requests = exchange.generation_requests(chunks, count_tokens, ["chunk"] if verify else [])
     mined = mine(
         asking(model, "responses", parallelism)(requests),

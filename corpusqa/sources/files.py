@@ -44,7 +44,8 @@ def list_files(
     """Supported files directly under ``source_dir``, with their bytes.
 
     The glob drops other files while listing, so they are never opened; select
-    ``path`` alone and no content is read at all.
+    ``path`` alone and no content is read at all. Sub-directories are not read;
+    one named like ``key=value`` would be taken for a partition.
     """
     files = (
         spark.read.format("binaryFile")
@@ -142,12 +143,13 @@ def decode_rows(
 _CODE = [e for e in EXTENSION_LANGUAGES if e != ".html"]
 
 
-def _natively(files: DataFrame, encoding: str) -> DataFrame:
+def _natively(files: DataFrame, encoding: str, raw_html: bool) -> DataFrame:
     """Code, markup, pages and plain text, in generated code; others get an error."""
     ext = F.col("ext")
+    page = code_text("content") if raw_html else html_text(decode_text("content"))
     text = (
         F.when(ext.isin(_CODE), code_text("content"))
-        .when(ext == ".html", html_text(decode_text("content")))
+        .when(ext == ".html", page)
         .when(ext == ".txt", plain_text("content", encoding))
     )
     error = F.when(
@@ -178,11 +180,12 @@ def _extract(
     encoding: str,
     decoders: Mapping[str, Callable[[bytes], str]] | None,
     drop_empty_columns: bool,
+    raw_html: bool,
 ) -> DataFrame:
     """Union of the ways to text; ``files_of(extensions, inside)`` gives each its files."""
     decoders = dict(decoders or {})
     special = sorted({".json", ".csv", *decoders})
-    branches = [_natively(files_of(special, False), encoding)]
+    branches = [_natively(files_of(special, False), encoding, raw_html)]
     if ".json" not in decoders:
         branches.append(_by_function(files_of([".json"], True), pretty_json))
     if ".csv" not in decoders:
@@ -200,10 +203,12 @@ def extract_text(
     encoding: str = "utf-8",
     decoders: Mapping[str, Callable[[bytes], str]] | None = None,
     drop_empty_columns: bool = False,
+    raw_html: bool = False,
 ) -> DataFrame:
     """Text of each file in a table of files: ``path, ext, text, error``.
 
-    Code and markup read as they are, HTML pages as visible text, ``.txt``
+    Code and markup read as they are, HTML pages as visible text (with
+    ``raw_html`` as they are, for splitting at their headings), ``.txt``
     stripped, JSON re-printed, CSV as an aligned table. Other document kinds
     need a decoder from the caller (``{".pdf": fn}``, bytes to text). A file
     without text keeps its row and says why in ``error``.
@@ -217,7 +222,7 @@ def extract_text(
         chosen = F.col("ext").isin(extensions)
         return named.filter(chosen if inside else ~chosen)
 
-    return _extract(files_of, encoding, decoders, drop_empty_columns)
+    return _extract(files_of, encoding, decoders, drop_empty_columns, raw_html)
 
 
 def read_texts(
@@ -226,6 +231,7 @@ def read_texts(
     encoding: str = "utf-8",
     decoders: Mapping[str, Callable[[bytes], str]] | None = None,
     drop_empty_columns: bool = False,
+    raw_html: bool = False,
 ) -> DataFrame:
     """``extract_text`` over a directory's supported files.
 
@@ -239,7 +245,7 @@ def read_texts(
             "path", file_extension("path").alias("ext"), "content"
         )
 
-    return _extract(files_of, encoding, decoders, drop_empty_columns)
+    return _extract(files_of, encoding, decoders, drop_empty_columns, raw_html)
 
 
 def documents(extracted: DataFrame) -> DataFrame:
