@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import codecs
 import json
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,19 +37,36 @@ def fold_newlines(c: Column | str) -> Column:
     return F.when(F.contains(c, F.lit("\r")), F.regexp_replace(c, "\r\n?", "\n")).otherwise(c)
 
 
+def _decoded_by_python(content: Column, encoding: str) -> Column:
+    """Strictly decoded text by Python's codec, null where the bytes do not fit it."""
+
+    @F.pandas_udf("string")
+    def decoded(contents: pd.Series) -> pd.Series:
+        def read(content: bytes | None) -> str | None:
+            try:
+                return None if content is None else bytes(content).decode(encoding)
+            except UnicodeDecodeError:
+                return None
+
+        return contents.map(read)
+
+    return decoded(content)
+
+
 def decode_text(content: Column | str, encoding: str = "utf-8") -> Column:
     """Bytes to text: ``encoding`` first, then utf-8, then latin-1.
 
     latin-1 accepts every byte sequence, so the result is never null for
-    non-null content. Only encodings Spark can check without Python are taken.
+    non-null content. The usual encodings stay in generated code; any other
+    codec Python knows is tried through an Arrow-batched UDF.
     """
     content = col(content)
     as_utf8 = F.when(F.is_valid_utf8(content.cast("string")), content.cast("string"))
     as_latin1 = F.decode(content, "ISO-8859-1")
-    name = encoding.lower().replace("_", "-")
-    if name in ("utf-8", "utf8", "ascii", "us-ascii"):
-        # ASCII bytes are UTF-8 bytes and read the same under both.
-        return F.coalesce(as_utf8, as_latin1)
-    if name in ("latin-1", "latin1", "iso-8859-1"):
+    name = codecs.lookup(encoding).name
+    if name == "iso8859-1":
         return as_latin1
-    raise ValueError(f"unsupported first encoding: {encoding}")
+    # ASCII bytes are UTF-8 bytes and read the same under both.
+    if name in ("utf-8", "ascii"):
+        return F.coalesce(as_utf8, as_latin1)
+    return F.coalesce(_decoded_by_python(content, name), as_utf8, as_latin1)

@@ -10,7 +10,7 @@ part follows from the row's own number, so one shuffle is enough.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusqa.fixed_values import HEADER_MARK, PAGE_SEPARATOR, SHEET_MARK, TABLE_MARK
@@ -21,11 +21,11 @@ PART_ROWS = 10_000  # pages or blocks
 PART_LINES = 1 << 20  # table rows; the row limit of an Excel sheet
 
 
-def _part(order: str, part_rows: int):
-    return F.floor(F.col(order) / part_rows).cast("int").alias("part")
+def _part(order: str, part_rows: int) -> Column:
+    return F.expr(f"cast({order} div {part_rows} as int)").alias("part")
 
 
-def _joined(text: str, separator: str, *order: str):
+def _joined(text: str, separator: str, *order: str) -> Column:
     """Aggregate: texts joined in order; nulls are left out."""
     quoted = separator.replace("\n", "\\n")
     by = ", ".join(order)

@@ -61,12 +61,17 @@ def rolling_usage(calls: DataFrame, window_seconds: int = RATE_WINDOW_SECONDS) -
     group = Window.partitionBy("key", "bucket")
     running = group.orderBy("at_us").rangeBetween(Window.unboundedPreceding, Window.currentRow)
 
-    def inside(entered: str, left: str) -> Column:
-        return F.sum(entered).over(running) + F.sum(left).over(group) - F.sum(left).over(running)
+    # What is inside at a moment: the opening sum of the bucket, plus what came, minus what left.
+    def inside(came: str, left: str) -> Column:
+        return F.sum(F.col(came) - F.col(left)).over(running) + F.sum(left).over(group)
 
     return (
-        entries.withColumn("window_calls", inside("calls_in", "calls_out"))
-        .withColumn("window_tokens", inside("tokens_in", "tokens_out"))
+        entries.withColumns(
+            {
+                "window_calls": inside("calls_in", "calls_out"),
+                "window_tokens": inside("tokens_in", "tokens_out"),
+            }
+        )
         .filter(F.col("calls_in") > 0)
         .select(
             "key", "at_us", F.col("calls_in").alias("n_calls"), F.col("tokens_in").alias("tokens"),

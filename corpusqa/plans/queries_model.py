@@ -9,6 +9,7 @@ from corpusqa.fixed_values import GENERATION_PROMPT, VERIFICATION_PROMPT
 from corpusqa.functions.money import currency, thousands
 from corpusqa.functions.tokens import estimate_tokens
 from corpusqa.operators import exchange, rates, usage
+from corpusqa.operators.assemble import PART_ROWS, fold_lines
 from corpusqa.plans import samples
 from corpusqa.plans.mining import Mined, mine
 from corpusqa.plans.samples import table
@@ -120,16 +121,17 @@ def chunks_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- verification ------------------------------------------------------------------
 
-_TURN_PAIRS = """SELECT 'conv/' || q.conv_id AS path, CAST(0 AS INTEGER) AS chunk_id, CAST(q.turn AS INTEGER) AS pair_id,
+_TURN_PAIRS = """SELECT 'conv/' || q.conv_id AS path, CAST(q.turn // 10000 AS INTEGER) AS chunk_id, CAST(q.turn AS INTEGER) AS pair_id,
     q.text AS instruction, '' AS input, a.text AS output, c.chunk
   FROM conversations q JOIN conversations a ON q.conv_id = a.conv_id AND a.turn = q.turn + 1
-  JOIN (SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS chunk FROM conversations GROUP BY conv_id) c
-    ON c.conv_id = q.conv_id
+  JOIN (SELECT conv_id, turn // 10000 AS part, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS chunk
+        FROM conversations GROUP BY ALL) c
+    ON c.conv_id = q.conv_id AND c.part = q.turn // 10000
   WHERE q.role = 'user' AND a.role = 'assistant'"""
 
 
 def _turn_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User turns with their answers as pairs, the whole conversation as context."""
+    """User turns with their answers as pairs; the conversation, or its part, as context."""
     turns = table(spark, sf_dir, "conversations")
     path = F.concat(F.lit("conv/"), F.col("conv_id").cast("string")).alias("path")
     asked = turns.filter("role = 'user'").select(
@@ -137,12 +139,15 @@ def _turn_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     answers = turns.filter("role = 'assistant'").select(path, "turn", F.col("text").alias("output"))
     pairs = asked.join(answers, ["path", "turn"]).select(
-        "path", F.lit(0).alias("chunk_id"), (F.col("turn") - 1).cast("int").alias("pair_id"),
+        "path",
+        F.expr(f"cast((turn - 1) div {PART_ROWS} as int)").alias("chunk_id"),
+        (F.col("turn") - 1).cast("int").alias("pair_id"),
         "instruction", F.lit("").alias("input"), "output", F.lit(True).alias("complete"),
     )
-    chunks = turns.groupBy(path).agg(
-        F.expr("listagg(text, '\\n\\n') within group (order by turn)").alias("chunk")
-    ).withColumn("chunk_id", F.lit(0))
+    texts = turns.select(path, "turn", F.col("text").alias("line"))
+    chunks = fold_lines(texts, ["path"], "turn", separator="\n\n").select(
+        "path", F.col("part").alias("chunk_id"), F.col("text").alias("chunk")
+    )
     return exchange.verification_requests(pairs, chunks)
 
 

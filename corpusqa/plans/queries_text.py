@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusqa.fixed_values import (
+    CHUNK_SIZE,
     CSV_NULL_TOKENS,
     DOCUMENT_EXTENSIONS,
     EXTENSION_LANGUAGES,
@@ -449,6 +450,45 @@ def mixed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.split_documents(samples.mixed_documents(spark, sf_dir), html_is_raw=False)
 
 
+def _kept_promises(chunks: DataFrame) -> DataFrame:
+    """Per document, what must hold for its chunks; ``chunks`` carries the text."""
+    stripped = py_strip("text")
+    facts = chunks.groupBy("path").agg(
+        F.bool_and(F.length("chunk") <= CHUNK_SIZE).alias("none_too_long"),
+        F.bool_and(F.contains("text", "chunk")).alias("all_from_text"),
+        F.bool_or((F.col("chunk_id") == 0) & F.startswith(stripped, F.col("chunk"))).alias("first_starts_it"),
+        F.bool_or(F.endswith(stripped, F.col("chunk"))).alias("one_ends_it"),
+        F.max((F.length(F.col("text")) > CHUNK_SIZE) | (F.col("chunk") == stripped)).alias("short_is_one"),
+        F.count("*").alias("n"),
+        F.max(F.length("text")).alias("n_chars"),
+        F.sum(F.length(F.regexp_replace("chunk", r"\s", ""))).alias("n_shown"),
+        F.max(F.length(F.regexp_replace("text", r"\s", ""))).alias("n_text"),
+    )
+    return facts.select(
+        "path", "none_too_long", "all_from_text", "first_starts_it", "one_ends_it", "short_is_one",
+        (F.col("n_shown") >= F.col("n_text")).alias("nothing_lost"),
+        (F.col("n") >= F.ceil(F.col("n_chars") / CHUNK_SIZE)).alias("enough_chunks"),
+    )
+
+
+_PROMISES = """true AS none_too_long, true AS all_from_text, true AS first_starts_it, true AS one_ends_it,
+    true AS short_is_one, true AS nothing_lost, true AS enough_chunks"""
+
+
+@query(f"SELECT path, {_PROMISES} FROM ({samples.DOCUMENTS_SQL}) WHERE {strip_sql('text')} <> ''")
+def recursive_chunk_promises(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = samples.documents(spark, sf_dir)
+    return _kept_promises(chunking.recursive_chunks(docs, keep=["text"]))
+
+
+@query(f"""SELECT path, {_PROMISES} FROM (SELECT *, {_SPLIT} AS ext FROM ({samples.MIXED_SQL}))
+  WHERE ext IN {_in([e for e in EXTENSION_LANGUAGES if e not in ('.html', '.md')])} AND {strip_sql('text')} <> ''""")
+def code_chunk_promises(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = samples.mixed_documents(spark, sf_dir)
+    code = docs.filter(filetypes.splitter("path") == "code")
+    return _kept_promises(chunking.code_chunks(code, keep=["text"]))
+
+
 @query(f"SELECT doc_id, {strip_sql('x')} AS stripped, length(x) AS n_before FROM (SELECT doc_id, chr(160) || chr(9) || text || chr(12288) || chr(10) AS x FROM documents)")
 def stripped_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id")

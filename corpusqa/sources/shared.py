@@ -26,8 +26,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder name for one run's data under the shared folder."""
-    return f"{shared_dir(spark)}/corpusqa/{uuid.uuid4().hex}/{name}"
+    """A fresh folder name under the shared folder; one application's are together."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/corpusqa/{application}/{uuid.uuid4().hex}/{name}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -40,8 +40,11 @@ def test_decoding(spark):
     assert got == ["a\nbé", "é\nA", "ÿþ", "", "x", "í\xa0\x80"]
     assert column(spark, [b"  x \n"], code_text("v"), "binary") == ["  x \n"]
     assert column(spark, ["é".encode()], decode_text("v", "latin-1"), "binary") == ["Ã©"]
-    with pytest.raises(ValueError):
-        decode_text("v", "utf-16")
+    values = ["aé".encode("utf-16"), "é".encode(), b"\xe9"]
+    assert column(spark, values, decode_text("v", "utf_16"), "binary") == ["aé", "\ua9c3", "é"]
+    assert column(spark, [b"\x81", b"\x80"], decode_text("v", "cp1252"), "binary") == ["\x81", "€"]
+    with pytest.raises(LookupError):
+        decode_text("v", "no-such-codec")
 
 
 def test_extensions(spark):
