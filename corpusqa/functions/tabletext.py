@@ -2,8 +2,9 @@
 
 A column's cells are written the way pandas prints the dtype it would infer:
 whole numbers as such (with ``.0`` if any cell is missing), decimals all to the
-same number of places (1 to 6), booleans as True/False, the rest unchanged.
-A missing cell is ``N/A``. Scientific notation is not used.
+same number of places (1 to 6) or, where that would be too long or show nothing,
+with exponents; booleans as True/False, the rest unchanged. A missing cell is
+``N/A``.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ _CELL = r',((?:"(?:[^"]|"")*+"|[^,"])*+)'
 
 # Kinds of cell and column, in the order a column's kind is decided.
 TEXT, BOOL, FLOAT, INT, MISSING = "text", "bool", "float", "int", "missing"
+EXPONENT = "exponent"  # of a column only
 
 
 def cell_kind(cell: Column) -> Column:
@@ -40,8 +42,13 @@ def cell_kind(cell: Column) -> Column:
 
 
 def six_places(cell: Column) -> Column:
-    """A number with exactly six decimal places, as text."""
-    return cell.try_cast("double").cast("decimal(38,6)").cast("string")
+    """A number with exactly six decimal places, as text; null if beyond 32 digits."""
+    return cell.try_cast("double").try_cast("decimal(38,6)").cast("string")
+
+
+def with_exponent(cell: Column) -> Column:
+    """A number as ``1.234568e+06``."""
+    return F.format_string("%.6e", cell.try_cast("double"))
 
 
 def decimals_needed(places: Column) -> Column:
@@ -61,13 +68,13 @@ def escaped(cell: Column) -> Column:
     return cell
 
 
-def write_cell(cell: Column, kind: Column, has_missing: Column, decimals: Column) -> Column:
+def write_cell(cell: Column, kind: Column, decimals: Column) -> Column:
     """One cell's text, given its column's kind."""
     places = six_places(cell)
     written = (
         F.when(kind == BOOL, F.initcap(cell))
-        .when((kind == INT) & has_missing, F.concat(whole_number(cell), F.lit(".0")))
         .when(kind == INT, whole_number(cell))
+        .when(kind == EXPONENT, with_exponent(cell))
         .when(kind == FLOAT, F.left(places, F.length(places) - F.lit(6) + decimals))
         .otherwise(escaped(cell))
     )

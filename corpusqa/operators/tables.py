@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from corpusqa.fixed_values import CELL_SEPARATOR, MISSING_CELL
 from corpusqa.functions.tabletext import (
     BOOL,
+    EXPONENT,
     FLOAT,
     INT,
     MISSING,
@@ -27,6 +28,7 @@ from corpusqa.functions.tabletext import (
     null_tokens,
     six_places,
     whole_number,
+    with_exponent,
     write_cell,
 )
 from corpusqa.functions.text import col, py_strip
@@ -102,6 +104,7 @@ def column_layout(rows: DataFrame) -> DataFrame:
         "places", F.when(F.col("kind").isin(INT, FLOAT), six_places(cell))
     )
     kind = F.col("kind")
+    number = F.when(kind.isin(INT, FLOAT), F.abs(cell.try_cast("double")))
 
     def has(k: str) -> Column:
         return F.coalesce(F.bool_or(kind == k), F.lit(False))
@@ -115,7 +118,11 @@ def column_layout(rows: DataFrame) -> DataFrame:
         widest(F.when(is_name, cell)).alias("w_name"),
         widest(F.when(~is_name, escaped(cell))).alias("w_text"),
         widest(F.when(kind == INT, whole_number(cell))).alias("w_int"),
-        widest(F.col("places")).alias("w_places"),
+        # A number with no fixed text is longer than any.
+        widest(F.when(number.isNotNull(), F.coalesce("places", F.repeat(F.lit("9"), F.lit(99))))).alias("w_places"),
+        widest(F.when(number.isNotNull(), with_exponent(cell))).alias("w_exponent"),
+        F.coalesce(F.bool_or(number > 1e6), F.lit(False)).alias("has_large"),
+        F.coalesce(F.bool_or((number > 0) & (number < 1e-6)), F.lit(False)).alias("has_small"),
         F.count(F.when(~is_name, 1)).alias("n_cells"),
         F.bool_or(is_name).alias("named"),
     )
@@ -124,17 +131,22 @@ def column_layout(rows: DataFrame) -> DataFrame:
         "has_missing",
         F.col("has_missing") | (F.col("n_cells") < F.max("n_cells").over(Window.partitionBy(*TABLE))),
     )
-    number = F.col("has_int") | F.col("has_float")
+    # Whole numbers with a gap among them become decimals, as they do in pandas,
+    # and decimals get exponents by its rule.
+    is_number = F.col("has_int") | F.col("has_float")
+    fixed_width = F.col("w_places") - 6 + F.col("decimals")
+    exponents = F.col("has_small") | (F.col("has_large") & (fixed_width > 12))
     column_kind = (
-        F.when(F.col("has_text") | (F.col("has_bool") & number), TEXT)
+        F.when(F.col("has_text") | (F.col("has_bool") & is_number), TEXT)
         .when(F.col("has_bool"), BOOL)
-        .when(F.col("has_float"), FLOAT)
-        .when(F.col("has_int"), INT)
-        .otherwise(MISSING)
+        .when(~is_number, MISSING)
+        .when(~F.col("has_float") & ~F.col("has_missing"), INT)
+        .when(exponents, EXPONENT)
+        .otherwise(FLOAT)
     )
     body_width = (
-        F.when(F.col("kind") == FLOAT, F.col("w_places") - 6 + F.col("decimals"))
-        .when((F.col("kind") == INT) & F.col("has_missing"), F.col("w_int") + 2)
+        F.when(F.col("kind") == FLOAT, fixed_width)
+        .when(F.col("kind") == EXPONENT, F.col("w_exponent"))
         .when(F.col("kind") == INT, F.col("w_int"))
         .otherwise(F.col("w_text"))
     )
@@ -144,7 +156,7 @@ def column_layout(rows: DataFrame) -> DataFrame:
         F.col("w_name") + F.length(lead), body_width, F.when(F.col("has_missing"), len(MISSING_CELL)).otherwise(0)
     )
     entry = F.struct(
-        "pos", "kind", "has_missing", "decimals", "named", "n_cells",
+        "pos", "kind", "decimals", "named", "n_cells",
         lead.alias("lead"), width.alias("width"),
     )
     return (
@@ -195,7 +207,7 @@ def table_lines(rows: DataFrame) -> DataFrame:
     def placed(cell: Column, at: Column) -> Column:
         name = F.concat(at["lead"], F.coalesce(cell, F.lit("")))
         text = F.when(F.col("row_no") == 0, name).otherwise(
-            write_cell(cell, at["kind"], at["has_missing"], at["decimals"])
+            write_cell(cell, at["kind"], at["decimals"])
         )
         return F.lpad(text, at["width"], F.lit(" "))
 
