@@ -51,7 +51,7 @@ def unescape(c: Column | str) -> Column:
         rest = F.substring(p, F.length(name) + 2, F.lit(2**31 - 1))
         number = F.when(
             name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 32), 16, 10)
-        ).otherwise(F.substring(name, 2, 32)).cast("bigint")
+        ).otherwise(F.substring(name, 2, 32)).try_cast("bigint")
         valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
         char = F.when(
             name.startswith("#"), F.when(valid, _code_point(number))

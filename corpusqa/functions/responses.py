@@ -59,7 +59,9 @@ def python_spelling(elements: pd.Series) -> pd.DataFrame:
         if element is None:
             return [None] * len(PAIR_KEYS)
         fields = json.loads(element)
-        return [str(fields.get(key, "")) for key in PAIR_KEYS]
+        texts = [str(fields.get(key, "")) for key in PAIR_KEYS]
+        # Half a surrogate pair, which JSON can spell, has no place in a column.
+        return [text.encode("utf-8", "replace").decode() for text in texts]
 
     return pd.DataFrame([read(e) for e in elements], columns=PAIR_KEYS, dtype=object)
 

@@ -52,7 +52,7 @@ def window_texts(
 
     def windows(steps: Column) -> Column:
         # A last step no longer than the overlap is inside the window before it.
-        short_end = (F.size(steps) > 1) & (F.length(F.element_at(steps, -1)) <= overlap)
+        short_end = (F.size(steps) > 1) & (F.length(F.try_element_at(steps, F.lit(-1))) <= overlap)
         count = F.size(steps) - F.when(short_end, 1).otherwise(0)
 
         def window(piece: Column, i: Column) -> Column:

@@ -68,7 +68,9 @@ def apply_model(
 
     def call(prompt: str) -> tuple[str | None, str | None]:
         try:
-            return model(prompt), None
+            answer = model(prompt)
+            answer.encode()  # an answer that is no text, or text no column can hold, is an error
+            return answer, None
         except Exception as problem:  # the caller's model may raise anything
             return None, str(problem) or type(problem).__name__
 

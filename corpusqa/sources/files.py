@@ -23,7 +23,7 @@ from corpusqa.functions.filetypes import (
     split_extension,
 )
 from corpusqa.functions.html import html_text
-from corpusqa.functions.text import col, decode_text, fold_newlines, py_strip
+from corpusqa.functions.text import decode_text, fold_newlines, py_strip
 from corpusqa.sources.csv_files import csv_text
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -75,6 +75,24 @@ _TEXT_OR_ERROR = T.StructType(
 )
 
 
+def _texts_or_errors(
+    contents: pd.Series, read: Callable[[bytes], str], expected: type[Exception] | tuple
+) -> pd.DataFrame:
+    """One batch of files through a reader; ``expected`` errors become messages."""
+
+    def one(content: bytes | None) -> tuple[str | None, str | None]:
+        if content is None:
+            return None, None
+        try:
+            text = read(bytes(content))
+            text.encode()  # half a surrogate pair cannot be kept in a column
+            return text, None
+        except expected as problem:
+            return None, str(problem) or type(problem).__name__
+
+    return pd.DataFrame([one(c) for c in contents], columns=["text", "error"], dtype=object)
+
+
 @F.pandas_udf(_TEXT_OR_ERROR)
 def pretty_json(contents: pd.Series) -> pd.DataFrame:
     """JSON text re-printed with indent 2 and non-ASCII kept, or the parse error.
@@ -83,16 +101,10 @@ def pretty_json(contents: pd.Series) -> pd.DataFrame:
     bytes come from Python's printer, one Arrow batch at a time.
     """
 
-    def read(content: bytes | None) -> tuple[str | None, str | None]:
-        if content is None:
-            return None, None
-        try:
-            value = json.loads(bytes(content).decode("utf-8"))
-            return json.dumps(value, indent=2, ensure_ascii=False), None
-        except (ValueError, RecursionError) as problem:
-            return None, str(problem)
+    def read(content: bytes) -> str:
+        return json.dumps(json.loads(content.decode()), indent=2, ensure_ascii=False)
 
-    return pd.DataFrame([read(c) for c in contents], columns=["text", "error"], dtype=object)
+    return _texts_or_errors(contents, read, (ValueError, RecursionError))
 
 
 def _decoded(decode: Callable[[bytes], str]) -> Callable[[Column], Column]:
@@ -100,15 +112,7 @@ def _decoded(decode: Callable[[bytes], str]) -> Callable[[Column], Column]:
 
     @F.pandas_udf(_TEXT_OR_ERROR)
     def run(contents: pd.Series) -> pd.DataFrame:
-        def read(content: bytes | None) -> tuple[str | None, str | None]:
-            if content is None:
-                return None, None
-            try:
-                return decode(bytes(content)), None
-            except Exception as problem:  # a caller's decoder may raise anything
-                return None, str(problem) or type(problem).__name__
-
-        return pd.DataFrame([read(c) for c in contents], columns=["text", "error"], dtype=object)
+        return _texts_or_errors(contents, decode, Exception)
 
     return run
 

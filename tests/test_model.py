@@ -105,6 +105,17 @@ def test_model_function_and_verification(spark):
     assert {tuple(r.verification) for r in checked.collect()} == {("CORRECT", "fine")}
 
 
+def test_answers_that_are_no_text_are_errors(spark):
+    def odd(prompt: str):
+        return None if "chunk 0" in prompt else "\ud800"
+
+    requests = exchange.generation_requests(chunk_table(spark, 2))
+    got = exchange.apply_model(requests, odd).orderBy("chunk_id").collect()
+    assert [r.response for r in got] == [None, None] and all(r.error for r in got)
+    a = answered(spark, '[{"instruction":"\\ud800","output":1.50}]')
+    assert [(r.instruction, r.output) for r in exchange.pairs(a, spelling="python").collect()] == [("?", "1.5")]
+
+
 def test_responses_joined_from_a_table(spark):
     requests = exchange.generation_requests(chunk_table(spark))
     responses = spark.createDataFrame(

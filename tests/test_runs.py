@@ -21,6 +21,7 @@ FILES = {
     "e.html": b"<html><head><title>t</title></head><body><h1>H</h1><p>p</p></body></html>",
     "f.pdf": b"%PDF page one|page two",
     "g.json": b"{broken",
+    "m.json": b'["\\ud800"]',
     "h.txt": b" \n ",
     "i.csv": b"\n",
     "j.zzz": b"not supported",
@@ -56,7 +57,7 @@ def test_texts_of_a_directory(spark, folder):
         "c.json": json.dumps({"k": [1, "é"]}, indent=2, ensure_ascii=False), "h.txt": "",
         "k.md": "# H\nbody\n## G\nmore", "l.txt": "café",
     }
-    assert set(got) - set(text) == {"f.pdf", "g.json", "i.csv"}
+    assert set(got) - set(text) == {"f.pdf", "g.json", "m.json", "i.csv"}
     assert "Unsupported file type" in got["f.pdf"].error
     all_rows = read_texts(spark, folder)
     kept, out = by_name(files.documents(all_rows).collect()), by_name(files.rejects(all_rows).collect())
@@ -107,7 +108,7 @@ def test_mine_documents(spark, folder, tmp_path):
     assert {r.output for r in saved.collect()} >= {"hello\nworld", "body", "more", "H\n\np"}
     stages = {(r.path.rpartition("/")[2], r.stage) for r in mined.rejects.collect()}
     assert stages == {
-        ("f.pdf", "extract"), ("g.json", "extract"), ("h.txt", "extract"), ("i.csv", "extract"), ("l.txt", "call"),
+        ("f.pdf", "extract"), ("g.json", "extract"), ("m.json", "extract"), ("h.txt", "extract"), ("i.csv", "extract"), ("l.txt", "call"),
     }
     summary = mined.summary.first()
     assert summary.total_input_tokens > 0 and summary.total_verification_tokens > 0
