@@ -58,7 +58,7 @@ def difference(spark, con, name: str, run, sql: str, sf_dir: str) -> str | None:
 
 def main() -> None:
     import __spark_entry__ as entry
-    from conftest import session
+    from tests.conftest import session
 
     sf_dir, *names = sys.argv[1:]
     spark, con = session(), duck(sf_dir)

@@ -7,7 +7,7 @@ import inspect
 import pytest
 
 import __spark_entry__ as entry
-from check_sql import difference, duck
+from tests.check_sql import difference, duck
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES, SQL = entry.queries(), entry.oracle_sql()

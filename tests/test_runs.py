@@ -178,3 +178,9 @@ def test_written_keeps_rows_and_schema(spark):
     back = shared.written(df, "t")
     assert back.schema.simpleString() == df.schema.simpleString()
     assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_functions_travel_with_the_plan():
+    from pyspark import cloudpickle
+
+    assert "corpusqa" in cloudpickle.list_registry_pickle_by_value()
