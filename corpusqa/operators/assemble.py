@@ -10,14 +10,15 @@ part follows from the row's own number, so one shuffle is enough.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusqa.fixed_values import HEADER_MARK, PAGE_SEPARATOR, SHEET_MARK, TABLE_MARK
 from corpusqa.functions.text import py_strip
 from corpusqa.operators.tables import row_line, table_lines
 
-PART_ROWS = 10_000  # pages or blocks
+PART_ROWS = 10_000  # pages
+PART_BLOCKS = 100_000  # paragraphs and rows of a Word document
 PART_LINES = 1 << 20  # table rows; the row limit of an Excel sheet
 
 
@@ -57,14 +58,15 @@ def assemble_pages(pages: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     return text.withColumn("text", py_strip("text"))
 
 
-def assemble_blocks(blocks: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
+def assemble_blocks(blocks: DataFrame, part_rows: int = PART_BLOCKS) -> DataFrame:
     """Word-document blocks ``(path, seq, kind, cells)`` to ``path, part, text``.
 
     ``kind`` is ``header`` or ``paragraph`` (one cell, its text), ``section``
     (a page header starts), ``table`` (a table starts) or ``row`` (its cells).
     Headers come first, then paragraphs, then tables, wherever they stood;
     blank paragraphs and blank rows are dropped. A section mark needs header
-    paragraphs after it, but they may be blank.
+    paragraphs after it, but they may be blank. In a document of several parts
+    the order holds within each.
     """
     kind, cells = F.col("kind"), F.col("cells")
     only = F.get(cells, F.lit(0))
@@ -91,27 +93,33 @@ def assemble_workbook(
 
     Mark, table lines and an ending newline of every sheet in turn are joined
     by newlines; nothing is stripped. ``sheet_order`` (``path, sheet,
-    sheet_no``) gives another order. If a sheet is longer than ``part_rows``,
-    part n holds the n-th run of rows of every sheet.
+    sheet_no``) gives another order. Lines are numbered through the whole
+    workbook from the sizes of its sheets, so parts are runs of it as well.
     """
+    sheets = rows.groupBy("path", "sheet").agg(F.max("row_no").alias("last_row"))
+    if sheet_order is None:
+        sheets = sheets.withColumn("sheet_no", F.lit(0))
+    else:
+        sheets = sheets.join(sheet_order.select("path", "sheet", "sheet_no"), ["path", "sheet"])
+    # One row per sheet: its mark is line 0, table row n is line n + 1, its end the last.
+    before = Window.partitionBy("path").orderBy("sheet_no", "sheet").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    sheets = sheets.withColumn(
+        "start", F.coalesce(F.sum(F.col("last_row") + 3).over(before), F.lit(0))
+    )
     opening, closing = SHEET_MARK.split("{sheet}")
     mark = F.concat(F.lit("\n" + opening), F.col("sheet"), F.lit(closing + "\n"))
-    lines = table_lines(rows).select(
-        "path", "sheet", _part("row_no", part_rows), F.lit(1).alias("place"), "row_no", "line"
+    ends = sheets.select(
+        "path",
+        F.inline(
+            F.array(
+                F.struct(F.col("start").alias("line_no"), mark.alias("line")),
+                F.struct((F.col("start") + F.col("last_row") + 2).alias("line_no"), F.lit("\n").alias("line")),
+            )
+        ),
     )
-    first = F.lit(0).cast("bigint").alias("row_no")
-    ends = (
-        rows.filter(F.col("row_no") == 0)
-        .select("path", "sheet", F.lit(0).alias("part"),
-                F.inline(F.array(
-                    F.struct(F.lit(0).alias("place"), first, mark.alias("line")),
-                    F.struct(F.lit(2).alias("place"), first, F.lit("\n").alias("line")),
-                )))
+    body = table_lines(rows).join(sheets.select("path", "sheet", "start"), ["path", "sheet"]).select(
+        "path", (F.col("start") + F.col("row_no") + 1).alias("line_no"), "line"
     )
-    lines = lines.unionByName(ends)
-    if sheet_order is None:
-        lines = lines.withColumn("sheet_no", F.lit(0))
-    else:
-        lines = lines.join(sheet_order.select("path", "sheet", "sheet_no"), ["path", "sheet"])
-    text = _joined("line", "\n", "sheet_no", "sheet", "place", "row_no")
-    return lines.groupBy("path", "part").agg(text.alias("text"))
+    return fold_lines(ends.unionByName(body), ["path"], "line_no", part_rows=part_rows)

@@ -15,7 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusqa.functions.prompts import generation_prompt, verification_prompt
+from corpusqa.functions.prompts import (
+    generation_prompt,
+    generation_tokens,
+    verification_prompt,
+    verification_tokens,
+)
 from corpusqa.functions.responses import (
     PAIR_KEYS,
     field_text,
@@ -37,15 +42,15 @@ def generation_requests(
     chunks: DataFrame, count_tokens: TokenCounter = estimate_tokens, keep: Sequence[str] = ()
 ) -> DataFrame:
     """One request per chunk: ``request_id, op, path, chunk_id, prompt, input_tokens``."""
-    prompted = chunks.select(
+    return chunks.select(
         _request_id(GENERATE, "path", "chunk_id").alias("request_id"),
         F.lit(GENERATE).alias("op"),
         "path",
         "chunk_id",
         *keep,
         generation_prompt("chunk").alias("prompt"),
+        generation_tokens("chunk", count_tokens).alias("input_tokens"),
     )
-    return prompted.withColumn("input_tokens", count_tokens(F.col("prompt")))
 
 
 def apply_model(
@@ -179,16 +184,17 @@ def verification_requests(
     whole = pairs.filter("complete")
     if chunks is not None:
         whole = whole.join(chunks.select("path", "chunk_id", "chunk"), ["path", "chunk_id"])
-    prompted = whole.select(
+    shown = ["chunk", "instruction", "output"]
+    return whole.select(
         _request_id(VERIFY, "path", "chunk_id", "pair_id").alias("request_id"),
         F.lit(VERIFY).alias("op"),
         "path",
         "chunk_id",
         "pair_id",
         *PAIR_KEYS,
-        verification_prompt("chunk", "instruction", "output").alias("prompt"),
+        verification_prompt(*shown).alias("prompt"),
+        verification_tokens(*shown, count_tokens).alias("input_tokens"),
     )
-    return prompted.withColumn("input_tokens", count_tokens(F.col("prompt")))
 
 
 def verified_pairs(answered: DataFrame, mode: str = "prefix") -> DataFrame:

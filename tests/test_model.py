@@ -7,8 +7,14 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from corpusqa.functions.prompts import generation_prompt, verification_prompt
+from corpusqa.functions.prompts import (
+    generation_prompt,
+    generation_tokens,
+    verification_prompt,
+    verification_tokens,
+)
 from corpusqa.functions.responses import json_elements, verdict
+from corpusqa.functions.tokens import estimate_tokens
 from corpusqa.operators import exchange, rates, usage
 from corpusqa.plans.mining import mine, process_text, verify_dataset
 
@@ -65,6 +71,18 @@ def test_prompts_keep_special_characters(spark):
     assert '{\n    "verdict": "CORRECT" or "INCORRECT",' in row.v and "{{" not in row.v
 
 
+def test_counting_by_pieces_equals_counting_the_prompt(spark):
+    texts = ["", "a", " b ", "x1y2", ":", "\n", "{braces}", "…é 12345"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    pieces = df.select(
+        generation_tokens("t", estimate_tokens), verification_tokens("t", "t", "t", estimate_tokens)
+    )
+    whole = df.select(
+        estimate_tokens(generation_prompt("t")), estimate_tokens(verification_prompt("t", "t", "t"))
+    )
+    assert [tuple(r) for r in pieces.collect()] == [tuple(r) for r in whole.collect()]
+
+
 @pytest.mark.parametrize(
     "response, error, mode, want",
     [

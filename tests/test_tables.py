@@ -111,6 +111,8 @@ def test_workbook(spark):
     order = spark.createDataFrame([("w", "One", 2), ("w", "Two", 1)], "path string, sheet string, sheet_no int")
     turned = "\n".join(parts[3:] + parts[:3])
     assert [r.text for r in assemble.assemble_workbook(rows, order).collect()] == [turned]
+    cut = assemble.assemble_workbook(rows, part_rows=2).orderBy("part").collect()
+    assert len(cut) == 5 and "\n".join(r.text for r in cut) == "\n".join(parts)
 
 
 def test_table_of_one_hot_path(spark):
