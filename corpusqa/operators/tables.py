@@ -171,19 +171,21 @@ def _with_layout(rows: DataFrame) -> DataFrame:
     return rows.join(column_layout(rows), TABLE)
 
 
+def _is_empty(at: Column) -> Column:
+    """Whether a column has cells and all are missing."""
+    return (at["kind"] == MISSING) & (at["n_cells"] > 0)
+
+
 def drop_empty_table_columns(rows: DataFrame) -> DataFrame:
-    """Table rows without the columns whose every value is missing, per table."""
-    kept = F.filter(
-        F.zip_with(
-            "cells",
-            "layout",
-            lambda c, at: F.struct(c.alias("cell"), (at["kind"] != MISSING).alias("keep")),
-        ),
-        lambda x: x["keep"],
-    )
-    return _with_layout(rows).select(
-        *TABLE, "row_no", F.transform(kept, lambda x: x["cell"]).alias("cells")
+    """Table rows without the columns whose every value is missing, per table.
+
+    A table without rows keeps its columns.
+    """
+    placed = F.zip_with(
+        "cells", "layout", lambda c, at: F.struct(c.alias("cell"), _is_empty(at).alias("empty"))
     )
+    kept = F.transform(F.filter(placed, lambda x: ~x["empty"]), lambda x: x["cell"])
+    return _with_layout(rows).select(*TABLE, "row_no", kept.alias("cells"))
 
 
 def drop_empty_columns(table: DataFrame) -> DataFrame:
@@ -196,12 +198,13 @@ def drop_empty_columns(table: DataFrame) -> DataFrame:
     return table.select(*[f"`{c}`" for c in table.columns if counts[c] > 0])
 
 
-def table_lines(rows: DataFrame) -> DataFrame:
+def table_lines(rows: DataFrame, drop_empty_columns: bool = False) -> DataFrame:
     """Each table row as one aligned line: ``path, sheet, row_no, line, problem``.
 
     Right-aligned columns with one space between, the header line first; a
     table without rows is the three lines pandas prints for one. ``problem`` is set on the rows of a table in which a record has more cells
-    than there are column names.
+    than there are column names. ``drop_empty_columns`` leaves out columns
+    whose every value is missing, by the same layout and so in the same pass.
     """
 
     def placed(cell: Column, at: Column) -> Column:
@@ -209,7 +212,9 @@ def table_lines(rows: DataFrame) -> DataFrame:
         text = F.when(F.col("row_no") == 0, name).otherwise(
             write_cell(cell, at["kind"], at["decimals"])
         )
-        return F.lpad(text, at["width"], F.lit(" "))
+        padded = F.lpad(text, at["width"], F.lit(" "))
+        # The join below skips nulls.
+        return F.when(~_is_empty(at), padded) if drop_empty_columns else padded
 
     line = F.array_join(F.zip_with("cells", "layout", placed), " ")
     no_rows = F.concat(

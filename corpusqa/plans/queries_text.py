@@ -347,8 +347,22 @@ def table_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_PART_LINES + " AS line FROM w JOIN l USING (path)")
 def filled_table_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same tables without their empty columns."""
+    lines = tables.table_lines(_parts(spark, sf_dir), drop_empty_columns=True)
+    return lines.select("path", "row_no", "line")
+
+
+@query("""SELECT p_brand || '.csv' AS path, p_partkey + 1 AS row_no, 4 AS n_cells,
+    p_partkey || '|' || CASE WHEN p_partkey % 4 > 0 THEN p_name ELSE '' END || '|'
+      || CASE WHEN p_size % 7 > 0 THEN CAST(p_size AS VARCHAR) ELSE '' END || '|' || p_retailprice AS cells
+  FROM part UNION ALL
+  SELECT DISTINCT p_brand || '.csv', 0, 4, 'p_partkey|p_name|p_size|p_retailprice' FROM part""")
+def filled_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Their rows without the empty columns, as cells."""
     rows = tables.drop_empty_table_columns(_parts(spark, sf_dir))
-    return tables.table_lines(rows).select("path", "row_no", "line")
+    return rows.select(
+        "path", "row_no", F.size("cells").alias("n_cells"),
+        F.array_join("cells", "|", "").alias("cells"),
+    )
 
 
 @query("SELECT n_nationkey, n_name, n_regionkey FROM nation")

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from corpusqa.fixed_values import CSV_NULL_TOKENS
 from corpusqa.functions.tabletext import DECIMAL, WHOLE
 from corpusqa.operators.assemble import PART_LINES
-from corpusqa.operators.tables import csv_rows, drop_empty_table_columns, table_lines
+from corpusqa.operators.tables import csv_rows, table_lines
 
 
 def read_csv_table(
@@ -62,10 +62,7 @@ def csv_text(texts: DataFrame, drop_empty_columns: bool = False) -> DataFrame:
     comes in parts ``path``, ``path#1``, ``path#2``... A file with a record longer
     than its header gives an error instead; one without any record gives no row.
     """
-    rows = csv_rows(texts)
-    if drop_empty_columns:
-        rows = drop_empty_table_columns(rows)
-    lines = table_lines(rows)
+    lines = table_lines(csv_rows(texts), drop_empty_columns)
     part = F.floor(F.col("row_no") / PART_LINES)
     folded = lines.groupBy("path", part.alias("part")).agg(
         F.expr("listagg(line, '\\n') within group (order by row_no)").alias("text"),
