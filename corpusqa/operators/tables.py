@@ -150,8 +150,10 @@ def column_layout(rows: DataFrame) -> DataFrame:
         .when(F.col("kind") == INT, F.col("w_int"))
         .otherwise(F.col("w_text"))
     )
-    # pandas sets the name of a numeric or boolean column one place in.
-    lead = F.when(F.col("kind") == TEXT, "").otherwise(" ")
+    # pandas sets the name of a numeric or boolean column one place in; booleans
+    # with a gap among them are objects to it.
+    objects = (F.col("kind") == TEXT) | ((F.col("kind") == BOOL) & F.col("has_missing"))
+    lead = F.when(objects, "").otherwise(" ")
     width = F.greatest(
         F.col("w_name") + F.length(lead), body_width, F.when(F.col("has_missing"), len(MISSING_CELL)).otherwise(0)
     )

@@ -24,6 +24,7 @@ CSV_FILES = [
     "long column name,é\nx,ü\n\n\ny,z\n",
     "big,gap,small\n1234567890.25,12345678901,0.0000001\n1.5,,1\n-3,7,2\n",
     "long,e\n1234567.125,1e300\n2.5,-2\n",
+    "boolean,other boolean\ntrue,False\n,True\n",
     "hash\n9527e33\n12e3\nab\n",
     "mixed,flag\n1,true\nx,\n2.5,false\n",
 ]
