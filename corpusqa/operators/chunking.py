@@ -209,17 +209,33 @@ def code_chunks(
 
 # -- header splitting -------------------------------------------------------------
 
-_MD_HEADER = r"[ \t]*#{1,3}(?:[ \t][^\n]*+)?+(?:\n|\z)"
-_MD_HEAD = rf"\A{_MD_HEADER}"
-_MD_FENCE = "".join(
-    [
-        r"(?:[ \t]*```[^`\n]*+\n(?:(?![ \t]*```)[^\n]*+\n)*+[^\n]*+(?:\n|\z)",
-        r"|[ \t]*~~~[^\n]*+\n(?:(?![ \t]*~~~)[^\n]*+\n)*+[^\n]*+(?:\n|\z))",
-    ]
+_MD_FENCE = (
+    r"(?:[ \t]*```[^`\n]*+\n(?:(?![ \t]*```)[^\n]*+\n)*+[^\n]*+(?:\n|\z)"
+    r"|[ \t]*~~~[^\n]*+\n(?:(?![ \t]*~~~)[^\n]*+\n)*+[^\n]*+(?:\n|\z))"
 )
-_MD_LINE = rf"(?!{_MD_HEADER})[^\n]*+(?:\n|\z)"
-_MD_BODY = rf"(?:{_MD_FENCE}|{_MD_LINE})"
-_MD_SECTION = rf"(?:{_MD_HEADER}{_MD_BODY}*+|{_MD_BODY}++)"
+
+
+def _md_header(levels: str) -> str:
+    """Pattern of a header line with that many ``#``."""
+    return r"[ \t]*#{%s}(?:[ \t][^\n]*+)?+(?:\n|\z)" % levels
+
+
+def _md_section(levels: str) -> str:
+    """Pattern of a header line and all up to the next, or of what stands before the first."""
+    header = _md_header(levels)
+    body = rf"(?:{_MD_FENCE}|(?!{header})[^\n]*+(?:\n|\z))"
+    return rf"(?:{header}{body}*+|{body}++)"
+
+
+_MD_SECTION = _md_section("1,3")
+_MD_HEAD = rf"\A{_md_header('1,3')}"
+
+
+def _headed(section: Column, levels: str) -> tuple[Column, Column]:
+    """A section's header line (null if it has none) and its body, both stripped."""
+    head = F.regexp_extract(section, rf"\A{_md_header(levels)}", 0)
+    body = F.substring(section, F.length(head) + 1, F.lit(2**31 - 1))
+    return F.when(head != "", py_strip(head)), py_strip(body)
 
 
 def markdown_sections(
@@ -236,11 +252,8 @@ def markdown_sections(
     sections = F.regexp_extract_all(fold_newlines("text"), F.lit(_MD_SECTION), F.lit(0))
 
     def parts(section: Column) -> Column:
-        head = F.regexp_extract(section, _MD_HEAD, 0)
-        body = F.substring(section, F.length(head) + 1, F.lit(2**31 - 1))
-        return F.struct(
-            F.when(head != "", py_strip(head)).alias("header"), py_strip(body).alias("chunk")
-        )
+        header, body = _headed(section, "1,3")
+        return F.struct(header.alias("header"), body.alias("chunk"))
 
     filled = F.filter(F.transform(sections, parts), lambda s: s["chunk"] != "")
     found = documents.select("path", *keep, F.posexplode(filled).alias("chunk_id", "_s"))
@@ -249,6 +262,37 @@ def markdown_sections(
     )
 
 
+def markdown_header_paths(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """``markdown_sections`` with the headings each section stands under: ``h1, h2, h3``.
+
+    The text is cut at ``#``, each piece at ``##``, each of those at ``###``, so
+    a piece's headings come from the cuts around it; the levels are nested
+    arrays of one row and nothing is shuffled or carried from row to row.
+    """
+
+    def title(header: Column) -> Column:
+        return py_strip(F.regexp_replace(header, "^#+", ""))
+
+    def cut(text: Column, level: int, above: list[Column]) -> Column:
+        pattern = F.lit(_md_section(str(level)))
+        pieces = F.filter(F.regexp_extract_all(text, pattern, F.lit(0)), lambda p: p != "")
+
+        def piece(p: Column) -> Column:
+            header, body = _headed(p, str(level))
+            titles = [*above, title(header)]
+            if level == 3:
+                names = [t.alias(f"h{n}") for n, t in enumerate(titles, 1)]
+                return F.struct(*names, body.alias("chunk"))
+            return cut(body, level + 1, titles)
+
+        cuts = F.transform(pieces, piece)
+        return cuts if level == 3 else F.flatten(cuts)
+
+    sections = F.filter(cut(fold_newlines("text"), 1, []), lambda s: s["chunk"] != "")
+    found = documents.select("path", *keep, F.posexplode(sections).alias("chunk_id", "_s"))
+    return found.select("path", *keep, "chunk_id", "_s.h1", "_s.h2", "_s.h3", "_s.chunk")
+
+
 def html_header_sections(
     documents: DataFrame, keep: Sequence[str] = (), max_size: int | None = None
 ) -> DataFrame:

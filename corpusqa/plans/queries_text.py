@@ -416,7 +416,7 @@ def splitter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""WITH l AS (
+_MARKED = f"""WITH l AS (
     SELECT path, i, CASE WHEN i % 7 = 5 THEN '```' WHEN i % 3 = 0 THEN repeat('#', CAST(1 + i % 4 AS INTEGER)) || ' ' || line ELSE line END AS line
     FROM (SELECT source || '/doc' || doc_id || '.md' AS path, unnest(string_split(text, chr(10))) AS line,
                  unnest(range(len(string_split(text, chr(10))))) AS i FROM documents)),
@@ -425,10 +425,11 @@ def splitter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
   s AS (SELECT *, sum(CASE WHEN is_header THEN 1 ELSE 0 END) OVER (PARTITION BY path ORDER BY i) AS section FROM h),
   g AS (SELECT path, section, {strip_sql("max(CASE WHEN is_header THEN line END)")} AS header,
       {strip_sql("coalesce(string_agg(CASE WHEN NOT is_header THEN line END, chr(10) ORDER BY i), '')")} AS chunk
-    FROM s GROUP BY path, section)
-  SELECT path, header, CAST(row_number() OVER (PARTITION BY path ORDER BY section) - 1 AS INTEGER) AS chunk_id, chunk
-  FROM g WHERE chunk <> ''""")
-def md_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    FROM s GROUP BY path, section)"""
+_DENSE_ID = "CAST(row_number() OVER (PARTITION BY path ORDER BY section) - 1 AS INTEGER) AS chunk_id"
+
+
+def _marked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with every third line made a header and every seventh a fence."""
     docs = table(spark, sf_dir, "documents", "doc_id")
 
@@ -440,11 +441,36 @@ def md_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(line)
         )
 
-    marked = docs.select(
+    return docs.select(
         samples.document_path(F.lit(".md")).alias("path"),
         F.array_join(F.transform(F.split("text", "\n"), mark), "\n").alias("text"),
     )
-    return chunking.markdown_sections(marked)
+
+
+@query(f"{_MARKED} SELECT path, header, {_DENSE_ID}, chunk FROM g WHERE chunk <> ''")
+def md_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.markdown_sections(_marked_documents(spark, sf_dir))
+
+
+def _latest(level: int) -> str:
+    frame = "OVER (PARTITION BY path ORDER BY section)"
+    return f"coalesce(max(CASE WHEN level = {level} THEN section END) {frame}, -1) AS s{level}"
+
+
+_TITLE = strip_sql("regexp_replace(header, '^#+', '')")
+
+
+@query(f"""{_MARKED},
+  p AS (SELECT *, length(regexp_extract(header, '^#+')) AS level, {_TITLE} AS title FROM g),
+  q AS (SELECT *, {_latest(1)}, {_latest(2)}, {_latest(3)} FROM p)
+  SELECT q.path, a.title AS h1, b.title AS h2, c.title AS h3,
+    {_DENSE_ID.replace('path', 'q.path').replace('BY section', 'BY q.section')}, q.chunk
+  FROM q LEFT JOIN p a ON a.path = q.path AND a.section = s1
+  LEFT JOIN p b ON b.path = q.path AND b.section = s2 AND s2 > s1
+  LEFT JOIN p c ON c.path = q.path AND c.section = s3 AND s3 > s1 AND s3 > s2
+  WHERE q.chunk <> ''""")
+def md_header_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.markdown_header_paths(_marked_documents(spark, sf_dir))
 
 
 @query()

@@ -10,6 +10,7 @@ from corpusqa.operators.chunking import (
     char_windows,
     code_chunks,
     html_header_sections,
+    markdown_header_paths,
     markdown_sections,
     recursive_chunks,
     recursive_spans,
@@ -140,6 +141,20 @@ def test_markdown_sections(spark):
     ]
 
 
+def test_markdown_header_paths(spark):
+    text = MARKDOWN + "\n~~~\n### Deep\nd\n## Side\ns\n# \n## Under\nu"
+    rows = markdown_header_paths(docs(spark, ("a.md", text))).orderBy("chunk_id").collect()
+    assert [(r.chunk_id, r.h1, r.h2, r.h3, r.chunk) for r in rows] == [
+        (0, None, None, None, "intro\nmore"),
+        (1, "One", None, None, "body one\n```\n# not header\n```"),
+        (2, "One", "Two", "Three", "x\n#### four is text\n#nor this"),
+        (3, "Last", None, None, "~~~\n# open fence\n~~~"),
+        (4, "Last", None, "Deep", "d"),
+        (5, "Last", "Side", None, "s"),
+        (6, "", "Under", None, "u"),
+    ]
+
+
 def test_markdown_sections_of_a_very_long_document(spark):
     text = "x\n" * 300_000 + "# h\n" + "y\n" * 10
     rows = markdown_sections(docs(spark, ("a.md", text))).orderBy("chunk_id").collect()
