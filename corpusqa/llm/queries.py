@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusqa.llm import decontaminate, simhash
+from corpusqa.llm import decontaminate, packing, shard, simhash, suffix
 from corpusqa.llm.common import table
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+SHARDS = 24
+
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decontaminate.measured(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -18,12 +22,36 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = shard.sharded(table(spark, sf_dir, "documents"), [1.0] * SHARDS, extra=1.0)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix.without_repeats(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def packed_pieces(docs: DataFrame) -> DataFrame:
+    rows = packing.packed(docs, TOKENIZER)
+    return rows.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_pieces(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op3_decontamination": op3_decontamination,
+    "op7_rendezvous_shards": op7_rendezvous_shards,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
 }
 SQL: dict[str, str] = {}
