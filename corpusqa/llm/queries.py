@@ -6,13 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusqa.llm import decontaminate, packing, shard, simhash, suffix
+from corpusqa.llm import decontaminate, packing, shard, simhash, suffix, toxicity
 from corpusqa.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 SHARDS = 24
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    network = toxicity.learned(docs, table(spark, sf_dir, "labels"))
+    rows = docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), toxicity.score(F.col("text"), network).alias("score"))
+    return rows.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decontaminate.measured(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     ids = F.array_sort(F.transform(F.coalesce("item_ids", F.array().cast("array<bigint>")), lambda i: i.cast("string")))
@@ -48,6 +55,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
     "op7_rendezvous_shards": op7_rendezvous_shards,
     "op8_substring_dedup": op8_substring_dedup,
