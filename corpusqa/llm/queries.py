@@ -6,13 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusqa.llm import decontaminate, packing, shard, simhash, suffix, toxicity
+from corpusqa.llm import decontaminate, licences, linededup, packing, sampling, shard, simhash, suffix, toxicity
 from corpusqa.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 SHARDS = 24
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = licences.scanned(table(spark, sf_dir, "documents"), licences.known_licences(spark))
+    return rows.select(
+        "doc_id", "digest", F.array_join("licences", ",").alias("licences"), F.array_join("notices", ",").alias("notices")
+    )
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     network = toxicity.learned(docs, table(spark, sf_dir, "labels"))
@@ -29,6 +36,14 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_counts(table(spark, sf_dir, "documents"))
+
+
+def op6_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.neighbours(table(spark, sf_dir, "documents"))
+
+
 def op7_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shard.sharded(table(spark, sf_dir, "documents"), [1.0] * SHARDS, extra=1.0)
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -55,11 +70,17 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
+    "op4_line_dedup": op4_line_dedup,
+    "op6_weighted_sampling": op6_weighted_sampling,
     "op7_rendezvous_shards": op7_rendezvous_shards,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_license_scan": licences.scan_sql(),
+    "op4_line_dedup": linededup.LINE_COUNTS_SQL,
+}
