@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusqa.llm import decontaminate, licences, linededup, packing, sampling, shard, simhash, suffix, toxicity
+from corpusqa.llm import decontaminate, licences, linededup, packing, private, sampling, shard, simhash, suffix, toxicity
 from corpusqa.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -40,6 +40,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_counts(table(spark, sf_dir, "documents"))
 
 
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a fixed key makes the check's results repeatable; real runs pass their own
+    return private.pseudonymised(table(spark, sf_dir, "documents"), secret="check")
+
+
 def op6_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.neighbours(table(spark, sf_dir, "documents"))
 
@@ -74,6 +79,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_decontamination": op3_decontamination,
     "op4_line_dedup": op4_line_dedup,
+    "op5_surrogates": op5_surrogates,
     "op6_weighted_sampling": op6_weighted_sampling,
     "op7_rendezvous_shards": op7_rendezvous_shards,
     "op8_substring_dedup": op8_substring_dedup,
