@@ -142,7 +142,8 @@ def neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", samp
                 else:
                     ids, texts = [held_id, *ids], [held, *texts]
                 held_id, held = ids[-1], texts[-1]
-                yield _compared(ids, texts, samples).assign(part=None, first_text=None, last_id=None, last_text=None)
+                if len(texts) > 1:
+                    yield _compared(ids, texts, samples).assign(part=None, first_text=None, last_id=None, last_text=None)
         if held is not None:
             row = dict.fromkeys(_COLUMNS) | {"part": part, "first_text": first, "last_id": held_id, "last_text": held}
             yield pd.DataFrame({k: pd.Series([v], dtype=object) for k, v in row.items()})

@@ -41,8 +41,8 @@ POSITIVES, NEGATIVES, SAMPLED = 1200, 2400, 16
 SEED = 7
 #: Words in fewer learned documents have no vector of their own.
 RARE = 5
-DECAY = 1e-4
-MIN_STEPS = 200
+DECAY = 3e-4
+MIN_STEPS = 150
 
 
 def ngrams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
