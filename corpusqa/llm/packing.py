@@ -28,26 +28,29 @@ CAPACITY = 1024
 LINEAR, QUADRATIC = 1.0, 1.0 / 512
 #: Documents that are packed together.
 GROUP = 4096
-#: Pieces of text whose ids a task keeps; the rest is encoded again when met again.
-CACHE = 400_000
+#: Distinct words whose ids a task keeps (about 200 bytes each) before it starts anew.
+CACHE = 1_000_000
 END = 0
 
 
 class Encoder:
-    """Ids of texts, encoding each distinct space-parted piece once.
+    """Ids of texts, encoding each distinct word once.
 
-    This vocabulary's merges never cross the place before a single space between
-    solid characters, so ids of such pieces can be put together. Texts for which
-    that isn't sure (other white space at a piece's edge, special strings) are
-    encoded whole.
+    This vocabulary's merges never cross a single space or line feed between solid
+    characters, nor the place between a letter or digit and a full stop or comma. So
+    a text's ids are those of its words, each with the space or line feed before it.
+    A text for which that isn't sure (other white space next to a space, special
+    strings) is encoded whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        size = self.tokenizer.get_vocab_size()
-        self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        # ids that open a word: with its space (as this vocabulary spells it), or its line feed
+        self.opens = {" ": np.array([n.startswith("Ġ") for n in names]), "\n": np.array([n == "Ċ" for n in names])}
+        self.marks = {m: int(self.whole([m])[0][0]) for m in ".,"}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._clear()
 
@@ -59,42 +62,63 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _sure(self, piece: str) -> bool:
-        return bool(piece) and not piece[0].isspace() and not piece[-1].isspace() and not any(s in piece for s in self.special)
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Ids of new pieces: one text for all, cut again at ids that open with the space."""
-        sure = [p for p in pieces if self._sure(p)]
-        self.known.update(dict.fromkeys(pieces.difference(sure), -1))
-        for lo in range(0, len(sure), 20_000):
-            some = sure[lo : lo + 20_000]
-            ids = self.whole([" " + " ".join(some)])[0]
-            at = np.flatnonzero(self.opens[ids])
-            if len(at) != len(some):
-                raise ValueError("a piece's ids don't open with its space")
-            self.known.update(zip(some, range(len(self.start), len(self.start) + len(some))))
-            self.start = np.append(self.start, at + len(self.flat))
-            self.length = np.append(self.length, np.diff(np.append(at, len(ids))))
-            self.flat = np.append(self.flat, ids)
+    def _keep(self, words: list[str], ids: np.ndarray, first: np.ndarray) -> None:
+        self.known.update(zip(words, range(len(self.start), len(self.start) + len(words))))
+        self.start = np.append(self.start, first + len(self.flat))
+        self.length = np.append(self.length, np.diff(np.append(first, len(ids))))
+        self.flat = np.append(self.flat, ids)
+
+    def _gather(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of known words, one after the other, and where each begins."""
+        length = self.length[words]
+        first = np.cumsum(length) - length
+        return self.flat[np.repeat(self.start[words] - first, length) + np.arange(length.sum())], first
+
+    def _learn(self, words: set[str]) -> None:
+        marked = [w for w in words if len(w) > 1 and w[-1] in ".," and w[-2].isalnum()]
+        plain = words.difference(marked).union([w[:-1] for w in marked]).difference(self.known)
+        kinds: dict[str, list[str]] = {" ": [], "\n": []}
+        for w in plain:
+            feed = w[:1] == "\n"
+            bare = w[1:] if feed else w
+            if bare and not bare[0].isspace() and not bare[-1].isspace():
+                kinds["\n" if feed else " "].append(w)
+            else:
+                self.known[w] = -1
+        for opener, some in kinds.items():
+            for lo in range(0, len(some), 20_000):
+                part = some[lo : lo + 20_000]
+                # one text for all, cut again where words open
+                ids = self.whole([" " + " ".join(part) if opener == " " else "".join(part)])[0]
+                first = np.flatnonzero(self.opens[opener][ids])
+                if len(first) != len(part):
+                    raise ValueError("ids don't open with what parts the words")
+                self._keep(part, ids, first)
+        base = np.array([self.known[w[:-1]] for w in marked], np.int64)
+        self.known.update((w, -1) for w, n in zip(marked, base) if n < 0)
+        marked, base = [w for w, n in zip(marked, base) if n >= 0], base[base >= 0]
+        ids, first = self._gather(base)
+        ends = np.append(first[1:], len(ids))[: len(first)]
+        ids = np.insert(ids, ends, [self.marks[w[-1]] for w in marked])
+        self._keep(marked, ids, first + np.arange(len(first)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [t.split(" ") for t in texts]
-        # a text's first piece has no space before it
-        new = set().union(*[c[1:] for c in cut]).difference(self.known)
+        # a text's first word has nothing before it
+        cut = [t.replace("\n", " \n").split(" ") for t in texts]
+        words = set().union(*[c[1:] for c in cut])
+        new = words.difference(self.known)
         if len(self.known) + len(new) > CACHE and self.known:
             self._clear()
-            new = set().union(*[c[1:] for c in cut])
+            new = words
         self._learn(new)
         heads = self.whole([c[0] for c in cut])
         out: list[np.ndarray | None] = []
-        for text, pieces, head in zip(texts, cut, heads):
-            n = np.fromiter(map(self.known.__getitem__, pieces[1:]), np.int64, len(pieces) - 1)
-            if len(n) and (n.min() < 0 or not self._sure(pieces[0])):
+        for text, c, head in zip(texts, cut, heads):
+            n = np.fromiter(map(self.known.__getitem__, c[1:]), np.int64, len(c) - 1)
+            if any(s in text for s in self.special) or (len(n) and (n.min() < 0 or not c[0] or c[0][-1].isspace())):
                 out.append(None)
-                continue
-            length = self.length[n]
-            shift = np.repeat(self.start[n] - (np.cumsum(length) - length), length)
-            out.append(np.concatenate([head, self.flat[shift + np.arange(len(shift))]]) if len(n) else head)
+            else:
+                out.append(np.concatenate([head, self._gather(n)[0]]))
         rest = [i for i, ids in enumerate(out) if ids is None]
         for i, ids in zip(rest, self.whole([texts[i] for i in rest]) if rest else []):
             out[i] = ids
