@@ -25,7 +25,7 @@ BLOCK_TAG = (
 ANY_TAG = r"<[/!?]?[A-Za-z][^>]*>"
 # References other than the ones plain replacements below can take.
 _OTHER_ENTITY = r"&(?!(?:amp|lt|gt|quot);)[A-Za-z#]"
-_ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+_ENTITY = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]+);"
 
 
 # The named references of HTML 4, from the standard library, and one of XML.
@@ -49,9 +49,9 @@ def unescape(c: Column | str) -> Column:
     def piece(p: Column) -> Column:
         name = F.regexp_extract(p, _ENTITY, 1)
         rest = F.substring(p, F.length(name) + 2, F.lit(2**31 - 1))
-        number = F.when(
-            name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 32), 16, 10)
-        ).otherwise(F.substring(name, 2, 32)).try_cast("bigint")
+        # leading zeros are no digits of the value; ten are more than any valid one has
+        digits = F.regexp_extract(name, "^#[xX]?0*([0-9a-fA-F]{1,10})$", 1)
+        number = F.when(name.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint")
         valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
         char = F.when(
             name.startswith("#"), F.when(valid, _code_point(number))

@@ -26,13 +26,16 @@ def json_array_text(response: Column | str) -> Column:
 def json_elements(response: Column | str) -> Column:
     """Elements of the response's JSON array as JSON texts; null if invalid.
 
-    The array is wrapped in an object before parsing: parsed bare, text after
-    the array would be accepted. No array gives ``{"r":}``, which is invalid as
-    well. Going through ``array<string>`` keeps one bad element from nulling
-    all the others.
+    Parsed bare, text after the array would be accepted, so it is wrapped, in two
+    ways: as an object's value, where it could add keys of its own, and as an
+    array's element, where it could add elements. Only one JSON text alone passes
+    both. Going through ``array<string>`` keeps one bad element from nulling all
+    the others.
     """
-    wrapped = F.concat(F.lit('{"r":'), json_array_text(response), F.lit("}"))
-    return F.from_json(wrapped, "r array<string>", _STRICT).getField("r")
+    array = json_array_text(response)
+    value = F.from_json(F.concat(F.lit('{"r":'), array, F.lit("}")), "r array<string>", _STRICT)["r"]
+    alone = F.from_json(F.concat(F.lit('{"r":['), array, F.lit("]}")), "r array<string>", _STRICT)["r"]
+    return F.when(F.size(alone) == 1, value)
 
 
 def pair_fields(element: Column) -> Column:

@@ -15,15 +15,18 @@ from pyspark.sql import functions as F
 from corpusqa.fixed_values import CSV_NULL_TOKENS, MISSING_CELL
 from corpusqa.functions.text import col
 
-WHOLE = r"^\s*[+-]?[0-9]{1,18}\s*$"
+WHOLE = r"^\s*[+-]?[0-9]+\s*$"
 DECIMAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,3})?\s*$"
 BOOLEAN = r"^(True|TRUE|true|False|FALSE|false)$"
 
-# One record: cells and line breaks inside quotes belong to it. One cell and the
-# comma before it: quoted (a doubled quote stands for one) or bare. Possessive, so
-# matching never backs up.
-_RECORD = r'(?:[^"\n]|"(?:[^"]|"")*+")++'
-_CELL = r',((?:"(?:[^"]|"")*+"|[^,"])*+)'
+# A cell is quoted only if it begins with a quote: commas and line breaks up to the
+# closing quote belong to it, and a doubled quote stands for one; what follows the
+# closing quote is kept as it is, and so is a quote inside a bare cell. A quote that
+# is never closed takes the rest of the text. Possessive, so matching never backs up.
+_QUOTED = r'"(?:[^"]|"")*+'
+_RECORD = rf'(?:{_QUOTED}(?:"[^,\n]*+|\z)|[^,\n"][^,\n]*+|)(?:,(?:{_QUOTED}(?:"[^,\n]*+|\z)|[^,\n"][^,\n]*+|))*+'
+_CELL = rf',({_QUOTED}(?:"[^,]*+|\z)|[^,"][^,]*+|)'
+_CLOSED = rf'^{_QUOTED}"'
 
 # Kinds of cell and column, in the order a column's kind is decided.
 TEXT, BOOL, FLOAT, INT, MISSING = "text", "bool", "float", "int", "missing"
@@ -34,7 +37,7 @@ def cell_kind(cell: Column) -> Column:
     """How one cell reads by itself."""
     return (
         F.when(cell.isNull(), MISSING)
-        .when(cell.rlike(WHOLE), INT)
+        .when(cell.rlike(WHOLE), F.when(whole_number(cell).isNotNull(), INT).otherwise(TEXT))
         .when(cell.rlike(DECIMAL), FLOAT)
         .when(cell.rlike(BOOLEAN), BOOL)
         .otherwise(TEXT)
@@ -58,7 +61,9 @@ def decimals_needed(places: Column) -> Column:
 
 
 def whole_number(cell: Column) -> Column:
-    return cell.try_cast("bigint").cast("string")
+    """A whole number as text, exactly; null beyond 64 bits, which stay text."""
+    exact = cell.try_cast("decimal(38,0)")
+    return F.when(exact.between(F.lit(-(2**63)).cast("decimal(38,0)"), F.lit("18446744073709551615").cast("decimal(38,0)")), exact.cast("string"))
 
 
 def escaped(cell: Column) -> Column:
@@ -87,19 +92,26 @@ def null_tokens(cell: Column) -> Column:
 
 
 def csv_records(text: Column | str) -> Column:
-    """Non-blank records of a CSV text, ``array<string>``, newlines folded."""
-    found = F.regexp_extract_all(col(text), F.lit(_RECORD), F.lit(0))
+    """Non-blank records of a CSV text, ``array<string>``, newlines folded; a byte order mark is no text."""
+    bare = F.regexp_replace(col(text), r"\A\x{feff}", "")
+    found = F.regexp_extract_all(bare, F.lit(_RECORD), F.lit(0))
     return F.filter(found, lambda r: r.rlike(r"\S"))
 
 
+def unclosed(cell: Column) -> Column:
+    """Whether a cell as it stands in its record opens a quote that is never closed."""
+    return cell.startswith('"') & ~cell.rlike(_CLOSED)
+
+
 def csv_cells(record: Column | str) -> Column:
-    """Cells of one record, unquoted."""
-    led = F.concat(F.lit(","), col(record))
-    cells = F.regexp_extract_all(led, F.lit(_CELL), F.lit(1))
-    return F.transform(
-        cells,
-        lambda c: F.when(
-            c.startswith('"'),
-            F.replace(F.regexp_replace(c, r'^"|"$', ""), F.lit('""'), F.lit('"')),
-        ).otherwise(c),
-    )
+    """Cells of one record as they stand in it, quotes and all."""
+    return F.regexp_extract_all(F.concat(F.lit(","), col(record)), F.lit(_CELL), F.lit(1))
+
+
+def unquoted(cell: Column) -> Column:
+    """A cell's text."""
+    closed = F.regexp_extract(cell, _CLOSED, 0)
+    inner = F.replace(F.substring(closed, F.lit(2), F.length(closed) - 2), F.lit('""'), F.lit('"'))
+    return F.when(
+        closed != "", F.concat(inner, F.substring(cell, F.length(closed) + 1, F.lit(2**31 - 1)))
+    ).otherwise(cell)

@@ -1,72 +1,52 @@
 """Ordered rows to document text.
 
-A document's text is one string, so putting rows together has to bring a
-document's rows to one task. To bound that, rows are folded by (document, part)
-where a part is a fixed run of ``part_rows`` consecutive row numbers: a
-document with fewer rows than that is one part, number 0, with its whole text;
-a larger one comes as several consecutive parts and nothing is left out. The
-part follows from the row's own number, so one shuffle is enough.
+A document's text is one value, as a file's bytes already are, so its rows are
+folded by document, in order, whatever their number. Who needs the text of a
+table larger than a value can be takes its ordered lines from ``table_lines``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusqa.fixed_values import HEADER_MARK, PAGE_SEPARATOR, SHEET_MARK, TABLE_MARK
 from corpusqa.functions.text import py_strip
-from corpusqa.operators.tables import row_line, table_lines
-
-PART_ROWS = 10_000  # pages
-PART_BLOCKS = 100_000  # paragraphs and rows of a Word document
-PART_LINES = 1 << 20  # table rows; the row limit of an Excel sheet
-
-
-def _part(order: str, part_rows: int) -> Column:
-    return F.expr(f"cast({order} div {part_rows} as int)").alias("part")
+from corpusqa.operators.tables import TABLE, row_line, table_lines
 
 
 def _joined(text: str, separator: str, *order: str) -> Column:
     """Aggregate: texts joined in order; nulls are left out."""
     quoted = separator.replace("\n", "\\n")
     by = ", ".join(order)
-    return F.expr(f"listagg({text}, '{quoted}') within group (order by {by})")
+    return F.coalesce(F.expr(f"listagg({text}, '{quoted}') within group (order by {by})"), F.lit(""))
 
 
 def fold_lines(
-    lines: DataFrame,
-    keys: list[str],
-    order: str,
-    line: str = "line",
-    separator: str = "\n",
-    part_rows: int = PART_ROWS,
+    lines: DataFrame, keys: list[str], order: str, line: str = "line", separator: str = "\n"
 ) -> DataFrame:
-    """Lines joined in order: ``keys, part, text``."""
-    return (
-        lines.groupBy(*keys, _part(order, part_rows))
-        .agg(F.coalesce(_joined(line, separator, order), F.lit("")).alias("text"))
-    )
+    """Lines joined in order: ``keys, text``."""
+    return lines.groupBy(*keys).agg(_joined(line, separator, order).alias("text"))
 
 
-def assemble_pages(pages: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
-    """``(path, page_no, page_text)`` to ``path, part, text``.
+def assemble_pages(pages: DataFrame) -> DataFrame:
+    """``(path, page_no, page_text)`` to ``path, text``.
 
     Empty pages are dropped, the others joined by a blank line, the whole stripped.
     """
     filled = pages.filter(F.length("page_text") > 0)
-    text = fold_lines(filled, ["path"], "page_no", "page_text", PAGE_SEPARATOR, part_rows)
+    text = fold_lines(filled, ["path"], "page_no", "page_text", PAGE_SEPARATOR)
     return text.withColumn("text", py_strip("text"))
 
 
-def assemble_blocks(blocks: DataFrame, part_rows: int = PART_BLOCKS) -> DataFrame:
-    """Word-document blocks ``(path, seq, kind, cells)`` to ``path, part, text``.
+def assemble_blocks(blocks: DataFrame) -> DataFrame:
+    """Word-document blocks ``(path, seq, kind, cells)`` to ``path, text``.
 
     ``kind`` is ``header`` or ``paragraph`` (one cell, its text), ``section``
     (a page header starts), ``table`` (a table starts) or ``row`` (its cells).
     Headers come first, then paragraphs, then tables, wherever they stood;
     blank paragraphs and blank rows are dropped. A section mark needs header
-    paragraphs after it, but they may be blank. In a document of several parts
-    the order holds within each.
+    paragraphs after it, but they may be blank.
     """
     kind, cells = F.col("kind"), F.col("cells")
     only = F.get(cells, F.lit(0))
@@ -79,47 +59,32 @@ def assemble_blocks(blocks: DataFrame, part_rows: int = PART_BLOCKS) -> DataFram
     rank = (
         F.when(kind.isin("section", "header"), 0).when(kind == "paragraph", 1).otherwise(2)
     )
-    lines = blocks.select(
-        "path", "seq", _part("seq", part_rows), rank.alias("rank"), line.alias("line")
-    )
-    text = _joined("line", "\n", "rank", "seq")
-    return lines.groupBy("path", "part").agg(F.coalesce(text, F.lit("")).alias("text"))
+    lines = blocks.select("path", "seq", rank.alias("rank"), line.alias("line"))
+    return lines.groupBy("path").agg(_joined("line", "\n", "rank", "seq").alias("text"))
 
 
-def assemble_workbook(
-    rows: DataFrame, sheet_order: DataFrame | None = None, part_rows: int = PART_LINES
-) -> DataFrame:
-    """Sheets of table rows to ``path, part, text``, sheets in name order.
+def assemble_workbook(rows: DataFrame) -> DataFrame:
+    """Sheets of table rows to ``path, text, error``.
 
-    Mark, table lines and an ending newline of every sheet in turn are joined
-    by newlines; nothing is stripped. ``sheet_order`` (``path, sheet,
-    sheet_no``) gives another order. Lines are numbered through the whole
-    workbook from the sizes of its sheets, so parts are runs of it as well.
+    Sheets follow each other by a column ``sheet_no`` of the rows, their place in
+    the workbook; rows without that column don't tell it, and go by name. Mark,
+    table lines and an ending newline of every sheet in turn are joined by
+    newlines; nothing is stripped. A record longer than its header is an error.
     """
-    sheets = rows.groupBy("path", "sheet").agg(F.max("row_no").alias("last_row"))
-    if sheet_order is None:
-        sheets = sheets.withColumn("sheet_no", F.lit(0))
-    else:
-        sheets = sheets.join(sheet_order.select("path", "sheet", "sheet_no"), ["path", "sheet"])
-    # One row per sheet: its mark is line 0, table row n is line n + 1, its end the last.
-    before = Window.partitionBy("path").orderBy("sheet_no", "sheet").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    sheets = sheets.withColumn(
-        "start", F.coalesce(F.sum(F.col("last_row") + 3).over(before), F.lit(0))
+    lines = table_lines(rows)
+    sheets = lines.groupBy(*TABLE).agg(
+        _joined("line", "\n", "row_no").alias("body"), F.max("problem").alias("problem")
     )
+    if "sheet_no" in rows.columns:
+        place = rows.groupBy(*TABLE).agg(F.min("sheet_no").alias("sheet_no"))
+        sheets = sheets.join(place, TABLE)
+    else:
+        sheets = sheets.withColumn("sheet_no", F.lit(0))
     opening, closing = SHEET_MARK.split("{sheet}")
-    mark = F.concat(F.lit("\n" + opening), F.col("sheet"), F.lit(closing + "\n"))
-    ends = sheets.select(
-        "path",
-        F.inline(
-            F.array(
-                F.struct(F.col("start").alias("line_no"), mark.alias("line")),
-                F.struct((F.col("start") + F.col("last_row") + 2).alias("line_no"), F.lit("\n").alias("line")),
-            )
-        ),
+    block = F.concat(
+        F.lit("\n" + opening), F.col("sheet"), F.lit(closing + "\n\n"), F.col("body"), F.lit("\n\n")
     )
-    body = table_lines(rows).join(sheets.select("path", "sheet", "start"), ["path", "sheet"]).select(
-        "path", (F.col("start") + F.col("row_no") + 1).alias("line_no"), "line"
+    books = sheets.select("path", "sheet_no", "sheet", "problem", block.alias("block")).groupBy("path").agg(
+        _joined("block", "\n", "sheet_no", "sheet").alias("text"), F.max("problem").alias("error")
     )
-    return fold_lines(ends.unionByName(body), ["path"], "line_no", part_rows=part_rows)
+    return books.select("path", F.when(F.col("error").isNull(), F.col("text")).alias("text"), "error")

@@ -34,6 +34,13 @@ def _exploded(documents: DataFrame, chunks: Column, keep: Sequence[str]) -> Data
     return documents.select("path", *keep, F.posexplode(filled).alias("chunk_id", "chunk"))
 
 
+def _checked(size: int, overlap: int) -> int:
+    """The size, if chunks of it with that overlap move on."""
+    if size < 1 or not 0 <= overlap < size:
+        raise ValueError(f"chunks of {size} characters can't overlap by {overlap}")
+    return size
+
+
 # -- fixed windows ------------------------------------------------------------
 
 
@@ -47,17 +54,17 @@ def window_texts(
     the start of the text. The steps must become a column of their own before
     the second function is used, or they would be cut again for every window.
     """
-    step = size - overlap
+    step = _checked(size, overlap) - overlap
     steps = F.regexp_extract_all(col(text), F.lit("(?s).{1,%d}" % step), F.lit(0))
 
     def windows(steps: Column) -> Column:
-        # A last step no longer than the overlap is inside the window before it.
-        short_end = (F.size(steps) > 1) & (F.length(F.try_element_at(steps, F.lit(-1))) <= overlap)
-        count = F.size(steps) - F.when(short_end, 1).otherwise(0)
+        # A window that ends with the text is the last: none starts in its overlap.
+        length = (F.size(steps) - 1) * step + F.length(F.try_element_at(steps, F.lit(-1)))
+        count = F.greatest(F.lit(1), F.ceil((length - overlap) / step).cast("int"))
+        spanned = -(-size // step)
 
         def window(piece: Column, i: Column) -> Column:
-            rest = F.coalesce(F.get(steps, i + 1), F.lit(""))
-            return F.concat(piece, F.left(rest, F.lit(overlap)))
+            return F.left(F.array_join(F.slice(steps, i + 1, spanned), ""), F.lit(size))
 
         return F.slice(F.transform(steps, window), F.lit(1), count)
 
@@ -156,6 +163,7 @@ def _compiled(separators: Sequence[str]) -> list[re.Pattern]:
 
 def _recursive_udf(size: int, overlap: int):
     """Arrow-batched splitter over (text, language); null in, null out."""
+    _checked(size, overlap)
     table = {lang: separators_for(lang) for lang in EXTENSION_LANGUAGES.values()}
 
     @F.pandas_udf("array<string>")

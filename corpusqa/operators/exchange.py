@@ -54,26 +54,46 @@ def generation_requests(
 
 
 def apply_model(
-    requests: DataFrame, model: Callable[[str], str], parallelism: int | None = None
+    requests: DataFrame, model: Callable, parallelism: int | None = None, batch_size: int | None = None
 ) -> DataFrame:
     """Call ``model(prompt)`` for every request: the requests with ``response, error``.
 
     A call that raises gives its message as ``error`` and no response. The
     prompt is not kept; the other columns pass through, so no join is needed
     afterwards. Calls are slow and may not give the same answer twice: write
-    the result before more than one thing is read from it. ``parallelism``
-    spreads the calls over that many tasks; by the hash of the id, not
-    round-robin, so a lost task is redone with the same rows.
+    the result before more than one thing is read from it. The calls are spread
+    over ``parallelism`` tasks (as many as the session's shuffle partitions unless
+    given) by the hash of the id, not round-robin, so a lost task is redone with the
+    same rows. With ``batch_size`` the model gets a list of so many prompts at once
+    and gives a list of answers, in which an exception stands for a failed one.
     """
+    parallelism = parallelism or int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kept = requests.drop("prompt")
     passed = kept.columns
     schema = T.StructType(
         [*kept.schema.fields, T.StructField("response", T.StringType()), T.StructField("error", T.StringType())]
     )
 
-    def call(prompt: str) -> tuple[str | None, str | None]:
+    def calls(prompts: list[str]) -> list[tuple[str | None, str | None]]:
+        if batch_size is None:
+            return [read(lambda p=p: model(p)) for p in prompts]
+        out = []
+        for i in range(0, len(prompts), batch_size):
+            some = prompts[i : i + batch_size]
+            try:
+                answers = list(model(some))
+                if len(answers) != len(some):
+                    raise ValueError(f"{len(answers)} answers to {len(some)} prompts")
+            except Exception as problem:  # the whole call failed
+                answers = [problem] * len(some)
+            out += [read(lambda a=a: a) for a in answers]
+        return out
+
+    def read(answer_of: Callable) -> tuple[str | None, str | None]:
         try:
-            answer = model(prompt)
+            answer = answer_of()
+            if isinstance(answer, Exception):
+                raise answer
             answer.encode()  # an answer that is no text, or text no column can hold, is an error
             return answer, None
         except Exception as problem:  # the caller's model may raise anything
@@ -81,23 +101,27 @@ def apply_model(
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            answers = [call(p) for p in part.column("prompt").to_pylist()]
+            answers = calls(part.column("prompt").to_pylist())
             columns = [part.column(c) for c in passed]
             columns += [pa.array([a[k] for a in answers], pa.string()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(columns, names=[*passed, "response", "error"])
 
-    if parallelism:
-        requests = requests.repartition(parallelism, "request_id")
-    return requests.mapInArrow(batches, schema)
+    return requests.repartition(parallelism, "request_id").mapInArrow(batches, schema)
 
 
 def attach_responses(requests: DataFrame, responses: DataFrame) -> DataFrame:
     """Requests with ``response`` and ``error``; no answer at all is an error, too.
 
-    An equi-join on unique ids. Columns nothing later reads, the prompt above
-    all, are pruned before the shuffle.
+    Of several answers to one request a successful one counts, the first in the order
+    of texts, so that each request has one. An equi-join on ids, which the answers
+    are grouped by already. Columns nothing later reads, the prompt above all, are
+    pruned before the shuffle.
     """
-    came = responses.select("request_id", "response", "error", F.lit(True).alias("_came"))
+    failed = (F.col("error").isNotNull() | F.col("response").isNull()).alias("failed")
+    came = (
+        responses.groupBy("request_id").agg(F.min(F.struct(failed, "response", "error")).alias("_r"))
+        .select("request_id", "_r.response", "_r.error", F.lit(True).alias("_came"))
+    )
     joined = requests.join(came, "request_id", "left")
     return joined.withColumn(
         "error",

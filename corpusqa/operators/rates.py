@@ -6,12 +6,13 @@ a busy key, and a window over a whole key puts it into one task. Here:
 1. calls of one key at one microsecond are added up (combined map-side);
 2. each such moment gives two entries, one when it enters the window and one
    when it leaves, ``window`` later;
-3. time is cut into buckets as long as the window and sums run inside one
-   (key, bucket) group. What entered in the bucket before leaves in this one,
-   so the opening sum of a bucket is the total of its leaving entries and
-   buckets need nothing from each other.
+3. time is cut into buckets as long as the window. What entered in the bucket
+   before leaves in this one, so the opening sum of a bucket is the total of its
+   leaving entries and buckets need nothing from each other;
+4. a bucket is cut into ``PARTS`` parts. Sums run only inside a part; they open with
+   what the bucket's earlier parts came to, which are few numbers.
 
-Groups are bounded by the microseconds in two buckets, not by the calls of a key.
+So a group is bounded by the microseconds of a part, not by the calls of a key.
 """
 
 from __future__ import annotations
@@ -21,6 +22,9 @@ from pyspark.sql import functions as F
 
 from corpusqa.fixed_values import RATE_WINDOW_SECONDS, REQUESTS_PER_MINUTE, TOKENS_PER_MINUTE
 
+#: Parts of a window, each at least a second, in which running sums are made.
+PARTS = 60
+
 
 def rolling_usage(calls: DataFrame, window_seconds: int = RATE_WINDOW_SECONDS) -> DataFrame:
     """``(key, at_us, tokens)``, times in microseconds, to usage at each moment.
@@ -58,24 +62,31 @@ def rolling_usage(calls: DataFrame, window_seconds: int = RATE_WINDOW_SECONDS) -
             )
         ),
     )
-    group = Window.partitionBy("key", "bucket")
-    running = group.orderBy("at_us").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    part = F.lit(max(1, window_seconds // PARTS) * 1_000_000).cast("bigint")
+    entries = entries.withColumn("part", F.col("at_us") - F.pmod("at_us", part))
+    # What is inside at a moment: all that leaves in the bucket, what its earlier parts
+    # came to, and what came less what left in its own part so far.
+    totals = entries.groupBy("key", "bucket", "part").agg(
+        *[F.sum(F.col(f"{x}_in") - F.col(f"{x}_out")).alias(f"{x}_net") for x in ("calls", "tokens")],
+        *[F.sum(f"{x}_out").alias(f"{x}_left") for x in ("calls", "tokens")],
+    )
+    bucket = Window.partitionBy("key", "bucket")
+    earlier = bucket.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
 
-    # What is inside at a moment: the opening sum of the bucket, plus what came, minus what left.
-    def inside(came: str, left: str) -> Column:
-        return F.sum(F.col(came) - F.col(left)).over(running) + F.sum(left).over(group)
+    def opening(x: str) -> Column:
+        return F.sum(f"{x}_left").over(bucket) + F.coalesce(F.sum(f"{x}_net").over(earlier), none)
 
+    opened = totals.select("key", "bucket", "part", *[opening(x).alias(f"{x}_open") for x in ("calls", "tokens")])
+    running = Window.partitionBy("key", "bucket", "part").orderBy("at_us").rangeBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    so_far = entries.withColumns({f"{x}_net": F.sum(F.col(f"{x}_in") - F.col(f"{x}_out")).over(running) for x in ("calls", "tokens")})
     return (
-        entries.withColumns(
-            {
-                "window_calls": inside("calls_in", "calls_out"),
-                "window_tokens": inside("tokens_in", "tokens_out"),
-            }
-        )
-        .filter(F.col("calls_in") > 0)
+        so_far.filter(F.col("calls_in") > 0).join(opened, ["key", "bucket", "part"])
         .select(
-            "key", "at_us", F.col("calls_in").alias("n_calls"), F.col("tokens_in").alias("tokens"),
-            "max_tokens", "window_calls", "window_tokens",
+            "key", "at_us", F.col("calls_in").alias("n_calls"), F.col("tokens_in").alias("tokens"), "max_tokens",
+            (F.col("calls_net") + F.col("calls_open")).alias("window_calls"),
+            (F.col("tokens_net") + F.col("tokens_open")).alias("window_tokens"),
         )
     )
 

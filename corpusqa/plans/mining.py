@@ -36,14 +36,20 @@ def mine(
     verdict_mode: str = "prefix",
     count_tokens: TokenCounter = estimate_tokens,
     spelling: str = "json",
+    is_written: bool = False,
 ) -> Mined:
     """Answered generation requests to pairs, output rows and usage.
 
     ``check`` switches verification on: it gets the verification requests and
     gives them back answered. The requests then need a ``chunk`` column: the
     chunk's text stays with its pairs, so verifying joins nothing. Without
-    ``check`` nothing reads the text and it is pruned early.
+    ``check`` nothing reads the text and it is pruned early. The answered requests
+    are written first, as all tables of the result read them, unless they already
+    are a written table.
     """
+    if not is_written:
+        kept = ["op", "path", "chunk_id", "response", "error", "input_tokens", *(["chunk"] if check else [])]
+        answered = written(answered.select(*kept), "answered")
     found = exchange.pairs(answered, ["chunk"] if check else [], spelling)
     calls = usage.calls(answered, count_tokens)
     bad = exchange.parse_rejects(answered)
@@ -122,6 +128,7 @@ def mine_documents(
         asking(model, "verdicts", parallelism) if verify else None,
         verdict_mode,
         count_tokens,
+        is_written=True,
     )
     save_rows(mined.pairs, output, run_id, include_verification and verify)
     bad = rejects(extracted).unionByName(mined.rejects)

@@ -9,7 +9,7 @@ from corpusqa.fixed_values import GENERATION_PROMPT, VERIFICATION_PROMPT
 from corpusqa.functions.money import currency, thousands
 from corpusqa.functions.tokens import estimate_tokens
 from corpusqa.operators import exchange, rates, usage
-from corpusqa.operators.assemble import PART_ROWS, fold_lines
+from corpusqa.operators.assemble import fold_lines
 from corpusqa.plans import samples
 from corpusqa.plans.mining import Mined, mine
 from corpusqa.plans.samples import table
@@ -65,7 +65,7 @@ def gen_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT doc_id, {tokens_sql('text')} AS n_tokens FROM documents")
 def token_est(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents", "doc_id")
+    docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", estimate_tokens("text").alias("n_tokens"))
 
 
@@ -96,9 +96,9 @@ def python_spelled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""SELECT path, chunk_id, CASE WHEN error IS NOT NULL THEN 'call' ELSE 'parse' END AS stage,
     CASE WHEN error IS NOT NULL THEN error
-      WHEN (doc_id + chunk_id) % 8 IN (3, 4, 5) THEN 'no valid JSON array' ELSE '1 elements are not objects' END AS reason
+      WHEN (doc_id + chunk_id) % 10 IN (3, 4, 5, 8, 9) THEN 'no valid JSON array' ELSE '1 elements are not objects' END AS reason
   FROM ({samples.ANSWERED_SQL})
-  WHERE error IS NOT NULL OR (doc_id + chunk_id) % 8 IN (3, 4, 5) OR (doc_id % 5 = 3 AND (doc_id + chunk_id) % 8 <> 7)""")
+  WHERE error IS NOT NULL OR (doc_id + chunk_id) % 10 IN (3, 4, 5, 8, 9) OR (doc_id % 5 = 3 AND (doc_id + chunk_id) % 10 <> 7)""")
 def response_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exchange.parse_rejects(_answered(spark, sf_dir))
 
@@ -121,17 +121,17 @@ def chunks_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- verification ------------------------------------------------------------------
 
-_TURN_PAIRS = """SELECT 'conv/' || q.conv_id AS path, CAST(q.turn // 10000 AS INTEGER) AS chunk_id, CAST(q.turn AS INTEGER) AS pair_id,
+_TURN_PAIRS = """SELECT 'conv/' || q.conv_id AS path, CAST(0 AS INTEGER) AS chunk_id, CAST(q.turn AS INTEGER) AS pair_id,
     q.text AS instruction, '' AS input, a.text AS output, c.chunk
   FROM conversations q JOIN conversations a ON q.conv_id = a.conv_id AND a.turn = q.turn + 1
-  JOIN (SELECT conv_id, turn // 10000 AS part, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS chunk
+  JOIN (SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS chunk
         FROM conversations GROUP BY ALL) c
-    ON c.conv_id = q.conv_id AND c.part = q.turn // 10000
+    ON c.conv_id = q.conv_id
   WHERE q.role = 'user' AND a.role = 'assistant'"""
 
 
 def _turn_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User turns with their answers as pairs; the conversation, or its part, as context."""
+    """User turns with their answers as pairs; the conversation as context."""
     turns = table(spark, sf_dir, "conversations")
     path = F.concat(F.lit("conv/"), F.col("conv_id").cast("string")).alias("path")
     asked = turns.filter("role = 'user'").select(
@@ -140,13 +140,13 @@ def _turn_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     answers = turns.filter("role = 'assistant'").select(path, "turn", F.col("text").alias("output"))
     pairs = asked.join(answers, ["path", "turn"]).select(
         "path",
-        F.expr(f"cast((turn - 1) div {PART_ROWS} as int)").alias("chunk_id"),
+        F.lit(0).alias("chunk_id"),
         (F.col("turn") - 1).cast("int").alias("pair_id"),
         "instruction", F.lit("").alias("input"), "output", F.lit(True).alias("complete"),
     )
     texts = turns.select(path, "turn", F.col("text").alias("line"))
     chunks = fold_lines(texts, ["path"], "turn", separator="\n\n").select(
-        "path", F.col("part").alias("chunk_id"), F.col("text").alias("chunk")
+        "path", F.lit(0).alias("chunk_id"), F.col("text").alias("chunk")
     )
     return exchange.verification_requests(pairs, chunks)
 
@@ -237,7 +237,8 @@ def saved_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents as a stream, mined batch by batch; a second run finds nothing new."""
     docs = table(spark, sf_dir, "documents")
-    output, checkpoint = new_folder(spark, "rows"), new_folder(spark, "progress")
+    source, output, checkpoint = (new_folder(spark, n) for n in ("documents", "rows", "progress"))
+    docs.repartitionByRange(3, "doc_id").write.parquet(source)
 
     def process(batch: DataFrame) -> DataFrame:
         named = batch.withColumn("path", samples.document_path(F.lit(".txt")))
@@ -245,9 +246,7 @@ def incremental_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     for _ in range(2):
         stream = (
-            spark.readStream.schema(docs.schema)
-            .option("pathGlobFilter", "documents.parquet")
-            .parquet(sf_dir)
+            spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(source)
         )
         save_new(stream, process, output, checkpoint, "check")
     schema = "path string, chunk_id int, pair_id int, instruction string, input string, output string"

@@ -81,7 +81,7 @@ def supported_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT doc_id, {strip_sql('text')} AS text, text AS code FROM documents")
 def decoded_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text files in two encodings and two line-end styles, read back."""
-    docs = table(spark, sf_dir, "documents", "doc_id")
+    docs = table(spark, sf_dir, "documents")
     ends = F.when(F.col("doc_id") % 2 == 0, "\r\n").otherwise("\r")
     shown = F.replace(F.col("text"), F.lit("\n"), ends)
     latin = (F.col("doc_id") % 3 == 0) & F.col("text").rlike(r"\A[\x00-\xff]*\z")
@@ -117,7 +117,7 @@ def _squeezed(x: str) -> str:
       WHEN ext = '.json' THEN 'none'
       WHEN ext = '.csv' AND doc_id % 3 = 0 THEN 'Expected 1 fields, saw 2'
       WHEN ext = '.csv' THEN 'none'
-      ELSE 'Unsupported file type: ' || path END AS problem
+      ELSE 'no way to read: ' || path END AS problem
   FROM (SELECT *, {_SPLIT} AS ext FROM ({samples.MIXED_SQL}))""")
 def extracted_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each kind of file read by its extension, the broken ones included."""
@@ -217,7 +217,7 @@ def html_text_sql(x: str) -> str:
 
 @query(f"SELECT page_id, {html_text_sql('html')} AS text FROM pages")
 def page_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages", "page_id").select("page_id", html_text("html").alias("text"))
+    return table(spark, sf_dir, "pages").select("page_id", html_text("html").alias("text"))
 
 
 _TAGS = "|".join(HTML_SECTION_TAGS)
@@ -231,7 +231,7 @@ _TAGS = "|".join(HTML_SECTION_TAGS)
               regexp_replace({visible_sql('html')}, '(?i)(<(?:{_TAGS})\\b)', chr(1) || '\\1', 'g') AS v FROM pages)))
   WHERE chunk <> ''""")
 def html_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages", "page_id")
+    pages = table(spark, sf_dir, "pages")
     raw = pages.select(
         F.concat("url", F.lit("#"), F.col("page_id").cast("string")).alias("path"),
         F.col("html").alias("text"),
@@ -242,7 +242,7 @@ def html_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- rows and tables to text -----------------------------------------------------------
 
 
-@query(f"""SELECT path, CAST(0 AS INTEGER) AS part, {strip_sql("string_agg(page_text, chr(10) || chr(10) ORDER BY turn)")} AS text
+@query(f"""SELECT path, {strip_sql("string_agg(page_text, chr(10) || chr(10) ORDER BY turn)")} AS text
   FROM (SELECT 'conv/' || conv_id || '.pdf' AS path, turn,
           CASE WHEN (conv_id + turn) % 5 = 0 THEN '' ELSE ' ' || text || chr(10) END AS page_text FROM conversations)
   WHERE page_text <> '' GROUP BY path""")
@@ -264,7 +264,7 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
       CASE WHEN role <> 'system' AND (conv_id + turn) % 3 = 0
              THEN role || ' | ' || {strip_sql('text')} ELSE text END AS line
     FROM conversations)
-  SELECT path, CAST(0 AS INTEGER) AS part, string_agg(line, chr(10) ORDER BY rank, seq) AS text
+  SELECT path, string_agg(line, chr(10) ORDER BY rank, seq) AS text
   FROM (SELECT path, rank, seq, mark AS line FROM b WHERE mark IS NOT NULL
         UNION ALL SELECT path, rank, seq + 1, line FROM b WHERE {strip_sql('line')} <> '')
   GROUP BY path""")
@@ -384,17 +384,18 @@ def drop_empty_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
       || ' ' || {_cell('c', '(SELECT max(length(c)) FROM n)')} AS line FROM n)),
   rl AS (SELECT string_agg(line, chr(10) ORDER BY row_no) AS body FROM (
     SELECT row_no, {_cell('a', '(SELECT max(length(a)) FROM r)')} || ' ' || {_cell('b', '(SELECT max(length(b)) FROM r)')} AS line FROM r))
-  SELECT 'book.xlsx' AS path, CAST(0 AS INTEGER) AS part,
-    chr(10) || '=== Sheet: nation ===' || chr(10) || chr(10) || (SELECT body FROM nl) || chr(10) || chr(10) || chr(10)
-    || chr(10) || '=== Sheet: region ===' || chr(10) || chr(10) || (SELECT body FROM rl) || chr(10) || chr(10) AS text""")
+  SELECT 'book.xlsx' AS path,
+    chr(10) || '=== Sheet: region ===' || chr(10) || chr(10) || (SELECT body FROM rl) || chr(10) || chr(10) || chr(10)
+    || chr(10) || '=== Sheet: nation ===' || chr(10) || chr(10) || (SELECT body FROM nl) || chr(10) || chr(10) AS text""")
 def workbook_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     def sheet(name: str, key: str) -> DataFrame:
         rows = table(spark, sf_dir, name)
         return tables.table_rows(rows, F.lit("book.xlsx"), F.lit(name), F.col(key) + 1)
 
-    return assemble.assemble_workbook(
-        sheet("nation", "n_nationkey").unionByName(sheet("region", "r_regionkey"))
-    )
+    # places in the workbook against the order of names
+    nation = sheet("nation", "n_nationkey").withColumn("sheet_no", F.lit(2))
+    region = sheet("region", "r_regionkey").withColumn("sheet_no", F.lit(1))
+    return assemble.assemble_workbook(nation.unionByName(region)).select("path", "text")
 
 
 # -- chunks ---------------------------------------------------------------------------
@@ -431,7 +432,7 @@ _DENSE_ID = "CAST(row_number() OVER (PARTITION BY path ORDER BY section) - 1 AS
 
 def _marked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with every third line made a header and every seventh a fence."""
-    docs = table(spark, sf_dir, "documents", "doc_id")
+    docs = table(spark, sf_dir, "documents")
 
     def mark(line, i):
         level = F.repeat(F.lit("#"), (i % 4 + 1).cast("int"))
@@ -531,6 +532,6 @@ def code_chunk_promises(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT doc_id, {strip_sql('x')} AS stripped, length(x) AS n_before FROM (SELECT doc_id, chr(160) || chr(9) || text || chr(12288) || chr(10) AS x FROM documents)")
 def stripped_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents", "doc_id")
+    docs = table(spark, sf_dir, "documents")
     padded = F.concat(F.lit("\xa0\t"), F.col("text"), F.lit("　\n"))
     return docs.select("doc_id", py_strip(padded).alias("stripped"), F.length(padded).cast("bigint").alias("n_before"))

@@ -20,17 +20,8 @@ EXTENSIONS = [
 ]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
-    """A given table. With ``spread_by``, one in too few pieces is spread out first.
-
-    A file with one row group is read by one task, and so would be all the text
-    work behind it. A table in enough pieces is left as it is.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by and 2 * df.rdd.getNumPartitions() <= cores:
-        return df.repartition(cores, spread_by)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def micros(ts: str) -> Column:
@@ -49,7 +40,7 @@ def document_path(ext: Column) -> Column:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``path, text`` (and the source columns) with every document a ``.txt`` file."""
-    return table(spark, sf_dir, "documents", "doc_id").withColumn("path", document_path(F.lit(".txt")))
+    return table(spark, sf_dir, "documents").withColumn("path", document_path(F.lit(".txt")))
 
 
 DOCUMENTS_SQL = "SELECT *, source || '/doc' || doc_id || '.txt' AS path FROM documents"
@@ -60,7 +51,7 @@ def mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     choice = F.element_at(
         F.array(*[F.lit(e) for e in EXTENSIONS]), (F.col("doc_id") % len(EXTENSIONS) + 1).cast("int")
     )
-    return table(spark, sf_dir, "documents", "doc_id").withColumn("path", document_path(choice))
+    return table(spark, sf_dir, "documents").withColumn("path", document_path(choice))
 
 
 _EXTENSION_LIST = "[" + ", ".join(f"'{e}'" for e in EXTENSIONS) + "]"
@@ -102,13 +93,15 @@ def responses(chunks: DataFrame) -> DataFrame:
         .otherwise('{"instruction": "Only a question"}')
     )
     array = F.concat(F.lit("["), first, F.lit(", "), second, F.lit("]"))
-    kind = (doc + n) % 8
+    kind = (doc + n) % 10
     answer = (
         F.when(kind == 2, F.concat(F.lit("Here are the pairs:\n"), array, F.lit("\nDone.")))
         .when(kind == 3, F.concat(array, F.lit(" and "), array))
         .when(kind == 4, F.concat(F.lit("["), first))
         .when(kind == 5, "I cannot help with that.")
         .when(kind == 7, "[]")
+        .when(kind == 8, F.concat(F.lit('{"pairs": '), array, F.lit(', "extra": ["x"]}')))
+        .when(kind == 9, F.concat(array, F.lit(', "r": [2]')))
         .otherwise(array)
     )
     failed = doc % 17 == 3
@@ -130,12 +123,14 @@ def answered(chunks: DataFrame) -> DataFrame:
 _FIRST = """'{"instruction": "What does part ' || chunk_id || ' of ' || path || ' say?", "input": "", "output": "'
       || regexp_replace(chunk, '[^A-Za-z ]', ' ', 'g') || '"}'"""
 ANSWERED_SQL = f"""SELECT *, CASE WHEN doc_id % 17 = 3 THEN NULL ELSE
-      CASE (doc_id + chunk_id) % 8
+      CASE (doc_id + chunk_id) % 10
         WHEN 2 THEN 'Here are the pairs:' || chr(10) || arr || chr(10) || 'Done.'
         WHEN 3 THEN arr || ' and ' || arr
         WHEN 4 THEN '[' || first
         WHEN 5 THEN 'I cannot help with that.'
         WHEN 7 THEN '[]'
+        WHEN 8 THEN '{{"pairs": ' || arr || ', "extra": ["x"]}}'
+        WHEN 9 THEN arr || ', "r": [2]'
         ELSE arr END END AS response,
     CASE WHEN doc_id % 17 = 3 THEN 'timeout' END AS error
   FROM (SELECT *, '[' || first || ', ' || CASE doc_id % 5

@@ -24,8 +24,10 @@ from corpusqa.functions.filetypes import (
 )
 from corpusqa.functions.html import html_text
 from corpusqa.functions.text import decode_text, fold_newlines, py_strip
-from corpusqa.sources.csv_files import csv_text
+from corpusqa.sources.csv_files import csv_table
 
+UNSUPPORTED = "no way to read: "
+HIDDEN_FILE = "hidden file"
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -130,76 +132,26 @@ def decode_rows(
 
     def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            rows: list[tuple[Any, ...]] = []
             for path, content in zip(part["path"], part["content"]):
+                rows: list[tuple[Any, ...]] = []
                 try:
                     rows += [(path, *row, None) for row in decode(bytes(content))]
                 except Exception as problem:
-                    rows.append((path, *[None] * width, str(problem) or type(problem).__name__))
-            yield pd.DataFrame(rows, columns=range(width + 2), dtype=object)
+                    rows = [(path, *[None] * width, str(problem) or type(problem).__name__)]
+                if rows:
+                    yield pd.DataFrame(rows, columns=range(width + 2), dtype=object)
 
     return files.select("path", "content").mapInPandas(
         batches, f"path string, {schema}, error string"
     )
 
 
-# Kinds of file that take the same way to text.
 _CODE = [e for e in EXTENSION_LANGUAGES if e != ".html"]
 
 
-def _natively(files: DataFrame, encoding: str, raw_html: bool) -> DataFrame:
-    """Code, markup, pages and plain text, in generated code; others get an error."""
-    ext = F.col("ext")
-    page = code_text("content") if raw_html else html_text(decode_text("content"))
-    text = (
-        F.when(ext.isin(_CODE), code_text("content"))
-        .when(ext == ".html", page)
-        .when(ext == ".txt", plain_text("content", encoding))
-    )
-    error = F.when(
-        ~ext.isin([*_CODE, ".html", ".txt"]),
-        F.concat(F.lit("Unsupported file type: "), F.col("path")),
-    )
-    return files.select("path", "ext", text.alias("text"), error.alias("error"))
-
-
-def _by_function(files: DataFrame, read: Callable[[Column], Column]) -> DataFrame:
-    """Files whose reader returns ``struct<text, error>``."""
-    read_files = files.select("path", "ext", read(F.col("content")).alias("r"))
-    return read_files.select("path", "ext", "r.text", "r.error")
-
-
-def _as_tables(files: DataFrame, drop_empty_columns: bool) -> DataFrame:
-    texts = files.select("path", code_text("content").alias("text"))
-    tables = csv_text(texts.filter(F.col("text").rlike(r"\S")), drop_empty_columns)
-    blank = texts.filter(~F.col("text").rlike(r"\S")).select(
-        "path", F.lit(None).cast("string").alias("text"),
-        F.lit("No columns to parse from file").alias("error"),
-    )
-    return tables.unionByName(blank).select("path", F.lit(".csv").alias("ext"), "text", "error")
-
-
-def _extract(
-    files_of: Callable[[list[str], bool], DataFrame],
-    encoding: str,
-    decoders: Mapping[str, Callable[[bytes], str]] | None,
-    drop_empty_columns: bool,
-    raw_html: bool,
-) -> DataFrame:
-    """Union of the ways to text; ``files_of(extensions, inside)`` gives each its files."""
-    decoders = dict(decoders or {})
-    special = sorted({".json", ".csv", *decoders})
-    branches = [_natively(files_of(special, False), encoding, raw_html)]
-    if ".json" not in decoders:
-        branches.append(_by_function(files_of([".json"], True), pretty_json))
-    if ".csv" not in decoders:
-        branches.append(_as_tables(files_of([".csv"], True), drop_empty_columns))
-    for ext, decode in decoders.items():
-        branches.append(_by_function(files_of([ext], True), _decoded(decode)))
-    out = branches[0]
-    for branch in branches[1:]:
-        out = out.unionByName(branch)
-    return out
+def _result(text: Column, error: Column | None = None) -> Column:
+    none = F.lit(None).cast("string")
+    return F.struct(text.alias("text"), (none if error is None else error).alias("error"))
 
 
 def extract_text(
@@ -217,16 +169,45 @@ def extract_text(
     need a decoder from the caller (``{".pdf": fn}``, bytes to text). A file
     without text keeps its row and says why in ``error``.
 
-    Kinds that need Python or a plan of their own are filtered branches of a
-    union: inside one CASE, Spark would run them for all rows.
+    One pass, inside the row. Python functions get null for the files of other kinds.
     """
+    decoders = dict(decoders or {})
+    ext, content = F.col("ext"), F.col("content")
+    page = code_text("content") if raw_html else html_text(decode_text("content"))
+    ways = {
+        **{e: _result(code_text("content")) for e in _CODE},
+        ".html": _result(page),
+        ".txt": _result(plain_text("content", encoding)),
+        ".json": pretty_json(F.when(ext == ".json", content)),
+        ".csv": csv_table(code_text("content"), drop_empty_columns),
+        **{e: _decoded(decode)(F.when(ext == e, content)) for e, decode in decoders.items()},
+    }
+    code = [e for e in _CODE if e not in decoders]
+    read = F.when(ext.isin(code), _result(code_text("content")))
+    for e, way in ways.items():
+        if e not in code:
+            read = read.when(ext == e, way)
+    unsupported = F.concat(F.lit(UNSUPPORTED), F.col("path"))
+    read = read.otherwise(_result(F.lit(None).cast("string"), unsupported))
     named = files.select("path", file_extension("path").alias("ext"), "content")
+    return named.select("path", "ext", read.alias("r")).select("path", "ext", "r.text", "r.error")
 
-    def files_of(extensions: list[str], inside: bool) -> DataFrame:
-        chosen = F.col("ext").isin(extensions)
-        return named.filter(chosen if inside else ~chosen)
 
-    return _extract(files_of, encoding, decoders, drop_empty_columns, raw_html)
+def unlisted_files(spark: SparkSession, source_dir: str) -> DataFrame:
+    """Supported files that Spark's readers pass over, ``path, error``: hidden and empty ones.
+
+    Only names are read, on the driver, where Spark lists directories too.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(source_dir)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for top in system.globStatus(root) or []:
+        for status in system.listStatus(top.getPath()) if top.isDirectory() else [top]:
+            hidden = status.getPath().getName()[:1] in ("_", ".")
+            if status.isFile() and (hidden or status.getLen() == 0):
+                found.append((status.getPath().toString(), HIDDEN_FILE if hidden else None))
+    return supported_files(spark.createDataFrame(found, "path string, error string"))
 
 
 def read_texts(
@@ -237,19 +218,23 @@ def read_texts(
     drop_empty_columns: bool = False,
     raw_html: bool = False,
 ) -> DataFrame:
-    """``extract_text`` over a directory's supported files.
+    """``extract_text`` over a directory's supported files, each in the result.
 
-    Every branch of the union lists its own extensions, so no file is opened by
-    a branch that would then throw it away.
+    Kinds without a decoder are listed by name only, so these files aren't opened.
     """
-
-    def files_of(extensions: list[str], inside: bool) -> DataFrame:
-        chosen = [e for e in SUPPORTED_EXTENSIONS if (e in extensions) == inside]
-        return list_files(spark, source_dir, chosen).select(
-            "path", file_extension("path").alias("ext"), "content"
+    readable = [e for e in SUPPORTED_EXTENSIONS if e in {*_CODE, ".html", ".txt", ".json", ".csv", *(decoders or {})}]
+    closed = [e for e in SUPPORTED_EXTENSIONS if e not in readable]
+    texts = extract_text(
+        list_files(spark, source_dir, readable), encoding, decoders, drop_empty_columns, raw_html
+    )
+    none = F.lit(None).cast("string").alias("text")
+    ext = file_extension("path").alias("ext")
+    if closed:
+        names = list_files(spark, source_dir, closed)
+        texts = texts.unionByName(
+            names.select("path", ext, none, F.concat(F.lit(UNSUPPORTED), F.col("path")).alias("error"))
         )
-
-    return _extract(files_of, encoding, decoders, drop_empty_columns, raw_html)
+    return texts.unionByName(unlisted_files(spark, source_dir).select("path", ext, none, "error"))
 
 
 def documents(extracted: DataFrame) -> DataFrame:

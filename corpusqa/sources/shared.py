@@ -22,7 +22,9 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return _LOCAL.setdefault(context.applicationId, tempfile.mkdtemp(prefix="corpusqa-"))
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="corpusqa-")
+    return _LOCAL[context.applicationId]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -31,6 +33,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/corpusqa/{application}/{uuid.uuid4().hex}/{name}"
 
 
+def release(spark: SparkSession) -> None:
+    """Delete what this application has written, when its results are no longer read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/corpusqa/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,13 +33,16 @@ def save_new(
     """Process what the checkpoint has not seen, save it, and stop.
 
     ``process`` turns one batch of input into output rows; it is an ordinary
-    batch plan and may call a model. Each batch has its own folder, written in
-    overwrite mode: a batch that is run again after a failure replaces itself,
-    so every input gives its rows exactly once.
+    batch plan and may call a model. Each batch of each stream has its own folder,
+    written in overwrite mode: a batch that is run again after a failure replaces
+    itself, so every input gives its rows exactly once, and a stream with another
+    checkpoint never meets its folders.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        save_batch(process(batch), output, run_id, batch_id)
+        # the id that the checkpoint gives its stream
+        about = batch.sparkSession.read.text(f"{checkpoint}/metadata").first()["value"]
+        save_batch(process(batch), output, run_id, f"{json.loads(about)['id']}-{batch_id:06d}")
 
     query = (
         stream.writeStream.foreachBatch(save)

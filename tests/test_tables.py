@@ -27,6 +27,17 @@ CSV_FILES = [
     "boolean,other boolean\ntrue,False\n,True\n",
     "hash\n9527e33\n12e3\nab\n",
     "mixed,flag\n1,true\nx,\n2.5,false\n",
+    'size,n\n5" pipe,1\n6" pipe,2\n',
+    'size,n\n5" pipe,1\n6 pipe,2\n',
+    'a,b\n"x"y,1\n"q ""z"" w"v,2\n',
+    "id,k\n1234567890123456789,1\n1234567890123456788,2\n",
+    "id,k\n18446744073709551615,1\n1,2\n",
+    "id,k\n123456789012345678901234567890,1\n5,2\n",
+    "a,a.1,a,a\n1,2,3,4\n",
+    "\ufeffa,b\n1,2\n",
+    'a,b\n"",x\n"1",y\n',
+    "a,b\n,\n1,2\n",
+    "a\nx y,\n".replace(",", ""),
 ]
 
 
@@ -48,6 +59,28 @@ def test_csv_text_prints_as_pandas_does(spark, drop):
     assert got == want
 
 
+def test_csv_quote_never_closed_is_an_error(spark):
+    df = spark.createDataFrame([("a", 'x,y\n1,"2\n3,4\n'), ("b", "\n \n")], "path string, text string")
+    got = {r.path: (r.text, r.error) for r in csv_text(df).collect()}
+    assert got == {"a": (None, "a quote is never closed"), "b": (None, "No columns to parse from file")}
+
+
+def test_csv_rows_and_text_agree(spark):
+    df = spark.createDataFrame([(str(i), c) for i, c in enumerate(CSV_FILES)], "path string, text string")
+    lines = tables.table_lines(tables.csv_rows(df))
+    folded = {r.path: r.text for r in assemble.fold_lines(lines, ["path"], "row_no").collect()}
+    assert folded == {r.path: r.text for r in csv_text(df).collect()}
+
+
+def test_read_csv_table_keeps_large_numbers_and_other_encodings(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("\ufeffid,big,word\n1234567890123456789,18446744073709551615,5\n1234567890123456788,1,6".encode())
+    df = read_csv_table(spark, str(tmp_path / "a.csv"))
+    assert df.columns == ["id", "big", "word"]
+    assert sorted(map(tuple, df.collect())) == [(1234567890123456788, 1, 6), (1234567890123456789, 18446744073709551615, 5)]
+    (tmp_path / "b.csv").write_bytes("w,n\ncafé,123456789012345678901234567890\nx,1\n".encode("latin-1"))
+    assert sorted(map(tuple, read_csv_table(spark, str(tmp_path / "b.csv")).collect())) == [("café", "123456789012345678901234567890"), ("x", "1")]
+
+
 def test_csv_record_longer_than_header_is_an_error(spark):
     df = spark.createDataFrame([("a", "x,y\n1,2\n1,2,3\n"), ("b", "x\n1\n")], "path string, text string")
     got = {r.path: (r.text, r.error) for r in csv_text(df).collect()}
@@ -76,16 +109,23 @@ def test_row_line(spark):
 def test_pages(spark):
     rows = [("a", 2, "two "), ("a", 1, " one"), ("a", 3, ""), ("b", 1, ""), ("a", 4, "four\n")]
     df = spark.createDataFrame(rows, "path string, page_no int, page_text string")
-    assert [tuple(r) for r in assemble.assemble_pages(df).collect()] == [("a", 0, "one\n\ntwo \n\nfour")]
+    assert [tuple(r) for r in assemble.assemble_pages(df).collect()] == [("a", "one\n\ntwo \n\nfour")]
 
 
-def test_a_document_over_the_part_size_comes_in_parts(spark):
-    rows = [("a", i, f"p{i}") for i in range(25)]
-    random.Random(0).shuffle(rows)
-    df = spark.createDataFrame(rows, "path string, page_no int, page_text string")
-    got = assemble.assemble_pages(df, part_rows=10).orderBy("part").collect()
-    assert [r.part for r in got] == [0, 1, 2]
-    assert "\n\n".join(r.text for r in got) == "\n\n".join(f"p{i}" for i in range(25))
+def test_a_document_of_many_rows_is_one_text(spark):
+    pages = spark.range(30_000).select(
+        F.lit("a").alias("path"), F.col("id").alias("page_no"), F.concat(F.lit(" p"), "id", F.lit("\n")).alias("page_text")
+    )
+    want = "\n\n".join(f" p{i}\n" for i in range(30_000)).strip()
+    assert [tuple(r) for r in assemble.assemble_pages(pages.repartition(7)).collect()] == [("a", want)]
+    kind = F.when(F.col("id") == 150_000, "table").when(F.col("id") > 299_990, "paragraph").otherwise("row")
+    blocks = spark.range(300_000).select(
+        F.lit("a").alias("path"), F.col("id").alias("seq"), kind.alias("kind"), F.array(F.col("id").cast("string")).alias("cells")
+    )
+    text = assemble.assemble_blocks(blocks).first().text.split("\n")
+    rows = [str(i) for i in range(299_991)]
+    rows[150_000] = "=== Table ==="
+    assert text == [str(i) for i in range(299_991, 300_000)] + rows
 
 
 def test_blocks(spark):
@@ -112,11 +152,11 @@ def test_workbook(spark):
     for name, frame in frames.items():
         parts += [f"\n=== Sheet: {name} ===\n", frame.to_string(index=False, na_rep="N/A"), "\n"]
     assert [r.text for r in assemble.assemble_workbook(rows).collect()] == ["\n".join(parts)]
-    order = spark.createDataFrame([("w", "One", 2), ("w", "Two", 1)], "path string, sheet string, sheet_no int")
+    placed = rows.withColumn("sheet_no", F.when(F.col("sheet") == "One", 2).otherwise(1))
     turned = "\n".join(parts[3:] + parts[:3])
-    assert [r.text for r in assemble.assemble_workbook(rows, order).collect()] == [turned]
-    cut = assemble.assemble_workbook(rows, part_rows=2).orderBy("part").collect()
-    assert len(cut) == 5 and "\n".join(r.text for r in cut) == "\n".join(parts)
+    assert [tuple(r) for r in assemble.assemble_workbook(placed).collect()] == [("w", turned, None)]
+    long = rows.unionByName(spark.createDataFrame([("w", "Two", 2, ["1", "2"])], rows.schema))
+    assert [tuple(r) for r in assemble.assemble_workbook(long).collect()] == [("w", None, "Expected 1 fields, saw 2")]
 
 
 def test_table_of_one_hot_path(spark):
