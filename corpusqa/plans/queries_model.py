@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,10 +12,13 @@ from corpusqa.functions.money import currency, thousands
 from corpusqa.functions.tokens import estimate_tokens
 from corpusqa.operators import exchange, rates, usage
 from corpusqa.operators.assemble import fold_lines
+from corpusqa.operators.chunking import split_documents
 from corpusqa.plans import samples
 from corpusqa.plans.mining import Mined, mine
 from corpusqa.plans.samples import table
-from corpusqa.sinks.json_rows import save_rows
+from corpusqa.plans.queries_text import MARKDOWN_SQL, _DENSE_ID
+from corpusqa.sinks.json_rows import save_rows, stamped_name
+from corpusqa.sources.files import documents, extract_text
 from corpusqa.sources.shared import new_folder
 from corpusqa.streaming.incremental import save_new
 
@@ -233,6 +238,39 @@ def saved_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).json(folder)
 
 
+@query(f"SELECT instruction, input, output, status, explanation, 'rows_check.json' AS name FROM ({samples.VERIFIED_SQL})")
+def saved_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with their verdicts under a stamped name, read back."""
+    name = stamped_name(new_folder(spark, "rows.json"), "check")
+    save_rows(_mined(spark, sf_dir).pairs, name, "run", include_verification=True)
+    schema = "instruction string, input string, output string, verification struct<status: string, explanation: string>"
+    rows = spark.read.schema(schema).json(name)
+    folder = F.element_at(F.split(F.input_file_name(), "/"), -3)
+    return rows.select("instruction", "input", "output", "verification.*", folder.alias("name"))
+
+
+_PROMPT_SQL = f"{_GEN_HEAD} || chunk"
+
+
+@query(f"""{MARKDOWN_SQL} SELECT path, {_DENSE_ID}, 0 AS pair_id,
+    'How long? ' || length({_PROMPT_SQL}) AS instruction, 'true' AS input, right({_PROMPT_SQL}, 50) AS output
+  FROM g WHERE chunk <> ''""")
+def model_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a file, read, split and put to a function for a model."""
+    docs = table(spark, sf_dir, "documents")
+    made = docs.select(samples.document_path(F.lit(".md")).alias("path"), F.encode("text", "UTF-8").alias("content"))
+    chunks = split_documents(documents(extract_text(made)))
+
+    def model(prompts: list[str]) -> list[str]:
+        return [
+            "Here: " + json.dumps([{"instruction": f"How long? {len(p)}", "input": True, "output": p[-50:]}])
+            for p in prompts
+        ]
+
+    answered = exchange.apply_model(exchange.generation_requests(chunks), model, batch_size=16)
+    return exchange.pairs(answered).drop("complete")
+
+
 @query(f"SELECT path, chunk_id, pair_id, instruction, input, output FROM ({samples.PAIRS_SQL})")
 def incremental_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents as a stream, mined batch by batch; a second run finds nothing new."""

@@ -23,6 +23,9 @@ from corpusqa.sources.shared import new_folder
 
 QUERIES, SQL = {}, {}
 
+#: Makes keys of 19 digits, which a double can't tell apart.
+LARGE_KEY = 1234567890123456000
+
 _B = (
     r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
     r"\x{202f}\x{205f}\x{3000}]"
@@ -143,13 +146,13 @@ def extracted_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""SELECT path, length(t) AS n_chars FROM (
-    SELECT path, {strip_sql("CASE WHEN doc_id % 10 = 0 THEN ' ' || chr(10) || chr(9) ELSE text END")} AS t
-    FROM ({samples.DOCUMENTS_SQL})) WHERE length(t) > 0""")
+    SELECT path, {strip_sql('text')} AS t FROM ({samples.DOCUMENTS_SQL})) WHERE length(t) > 0""")
 def nonempty_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = samples.documents(spark, sf_dir)
-    text = F.when(F.col("doc_id") % 10 == 0, " \n\t").otherwise(F.col("text"))
-    read = docs.select(
-        "path", F.lit(".txt").alias("ext"), py_strip(text).alias("text"),
+    """All documents, and blank files beside them, which count for nothing."""
+    docs = samples.documents(spark, sf_dir).select("path", "text")
+    blank = docs.select(F.concat(F.lit("blank/"), "path").alias("path"), F.lit(" \n\t").alias("text"))
+    read = docs.unionByName(blank).select(
+        "path", F.lit(".txt").alias("ext"), py_strip("text").alias("text"),
         F.lit(None).cast("string").alias("error"),
     )
     return usage.document_counts(files.documents(read))
@@ -167,27 +170,43 @@ def json_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""SELECT p_partkey, p_name, p_brand, CASE WHEN p_type = 'SMALL' THEN NULL ELSE p_type END AS p_type,
-    CASE WHEN p_size % 7 = 0 THEN -1 ELSE CAST(p_size AS BIGINT) END AS p_size, p_retailprice FROM part""")
+@query("""SELECT CAST(p_partkey AS BIGINT) AS p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, p_retailprice FROM part
+  UNION ALL SELECT p_partkey + 1234567890123456000, p_name || ' 5" wide', p_brand, NULL, -1, p_retailprice FROM part""")
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``part`` written as CSV with several spellings of missing, read with types inferred."""
-    part = table(spark, sf_dir, "part")
+    """``part`` written as CSV, and again with large keys, quotes and several spellings of missing; types inferred."""
+    part = table(spark, sf_dir, "part").withColumn("p_partkey", F.col("p_partkey").cast("bigint"))
     token = F.element_at(
         F.array(*[F.lit(t) for t in CSV_NULL_TOKENS]),
         (F.col("p_partkey") % len(CSV_NULL_TOKENS) + 1).cast("int"),
     )
-    shown = part.withColumns(
-        {
-            "p_type": F.when(F.col("p_type") == "SMALL", token).otherwise(F.col("p_type")),
-            "p_size": F.when(F.col("p_size") % 7 == 0, token).otherwise(F.col("p_size").cast("string")),
-        }
-    )
+    gaps = part.withColumns({
+        "p_partkey": F.col("p_partkey") + LARGE_KEY, "p_name": F.concat("p_name", F.lit(' 5" wide')),
+        "p_type": token, "p_size": token,
+    })
+    shown = part.withColumn("p_size", F.col("p_size").cast("string")).unionByName(gaps)
     folder = new_folder(spark, "part_csv")
-    shown.write.csv(folder, header=True)
+    shown.write.csv(folder, header=True, escape='"')
     read = csv_files.read_csv_table(spark, folder)
     return read.withColumn("p_size", F.coalesce("p_size", F.lit(-1).cast("bigint")))
 
 
+@query("""SELECT source || '/doc' || doc_id || '.csv' AS path,
+    lpad('size', CAST(w AS INTEGER), ' ') || ' ' || lpad(' k', 19, ' ') || chr(10)
+    || lpad(size, CAST(w AS INTEGER), ' ') || ' ' || (doc_id + 1234567890123456000) || chr(10)
+    || lpad('a' || chr(92) || 'nb, "c"', CAST(w AS INTEGER), ' ') || ' ' || (doc_id + 1234567890123456001) AS text
+  FROM (SELECT *, greatest(10, length(size)) AS w FROM (SELECT *, source || ' 5" pipe' AS size FROM documents))""")
+def quoted_csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV file for each document with a quote inside a bare cell, a quoted cell, and keys of 19 digits."""
+    docs = table(spark, sf_dir, "documents")
+    key = F.col("doc_id") + LARGE_KEY
+    content = F.concat(
+        F.lit("size,k\n"), "source", F.lit(' 5" pipe,'), key.cast("string"),
+        F.lit('\n"a\nb, ""c""",'), (key + 1).cast("string"), F.lit("\n"),
+    )
+    made = docs.select(samples.document_path(F.lit(".csv")).alias("path"), F.encode(content, "UTF-8").alias("content"))
+    return files.extract_text(made).select("path", "text")
+
+
 # -- HTML ----------------------------------------------------------------------------
 
 _HIDDEN = (
@@ -243,16 +262,20 @@ def html_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""SELECT path, {strip_sql("string_agg(page_text, chr(10) || chr(10) ORDER BY turn)")} AS text
-  FROM (SELECT 'conv/' || conv_id || '.pdf' AS path, turn,
-          CASE WHEN (conv_id + turn) % 5 = 0 THEN '' ELSE ' ' || text || chr(10) END AS page_text FROM conversations)
-  WHERE page_text <> '' GROUP BY path""")
+  FROM (SELECT 'conv/' || conv_id || '.pdf' AS path, turn, ' ' || text || chr(10) AS page_text FROM conversations)
+  GROUP BY path""")
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn as a page, with an empty page after each."""
     turns = table(spark, sf_dir, "conversations")
-    blank = (F.col("conv_id") + F.col("turn")) % 5 == 0
+    number, text = F.col("turn") * 2, F.concat(F.lit(" "), F.col("text"), F.lit("\n"))
     pages = turns.select(
         F.concat(F.lit("conv/"), F.col("conv_id").cast("string"), F.lit(".pdf")).alias("path"),
-        F.col("turn").alias("page_no"),
-        F.when(blank, "").otherwise(F.concat(F.lit(" "), F.col("text"), F.lit("\n"))).alias("page_text"),
+        F.inline(
+            F.array(
+                F.struct(number.alias("page_no"), text.alias("page_text")),
+                F.struct((number + 1).alias("page_no"), F.lit("").alias("page_text")),
+            )
+        ),
     )
     return assemble.assemble_pages(pages)
 
@@ -303,39 +326,39 @@ def row_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``part`` as one table per brand, with missing cells and an all-missing column."""
-    part = table(spark, sf_dir, "part").select(
-        F.col("p_brand").alias("_brand"),
-        "p_partkey",
-        F.when(F.col("p_partkey") % 4 > 0, F.col("p_name")).alias("p_name"),
-        F.when(F.col("p_size") % 7 > 0, F.col("p_size")).alias("p_size"),
-        "p_retailprice",
-        F.lit(None).cast("string").alias("p_note"),
+    """``part`` as one table per brand, a row of missing cells and a 19-digit key at its end, and an empty column."""
+    part = table(spark, sf_dir, "part")
+    columns = ["p_name", "p_type", "p_size", "p_retailprice"]
+    own = part.select(
+        F.col("p_brand").alias("_brand"), (F.col("p_partkey") + 1).alias("_row"),
+        F.col("p_partkey").cast("bigint").alias("p_partkey"), *columns,
     )
-    return tables.table_rows(
-        part, F.concat("_brand", F.lit(".csv")), F.lit(""), F.col("p_partkey") + 1
+    last = part.groupBy(F.col("p_brand").alias("_brand")).agg(F.max("p_partkey").alias("k")).select(
+        "_brand", (F.col("k") + 2).alias("_row"), (F.col("k") + LARGE_KEY).alias("p_partkey"),
+        *[F.lit(None).cast(part.schema[c].dataType).alias(c) for c in columns],
     )
+    whole = own.unionByName(last).withColumn("p_note", F.lit(None).cast("string"))
+    return tables.table_rows(whole, F.concat("_brand", F.lit(".csv")), F.lit(""), F.col("_row"))
 
 
 def _cell(col: str, width: str) -> str:
     return f"lpad({col}, CAST({width} AS INTEGER), ' ')"
 
 
-_PART_LINES = f"""WITH c AS (
-    SELECT p_brand || '.csv' AS path, p_partkey + 1 AS row_no, CAST(p_partkey AS VARCHAR) AS k,
-      CASE WHEN p_partkey % 4 > 0 THEN p_name END AS nm,
-      CASE WHEN p_size % 7 > 0 THEN p_size END AS sz,
-      CAST(p_retailprice AS VARCHAR) AS pr FROM part),
-  s AS (SELECT path, max(length(split_part(pr, '.', 2))) AS d, bool_or(sz IS NULL) AS miss FROM c GROUP BY path),
-  w AS (SELECT path, row_no, k, coalesce(nm, 'N/A') AS nm,
-      CASE WHEN sz IS NULL THEN 'N/A' WHEN miss THEN sz || '.0' ELSE CAST(sz AS VARCHAR) END AS sz,
-      split_part(pr, '.', 1) || '.' || rpad(split_part(pr, '.', 2), CAST(d AS INTEGER), '0') AS pr
+_PART_ROWS = f"""SELECT p_brand || '.csv' AS path, p_partkey + 1 AS row_no, CAST(p_partkey AS VARCHAR) AS k,
+      p_name AS nm, p_type AS ty, p_size AS sz, CAST(p_retailprice AS VARCHAR) AS pr FROM part
+    UNION ALL SELECT p_brand || '.csv', max(p_partkey) + 2, CAST(max(p_partkey) + {LARGE_KEY} AS VARCHAR), NULL, NULL, NULL, NULL
+    FROM part GROUP BY p_brand"""
+_PART_LINES = f"""WITH c AS ({_PART_ROWS}),
+  s AS (SELECT path, max(length(split_part(pr, '.', 2))) AS d FROM c GROUP BY path),
+  w AS (SELECT path, row_no, k, coalesce(nm, 'N/A') AS nm, coalesce(ty, 'N/A') AS ty, coalesce(sz || '.0', 'N/A') AS sz,
+      coalesce(split_part(pr, '.', 1) || '.' || rpad(split_part(pr, '.', 2), CAST(d AS INTEGER), '0'), 'N/A') AS pr
     FROM c JOIN s USING (path)
-    UNION ALL SELECT DISTINCT path, 0, ' p_partkey', 'p_name', ' p_size', ' p_retailprice' FROM c),
-  l AS (SELECT path, max(length(k)) AS wk, max(length(nm)) AS wn, max(length(sz)) AS ws, max(length(pr)) AS wp
+    UNION ALL SELECT DISTINCT path, 0, ' p_partkey', 'p_name', 'p_type', ' p_size', ' p_retailprice' FROM c),
+  l AS (SELECT path, max(length(k)) AS wk, max(length(nm)) AS wn, max(length(ty)) AS wt, max(length(sz)) AS ws, max(length(pr)) AS wp
     FROM w GROUP BY path)
-  SELECT path, CAST(row_no AS BIGINT) AS row_no, {_cell('k', 'wk')} || ' ' || {_cell('nm', 'wn')} || ' ' || {_cell('sz', 'ws')}
-    || ' ' || {_cell('pr', 'wp')}"""
+  SELECT path, CAST(row_no AS BIGINT) AS row_no, {_cell('k', 'wk')} || ' ' || {_cell('nm', 'wn')} || ' ' || {_cell('ty', 'wt')}
+    || ' ' || {_cell('sz', 'ws')} || ' ' || {_cell('pr', 'wp')}"""
 
 
 @query(_PART_LINES + """ || ' ' || CASE WHEN row_no = 0 THEN ' p_note' ELSE '    N/A' END AS line
@@ -351,11 +374,10 @@ def filled_table_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("path", "row_no", "line")
 
 
-@query("""SELECT p_brand || '.csv' AS path, p_partkey + 1 AS row_no, 4 AS n_cells,
-    p_partkey || '|' || CASE WHEN p_partkey % 4 > 0 THEN p_name ELSE '' END || '|'
-      || CASE WHEN p_size % 7 > 0 THEN CAST(p_size AS VARCHAR) ELSE '' END || '|' || p_retailprice AS cells
-  FROM part UNION ALL
-  SELECT DISTINCT p_brand || '.csv', 0, 4, 'p_partkey|p_name|p_size|p_retailprice' FROM part""")
+@query(f"""SELECT path, CAST(row_no AS BIGINT) AS row_no, 5 AS n_cells,
+    k || '|' || coalesce(nm, '') || '|' || coalesce(ty, '') || '|' || coalesce(CAST(sz AS VARCHAR), '') || '|' || coalesce(pr, '') AS cells
+  FROM ({_PART_ROWS}) UNION ALL
+  SELECT DISTINCT p_brand || '.csv', 0, 5, 'p_partkey|p_name|p_type|p_size|p_retailprice' FROM part""")
 def filled_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Their rows without the empty columns, as cells."""
     rows = tables.drop_empty_table_columns(_parts(spark, sf_dir))
@@ -427,6 +449,10 @@ _MARKED = f"""WITH l AS (
   g AS (SELECT path, section, {strip_sql("max(CASE WHEN is_header THEN line END)")} AS header,
       {strip_sql("coalesce(string_agg(CASE WHEN NOT is_header THEN line END, chr(10) ORDER BY i), '')")} AS chunk
     FROM s GROUP BY path, section)"""
+# The same of the documents as they are.
+MARKDOWN_SQL = _MARKED.replace(
+    "CASE WHEN i % 7 = 5 THEN '```' WHEN i % 3 = 0 THEN repeat('#', CAST(1 + i % 4 AS INTEGER)) || ' ' || line ELSE line END AS line", "line"
+)
 _DENSE_ID = "CAST(row_number() OVER (PARTITION BY path ORDER BY section) - 1 AS INTEGER) AS chunk_id"
 
 
