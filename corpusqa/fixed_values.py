@@ -70,8 +70,8 @@ HTML_SECTION_TAGS = [
     "h1", "h2", "h3", "h4", "h5", "h6", "article", "section", "main", "nav",
 ]
 
-# Words that open a top-level construct, per language. A splitting separator is
-# a newline, the word and a space; see operators.chunking.separators_for.
+# Words that open a top-level construct, per language, as public splitters of source
+# code use them. A splitting separator is a newline, the word and a space.
 LANGUAGE_KEYWORDS = {
     "python": "class def",
     "java": "class public protected private static if for while switch case",
@@ -97,6 +97,9 @@ LANGUAGE_KEYWORDS = {
     "cobol": "IDENTIFICATION ENVIRONMENT DATA PROCEDURE WORKING-STORAGE LINKAGE FILE INPUT-OUTPUT OPEN CLOSE READ WRITE IF ELSE MOVE PERFORM UNTIL VARYING ACCEPT DISPLAY STOP",
 }
 
+# Separators of a language besides those of its words.
+LANGUAGE_SEPARATORS = {"python": ["\n\tdef "]}
+
 # Markup languages split at patterns (regular expressions), not at words.
 MARKUP_SEPARATORS = {
     "markdown": [r"\n#{1,6} ", r"```\n", r"\n\*\*\*+\n", r"\n---+\n", r"\n___+\n"],

@@ -21,6 +21,7 @@ from corpusqa.fixed_values import (
     DEFAULT_SEPARATORS,
     EXTENSION_LANGUAGES,
     LANGUAGE_KEYWORDS,
+    LANGUAGE_SEPARATORS,
     MARKUP_SEPARATORS,
 )
 from corpusqa.functions.filetypes import language, splitter
@@ -93,9 +94,7 @@ def separators_for(language: str | None) -> list[str]:
     if language in LANGUAGE_KEYWORDS:
         words = LANGUAGE_KEYWORDS[language].split()
         patterns = [rf"\n{re.escape(word)} " for word in words]
-        if language == "python":
-            patterns.append("\n\tdef ")
-        return patterns + DEFAULT_SEPARATORS
+        return patterns + LANGUAGE_SEPARATORS.get(language, []) + DEFAULT_SEPARATORS
     return DEFAULT_SEPARATORS
 
 

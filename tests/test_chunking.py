@@ -191,3 +191,24 @@ def test_split_documents_picks_the_splitter(spark):
         [rows[2], rows[3]], [recursive_chunks, code_chunks])}
     for path, want in only.items():
         assert [c for c in got if c[0] == path] == want
+
+
+@pytest.mark.parametrize("size,overlap", [(10, 6), (10, 9), (7, 0), (5, 3), (1, 0)])
+def test_windows_with_any_overlap(spark, size, overlap):
+    texts = ["ABCDEFGHIJKLMNOPQRSTUVWXYZ"[:n] for n in range(1, 27)]
+    df = spark.createDataFrame([(t, t) for t in texts], "path string, text string")
+    got = {}
+    for r in char_windows(df, size, overlap).orderBy("chunk_id").collect():
+        got.setdefault(r.path, []).append(r.chunk)
+    step = size - overlap
+    for t in texts:
+        starts = range(0, max(1, -(-(len(t) - overlap) // step)) * step, step)
+        assert got[t] == [t[a : a + size] for a in starts]
+
+
+def test_splitters_refuse_an_overlap_that_never_ends(spark):
+    df = spark.createDataFrame([("a.txt", "x")], "path string, text string")
+    for size, overlap in ((10, 10), (10, 12), (0, 0), (5, -1)):
+        for split in (char_windows, recursive_chunks, code_chunks, split_documents):
+            with pytest.raises(ValueError):
+                split(df, size, overlap)

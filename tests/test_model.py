@@ -228,3 +228,30 @@ def test_limits(spark):
     got = {(r.key, r.at_us): r for r in rates.over_limits(rates.rolling_usage(df)).collect()}
     assert not got["k", 28].over_any and got["k", 29].over_calls and not got["k", 29].over_tokens
     assert got["big", 0].over_tokens and got["big", 0].oversized and not got["big", 0].over_calls
+
+
+def test_of_several_answers_a_successful_one_counts(spark):
+    requests = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "request_id string")
+    answers = spark.createDataFrame(
+        [("a", None, "boom"), ("a", "y", None), ("a", "x", None), ("b", None, "bad"), ("b", None, "bad"), ("c", "z", None)],
+        "request_id string, response string, error string",
+    )
+    got = {r.request_id: (r.response, r.error) for r in exchange.attach_responses(requests, answers).collect()}
+    assert got == {"a": ("x", None), "b": (None, "bad"), "c": ("z", None), "d": (None, "no response")}
+
+
+def test_a_model_may_take_batches(spark):
+    requests = spark.createDataFrame([(str(i), f"p{i}") for i in range(7)], "request_id string, prompt string")
+
+    def model(prompts):
+        assert len(prompts) <= 2
+        return [ValueError("no") if p == "p3" else p.upper() for p in prompts]
+
+    got = {r.request_id: (r.response, r.error) for r in exchange.apply_model(requests, model, 1, batch_size=2).collect()}
+    assert got == {str(i): (None, "no") if i == 3 else (f"P{i}", None) for i in range(7)}
+
+
+@pytest.mark.parametrize("text", ['{"pairs": [{"a": 1}], "extra": ["x"]}', '[1], "r": [2]', '[1]}, {"r": [2]', '[1]], "x": [[2]', "[1], [2]"])
+def test_an_answer_must_be_one_array(spark, text):
+    df = spark.createDataFrame([(text,), ("so: [1, [2]] ok",)], "t string")
+    assert [r[0] for r in df.select(json_elements("t")).collect()] == [None, ["1", "[2]"]]

@@ -65,6 +65,30 @@ def test_texts_of_a_directory(spark, folder):
     assert out["h.txt"].reason == "no text"
 
 
+def test_every_supported_name_is_a_document_or_a_reject(spark, tmp_path):
+    names = ["_x.txt", ".y.txt", ".h.py", "empty.txt", "empty.csv", "empty.json", "full.txt", "other.zzz"]
+    for name in names:
+        (tmp_path / name).write_text("text" if name in ("full.txt", "_x.txt", ".y.txt") else "")
+    rows = read_texts(spark, str(tmp_path))
+    kept, out = by_name(files.documents(rows).collect()), by_name(files.rejects(rows).collect())
+    assert set(kept) == {"full.txt"}
+    assert {n: r.reason for n, r in out.items()} == {
+        "_x.txt": "hidden file", ".y.txt": "hidden file", ".h.py": "hidden file",
+        "empty.txt": "no text", "empty.csv": "no text", "empty.json": "no text",
+    }
+
+
+def test_streams_with_one_run_id_keep_apart(spark, tmp_path):
+    from corpusqa.streaming.incremental import save_new
+
+    for n in ("one", "two"):
+        spark.range(3).selectExpr("id", f"'{n}' AS s").write.parquet(str(tmp_path / n))
+        stream = spark.readStream.schema("id bigint, s string").parquet(str(tmp_path / n))
+        save_new(stream, lambda batch: batch, str(tmp_path / "out"), str(tmp_path / f"progress_{n}"), "run")
+    rows = spark.read.json(f"{tmp_path}/out/run_id=*/batch_id=*").collect()
+    assert sorted((r.s, r.id) for r in rows) == [(s, i) for s in ("one", "two") for i in range(3)]
+
+
 def test_decoders(spark, folder):
     def pdf(content: bytes) -> str:
         return content.decode().removeprefix("%PDF ")
