@@ -37,7 +37,8 @@ from corpusqa.sources.shared import written
 
 WINDOW = 35
 LEAD = 8
-GROUP = 4096
+#: Stretches of one lead that a task's subtree may hold, about 5 KB each in memory.
+GROUP = 1 << 15
 _ALL = 2**31 - 1
 
 
@@ -107,6 +108,8 @@ def _stretches(keyed: DataFrame, repeated: np.ndarray, crowded: np.ndarray, wind
             words = Words(piece, SOLID, False)
             s = Stretches(words, window, lead)
             take = np.flatnonzero(_chosen(s, repeated) & ~_chosen(s, crowded))
+            if not len(take):
+                continue
             base = words.first[s.doc[take]]
             bounds = zip(s.start[take].tolist(), (s.last[take] + window).tolist())
             yield pd.DataFrame({
@@ -119,23 +122,30 @@ def _stretches(keyed: DataFrame, repeated: np.ndarray, crowded: np.ndarray, wind
 
 
 def _crowded_windows(keyed: DataFrame, crowded: np.ndarray, window: int, lead: int) -> DataFrame:
-    """``h, g, key, at``: each window of crowded leads, g standing for all its words."""
+    """``h, g, key, at array``: each distinct window of crowded leads in a text, and where it starts; g stands for its words."""
 
     def cut(batches):
         for keys, piece in _texts_once(batches):
             words = Words(piece, SOLID, False)
             s = Stretches(words, window, lead)
             take = np.flatnonzero(_chosen(s, crowded))
+            if not len(take):
+                continue
             width = s.last[take] - s.start[take] + 1
             at = np.repeat(s.start[take] - (np.cumsum(width) - width), width) + np.arange(width.sum())
-            doc = np.repeat(s.doc[take], width)
+            doc, h = np.repeat(s.doc[take], width), np.repeat(s.h[take], width)
+            g = shingle_hashes(s.hashes, window)[at]
+            order = np.lexsort((at, g, h, doc))
+            at, doc, h, g = at[order], doc[order], h[order], g[order]
+            new = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1]) | (g[1:] != g[:-1])
+            first = np.flatnonzero(np.append(True, new))
             yield pd.DataFrame({
-                "h": np.repeat(s.h[take], width).view(np.int64),
-                "g": shingle_hashes(s.hashes, window)[at].view(np.int64) if len(at) else np.zeros(0, np.int64),
-                "key": [keys[d] for d in doc.tolist()], "at": at - words.first[doc],
+                "h": h[first].view(np.int64), "g": g[first].view(np.int64),
+                "key": [keys[d] for d in doc[first].tolist()],
+                "at": np.split((at - words.first[doc]).astype(np.int32), first[1:]),
             })
 
-    return keyed.mapInPandas(cut, "h bigint, g bigint, key binary, at int")
+    return keyed.mapInPandas(cut, "h bigint, g bigint, key binary, at array<int>")
 
 
 def repeated_windows(group: np.ndarray, lead: np.ndarray, texts: list[str], window: int = WINDOW) -> list[np.ndarray]:
@@ -189,11 +199,11 @@ def _tree_marks(stretches: DataFrame, window: int) -> DataFrame:
     """``key, start, stop``: words under repeated windows, group by group."""
     empty = pd.DataFrame({c: [] for c in stretches.columns})
 
-    def marks(rows: pd.DataFrame) -> pd.DataFrame:
+    def marks(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
         rows = rows.drop_duplicates(["h", "key", "at"])
         rows = rows[rows["h"].duplicated(keep=False)]
         if not len(rows):
-            return pd.DataFrame({"key": [], "start": [], "stop": []})
+            return
         group = rows["h"].rank(method="dense").to_numpy().astype(np.int64)
         found = repeated_windows(group, rows["lead"].to_numpy(np.int64), rows["words"].tolist(), window)
         out = []
@@ -202,7 +212,8 @@ def _tree_marks(stretches: DataFrame, window: int) -> DataFrame:
                 breaks = np.flatnonzero(np.diff(nth) > 1)
                 first, last = nth[np.append(0, breaks + 1)], nth[np.append(breaks, len(nth) - 1)]
                 out += [(key, at + a, at + b + window) for a, b in zip(first.tolist(), last.tolist())]
-        return pd.DataFrame(out, columns=["key", "start", "stop"])
+        if out:
+            yield pd.DataFrame(out, columns=["key", "start", "stop"])
 
     def run(batches):
         rest = empty
@@ -210,21 +221,21 @@ def _tree_marks(stretches: DataFrame, window: int) -> DataFrame:
             whole = pd.concat([rest, batch], ignore_index=True) if len(rest) else batch
             done = (whole["h"] != whole["h"].iloc[-1]).to_numpy()
             rest = whole[~done]
-            yield marks(whole[done])
-        if len(rest):
-            yield marks(rest)
+            yield from marks(whole[done])
+        yield from marks(rest)
 
     return stretches.repartition("h").sortWithinPartitions("h").mapInPandas(run, "key binary, start int, stop int")
 
 
 def _count_marks(windows: DataFrame, window: int) -> DataFrame:
     """The same from counting equal windows; an occurrence met in several copies counts once."""
-    place = F.xxhash64("key", "at")
+    one, other = F.xxhash64("key", F.array_min("at")), F.xxhash64("key", F.array_max("at"))
     repeated = (
-        windows.groupBy("h", "g").agg(F.min(place).alias("least"), F.max(place).alias("most"))
+        windows.groupBy("h", "g").agg(F.min(F.least(one, other)).alias("least"), F.max(F.greatest(one, other)).alias("most"))
         .filter("least <> most").select("h", "g")
     )
-    return windows.join(repeated, ["h", "g"]).select("key", F.col("at").alias("start"), (F.col("at") + window).alias("stop"))
+    found = windows.join(repeated, ["h", "g"]).select("key", F.explode(F.array_distinct("at")).alias("start"))
+    return found.select("key", "start", (F.col("start") + window).alias("stop"))
 
 
 def repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, lead: int = LEAD, group: int = GROUP) -> DataFrame:
