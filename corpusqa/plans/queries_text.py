@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusqa.fixed_values import (
+    CHUNK_OVERLAP,
     CHUNK_SIZE,
     CSV_NULL_TOKENS,
     DOCUMENT_EXTENSIONS,
@@ -423,22 +424,6 @@ def workbook_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- chunks ---------------------------------------------------------------------------
 
 
-@query(f"SELECT path, chunk_id, chunk FROM ({samples.WINDOWS_SQL})")
-def char_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunking.char_windows(samples.documents(spark, sf_dir))
-
-
-@query(f"""SELECT CASE ext WHEN '.html' THEN 'html' WHEN '.md' THEN 'markdown' ELSE
-      CASE WHEN ext IN {_in(EXTENSION_LANGUAGES)} THEN 'code' ELSE 'default' END END AS splitter,
-    count(*) AS n_files, CAST(sum(length(text)) AS BIGINT) AS n_chars
-  FROM (SELECT *, {_SPLIT} AS ext FROM ({samples.MIXED_SQL})) GROUP BY 1""")
-def splitter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = samples.mixed_documents(spark, sf_dir)
-    return docs.groupBy(filetypes.splitter("path").alias("splitter")).agg(
-        F.count("*").alias("n_files"), F.sum(F.length("text")).cast("bigint").alias("n_chars")
-    )
-
-
 _MARKED = f"""WITH l AS (
     SELECT path, i, CASE WHEN i % 7 = 5 THEN '```' WHEN i % 3 = 0 THEN repeat('#', CAST(1 + i % 4 AS INTEGER)) || ' ' || line ELSE line END AS line
     FROM (SELECT source || '/doc' || doc_id || '.md' AS path, unnest(string_split(text, chr(10))) AS line,
@@ -456,6 +441,22 @@ MARKDOWN_SQL = _MARKED.replace(
 _DENSE_ID = "CAST(row_number() OVER (PARTITION BY path ORDER BY section) - 1 AS INTEGER) AS chunk_id"
 
 
+@query(f"SELECT path, chunk_id, chunk FROM ({samples.WINDOWS_SQL})")
+def char_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.char_windows(samples.documents(spark, sf_dir))
+
+
+@query(f"""SELECT CASE ext WHEN '.html' THEN 'html' WHEN '.md' THEN 'markdown' ELSE
+      CASE WHEN ext IN {_in(EXTENSION_LANGUAGES)} THEN 'code' ELSE 'default' END END AS splitter,
+    count(*) AS n_files, CAST(sum(length(text)) AS BIGINT) AS n_chars
+  FROM (SELECT *, {_SPLIT} AS ext FROM ({samples.MIXED_SQL})) GROUP BY 1""")
+def splitter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = samples.mixed_documents(spark, sf_dir)
+    return docs.groupBy(filetypes.splitter("path").alias("splitter")).agg(
+        F.count("*").alias("n_files"), F.sum(F.length("text")).cast("bigint").alias("n_chars")
+    )
+
+
 def _marked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with every third line made a header and every seventh a fence."""
     docs = table(spark, sf_dir, "documents")
@@ -500,18 +501,79 @@ def md_header_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.markdown_header_paths(_marked_documents(spark, sf_dir))
 
 
-@query()
+def chunks_sql(source: str, size: int = CHUNK_SIZE, over: int = CHUNK_OVERLAP) -> str:
+    """Recursive chunks of ``source`` (path, text, seps: patterns, coarsest first).
+
+    ``work`` cuts spans at the next pattern that occurs, into runs of short pieces, long
+    pieces to cut again, and leaves past the last pattern; ``pack`` walks along a run.
+    """
+    return f"""WITH RECURSIVE src AS MATERIALIZED ({source}),
+  work AS (
+    SELECT path, CAST(0 AS BIGINT) AS s, CAST(length(text) AS BIGINT) AS e, CAST(0 AS BIGINT) AS lvl, 'span' AS kind, [CAST(0 AS BIGINT)] AS edges
+    FROM src WHERE length(text) > {size}
+    UNION ALL
+    SELECT path, min(a) AS s, max(b) AS e, any_value(lvl) + 1 AS lvl,
+      CASE WHEN any_value(done) THEN 'leaf' WHEN bool_or(big) THEN 'span' ELSE 'run' END AS kind,
+      [min(a)] || list(b ORDER BY b) AS edges
+    FROM (
+      SELECT *, b - a >= {size} OR n = 1 AS big,
+        sum(CASE WHEN b - a >= {size} OR n = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY path, s ORDER BY a) AS run
+      FROM (
+        SELECT path, s, lvl, done, n, s + sum(length(piece)) OVER (PARTITION BY path, s ORDER BY i) - length(piece) AS a,
+          s + sum(length(piece)) OVER (PARTITION BY path, s ORDER BY i) AS b
+        FROM (
+          SELECT path, s, lvl, done, len(m) AS n, unnest(m) AS piece, generate_subscripts(m, 1) AS i
+          FROM (
+            SELECT w.path, w.s, w.lvl, w.lvl >= len(seps) AS done,
+              CASE WHEN w.lvl >= len(seps) THEN [substring(text, w.s + 1, w.e - w.s)]
+                ELSE string_split(regexp_replace(substring(text, w.s + 1, w.e - w.s), '(' || seps[w.lvl + 1] || ')', chr(1) || '\\1', 'g'), chr(1)) END AS m
+            FROM work w JOIN src USING (path) WHERE w.kind = 'span')))
+      WHERE b > a)
+    GROUP BY path, s, run, big),
+  pack AS (
+    SELECT path, edges, CAST(1 AS BIGINT) AS f, CAST(len(list_filter(edges, lambda x: x <= edges[1] + {size})) AS BIGINT) AS t FROM work WHERE kind = 'run'
+    UNION ALL
+    SELECT path, edges, g, CAST(len(list_filter(edges, lambda x: x <= edges[g] + {size})) AS BIGINT) FROM (
+      SELECT path, edges, greatest(f, 1 + len(list_filter(edges, lambda x: x < edges[t] - {over})), 1 + len(list_filter(edges, lambda x: x < edges[t + 1] - {size}))) AS g
+      FROM pack WHERE t < len(edges))),
+  cut AS (
+    SELECT path, edges[f] AS s, edges[t] AS e FROM pack
+    UNION ALL SELECT path, s + {size - over} * i, least(e, s + {size - over} * i + {size}) FROM (
+      SELECT *, unnest(range(1 + CAST(greatest(0, ceil((e - s - {size}) / {size - over}.0)) AS BIGINT))) AS i FROM work WHERE kind = 'leaf')
+    UNION ALL SELECT path, 0, length(text) FROM src WHERE length(text) <= {size})
+  SELECT path, CAST(row_number() OVER (PARTITION BY path ORDER BY s) - 1 AS INTEGER) AS chunk_id, chunk
+  FROM (SELECT path, s, {strip_sql('substring(text, s + 1, e - s)')} AS chunk FROM cut JOIN src USING (path)) WHERE chunk <> ''"""
+
+
+
+def _patterns(language: str | None) -> str:
+    return "[" + ", ".join("'" + p.replace("'", "''") + "'" for p in chunking.separators_for(language) if p) + "]"
+
+
+_BY_LANGUAGE = "CASE ext " + " ".join(
+    f"WHEN '{e}' THEN {_patterns(lang)}" for e, lang in EXTENSION_LANGUAGES.items()
+) + f" ELSE {_patterns(None)} END"
+_MIXED_EXT = f"(SELECT *, {_SPLIT} AS ext FROM ({samples.MIXED_SQL}))"
+
+
+@query(chunks_sql(f"SELECT path, text, {_patterns(None)} AS seps FROM ({samples.DOCUMENTS_SQL})"))
 def recursive_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.recursive_chunks(samples.documents(spark, sf_dir))
 
 
-@query()
+@query(chunks_sql(f"""SELECT path, text, {_BY_LANGUAGE} AS seps FROM {_MIXED_EXT}
+    WHERE ext IN {_in([e for e in EXTENSION_LANGUAGES if e not in ('.html', '.md')])}"""))
 def code_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = samples.mixed_documents(spark, sf_dir)
     return chunking.code_chunks(docs.filter(filetypes.splitter("path") == "code"))
 
 
-@query()
+_MD_DOCUMENTS = f"(SELECT * FROM documents WHERE doc_id % {len(samples.EXTENSIONS)} = {samples.EXTENSIONS.index('.md')})"
+
+
+@query(f"""SELECT * FROM ({chunks_sql(f"SELECT path, text, {_BY_LANGUAGE} AS seps FROM {_MIXED_EXT} WHERE ext NOT IN ('.html', '.md')")})
+  UNION ALL SELECT path, CAST(0 AS INTEGER), text FROM {_MIXED_EXT} WHERE ext = '.html' AND text <> ''
+  UNION ALL SELECT * FROM ({MARKDOWN_SQL.replace('FROM documents', 'FROM ' + _MD_DOCUMENTS)} SELECT path, {_DENSE_ID}, chunk FROM g WHERE chunk <> '')""")
 def mixed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document through the splitter of its extension."""
     return chunking.split_documents(samples.mixed_documents(spark, sf_dir), html_is_raw=False)
