@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PIECE = 2 << 20
+PIECE = 1 << 20
 
 #: Bytes that may stand in a word of letters and digits: 0-9, a-z and all of a
 #: multi-byte character. Upper-case A-Z is lowered first.
@@ -31,7 +31,19 @@ def text_key(text: str | Column) -> Column:
     return F.unhex(F.md5(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))))
 
 
-def bit_set(hashes: DataFrame, column: str, bits: int) -> np.ndarray:
+class BitSet:
+    """Which 64-bit hashes may be in a set, by their lower bits."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+        self.mask = np.uint64(64 * len(words) - 1)
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        at = hashes & self.mask
+        return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
+
+
+def bit_set(hashes: DataFrame, column: str, bits: int) -> BitSet:
     """A bit for each of a column's 64-bit hashes, modulo ``bits`` (a power of two).
 
     The driver receives at most ``bits / 64`` rows whatever the table's size.
@@ -46,7 +58,7 @@ def bit_set(hashes: DataFrame, column: str, bits: int) -> np.ndarray:
     )
     words = np.zeros(bits // 64, np.uint64)
     words[rows["w"].to_numpy(np.int64)] = rows["v"].to_numpy(np.int64).view(np.uint64)
-    return np.unpackbits(words.view(np.uint8), bitorder="little").view(bool)
+    return BitSet(words)
 
 
 def bits_for(count: int, most: int = 1 << 27) -> int:

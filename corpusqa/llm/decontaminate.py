@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusqa.llm.common import ALNUM, Words, bit_set, bits_for, pieces, shingle_hashes, text_key
+from corpusqa.llm.common import ALNUM, BitSet, Words, bit_set, bits_for, pieces, shingle_hashes, text_key
 from corpusqa.sources.shared import written
 
 WINDOW = 13
@@ -59,13 +59,11 @@ def _window_shingles(windows: DataFrame, size: int) -> DataFrame:
     )
 
 
-def _offers(lengths: list[int], bits: np.ndarray, context: tuple[int, int] | None):
+def _offers(lengths: list[int], bits: BitSet, context: tuple[int, int] | None):
     """A function of texts: word count, and shingles whose bit is set.
 
     With ``context`` (words before, words from) each offer carries the words around it.
     """
-    mask = np.uint64(len(bits) - 1)
-
     def of(texts: pd.Series) -> pd.DataFrame:
         counts, found = [], []
         for _, piece in pieces(texts.tolist()):
@@ -75,7 +73,7 @@ def _offers(lengths: list[int], bits: np.ndarray, context: tuple[int, int] | Non
             here: list[list] = [[] for _ in piece]
             for k in lengths:
                 h = shingle_hashes(own, k)
-                at = np.flatnonzero(bits[(h & mask).astype(np.int64)])
+                at = np.flatnonzero(bits.has(h))
                 doc = np.searchsorted(first, at, "right") - 1
                 inside = at + k <= first[doc + 1]
                 at, doc = at[inside], doc[inside]

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusqa.llm.common import SOLID, Words, bit_set, bits_for, pieces, shingle_hashes, text_key
+from corpusqa.llm.common import SOLID, BitSet, Words, bit_set, bits_for, pieces, shingle_hashes, text_key
 from corpusqa.sources.shared import written
 
 WINDOW = 35
@@ -85,10 +85,6 @@ def _lead_counts(docs: DataFrame, text: str, window: int, lead: int) -> DataFram
     return each.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1")
 
 
-def _chosen(stretches: Stretches, bits: np.ndarray) -> np.ndarray:
-    return bits[(stretches.h & np.uint64(len(bits) - 1)).astype(np.int64)]
-
-
 def _texts_once(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[bytes]]]:
     """Keys and texts, a text once in a task; its copies have the same stretches."""
     seen = set()
@@ -100,14 +96,14 @@ def _texts_once(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[by
             yield keys[first : first + len(piece)], piece
 
 
-def _stretches(keyed: DataFrame, repeated: np.ndarray, crowded: np.ndarray, window: int, lead: int) -> DataFrame:
+def _stretches(keyed: DataFrame, repeated: BitSet, crowded: BitSet, window: int, lead: int) -> DataFrame:
     """``h, key, at, lead, words``: text of the stretches whose lead is repeated but not crowded."""
 
     def cut(batches):
         for keys, piece in _texts_once(batches):
             words = Words(piece, SOLID, False)
             s = Stretches(words, window, lead)
-            take = np.flatnonzero(_chosen(s, repeated) & ~_chosen(s, crowded))
+            take = np.flatnonzero(repeated.has(s.h) & ~crowded.has(s.h))
             if not len(take):
                 continue
             base = words.first[s.doc[take]]
@@ -121,14 +117,14 @@ def _stretches(keyed: DataFrame, repeated: np.ndarray, crowded: np.ndarray, wind
     return keyed.mapInPandas(cut, "h bigint, key binary, at int, lead int, words string")
 
 
-def _crowded_windows(keyed: DataFrame, crowded: np.ndarray, window: int, lead: int) -> DataFrame:
+def _crowded_windows(keyed: DataFrame, crowded: BitSet, window: int, lead: int) -> DataFrame:
     """``h, g, key, at array``: each distinct window of crowded leads in a text, and where it starts; g stands for its words."""
 
     def cut(batches):
         for keys, piece in _texts_once(batches):
             words = Words(piece, SOLID, False)
             s = Stretches(words, window, lead)
-            take = np.flatnonzero(_chosen(s, crowded))
+            take = np.flatnonzero(crowded.has(s.h))
             if not len(take):
                 continue
             width = s.last[take] - s.start[take] + 1

@@ -280,9 +280,7 @@ def train(texts: list[list[str]], toxic: np.ndarray, weight: np.ndarray, rounds:
     owner = np.repeat(np.arange(len(texts)), [len(w) for w in texts])
     words = Words([w.encode() for w in flat], ALNUM, True)
     lexicon, number = Lexicon.of(words)
-    at, window_of = windows(words.first, WIDTH, WIDTH)
-    at, window_of = at[np.diff(np.append(-1, window_of)) > 0], np.arange(len(flat))
-    at = np.append(number, -1)[at]
+    at = np.append(number, -1)[windows(words.first, WIDTH, WIDTH)[0]]  # one window for each text
     pairs = np.unique(np.stack([owner[np.repeat(np.arange(len(flat)), np.diff(words.first))], number]), axis=1)
     seen = np.bincount(pairs[1], minlength=len(lexicon.h))
     common = np.argsort(-seen, kind="stable")[:VOCABULARY]
@@ -307,7 +305,7 @@ def train(texts: list[list[str]], toxic: np.ndarray, weight: np.ndarray, rounds:
             chosen = np.flatnonzero(sure if sure.any() else positive)
         some = rng.choice(clean, min(len(clean), max(2 * len(chosen), 4000)), replace=False)
         pool = np.concatenate([chosen, some])
-        for _ in range(-(-MIN_STEPS * batch // (rounds * len(pool))) if len(pool) * 2 * rounds < MIN_STEPS * batch else 2):
+        for _ in range(max(2, -(-MIN_STEPS * batch // (rounds * len(pool))))):
             order = rng.permutation(pool)
             for lo in range(0, len(order), batch):
                 pick = order[lo : lo + batch]
