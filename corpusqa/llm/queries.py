@@ -89,4 +89,5 @@ QUERIES = {
 SQL: dict[str, str] = {
     "op1_license_scan": licences.scan_sql(),
     "op4_line_dedup": linededup.LINE_COUNTS_SQL,
+    "op7_rendezvous_shards": shard.key_law_sql(SHARDS),
 }

@@ -25,13 +25,17 @@ BUCKETS = 256
 _UNIT = float(1 << 60)
 
 
+def _number(text: Column, digits: int) -> Column:
+    """The first hexadecimal digits of a text's MD5 as a number."""
+    return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("bigint")
+
+
 def bids(key: Column, weights: Sequence[float]) -> Column:
     """``array<struct<bid, shard>>``, a bid of each shard for the key."""
     name = F.coalesce(key.cast("string"), F.lit("null"))
 
     def bid(weight: Column, shard: Column) -> Column:
-        digits = F.substring(F.md5(F.concat_ws(":", name, shard.cast("string"))), 1, 15)
-        u = (F.conv(digits, 16, 10).cast("bigint") + 1) / F.lit(_UNIT)
+        u = (_number(F.concat_ws(":", name, shard.cast("string")), 15) + 1) / F.lit(_UNIT)
         return F.struct((F.ln(u) / weight).alias("bid"), shard.alias("shard"))
 
     return F.transform(F.array(*[F.lit(float(w)) for w in weights]), bid)
@@ -56,7 +60,7 @@ def sharded(
     grown = F.array_max("bids")["shard"] if more else F.lit(None).cast("int")
     rows = rows.select(
         "doc_id", "size", "text_crc32", best.alias("shard"), grown.alias("grown_shard"),
-        F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(buckets)).cast("int").alias("bucket"),
+        (_number(F.concat_ws(":", "doc_id", "text_crc32", "size"), 8) % buckets).cast("int").alias("bucket"),
     )
     counts = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -67,3 +71,23 @@ def sharded(
     return numbered.join(F.broadcast(opens), ["shard", "bucket"]).select(
         "doc_id", "size", "text_crc32", "shard", (F.col("opens") + F.col("nth")).alias("slot"), "grown_shard"
     )
+
+
+def key_law_sql(shards: int, buckets: int = BUCKETS) -> str:
+    """DuckDB SQL for ``documents`` in equal shards by key, and with one shard more."""
+    hashed = "('0x' || substring(md5({}), 1, {}))::BIGINT"
+    step = "CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
+    bid = hashed.format("coalesce(doc_id::VARCHAR, 'null') || ':' || s", 15)
+    byte = "('0x' || substring(h, 2 * i + 1, 2))::BIGINT"
+    return f"""WITH crc AS MATERIALIZED (
+    SELECT list(c ORDER BY n) AS t FROM (SELECT n, list_reduce([n] || range(8), lambda a, b: {step}) AS c FROM range(256) r(n))),
+  rows AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 8 AS size, hex(encode(coalesce(text, ''))) AS h,
+      list_transform(range({shards + 1}), lambda s: {bid}) AS bids FROM documents),
+  summed AS (SELECT doc_id, CAST(size AS BIGINT) AS size, bids, xor(4294967295, list_reduce(
+      [4294967295::BIGINT] || list_transform(range(size - 8), lambda i: {byte}), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) AS text_crc32
+    FROM rows, crc),
+  dealt AS (SELECT *, CAST(list_position(bids[1:{shards}], list_max(bids[1:{shards}])) - 1 AS INTEGER) AS shard,
+      CAST(list_position(bids, list_max(bids)) - 1 AS INTEGER) AS grown_shard,
+      {hashed.format("concat_ws(':', doc_id, text_crc32, size)", 8)} % {buckets} AS bucket FROM summed)
+  SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law, shard,
+    row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id, text_crc32, size) - 1 AS slot, grown_shard FROM dealt"""
