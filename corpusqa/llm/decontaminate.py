@@ -193,3 +193,28 @@ def clean_rows(docs: DataFrame, items: DataFrame, text: str = "text", **names) -
     )
     rows = docs.select(F.struct("*").alias("row"), text_key(text).alias("key"))
     return rows.join(bad, F.col("key") == F.col("bad"), "left_anti").select("row.*")
+
+
+def measured_sql(window: int = WINDOW) -> str:
+    """DuckDB SQL for ``documents`` against ``benchmark``, item ids as a digest of their sorted list."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    words = (
+        f"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), "
+        r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    )
+    return f"""WITH win AS (
+    SELECT DISTINCT item_id, list_slice(w, i, i + {window - 1}) AS win FROM (
+      SELECT item_id, w, unnest(range(1, greatest(1, len(w) - {window - 1}) + 1)) AS i
+      FROM (SELECT item_id, {words} AS w FROM benchmark) WHERE len(w) > 0)),
+  d AS (SELECT doc_id, {words} AS w FROM documents),
+  hit AS (
+    SELECT doc_id, pos, n, item_id FROM (
+      SELECT doc_id, n, pos, list_slice(w, pos, pos + n - 1) AS win FROM (
+        SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS pos
+        FROM d, (SELECT DISTINCT len(win) AS n FROM win) WHERE len(w) >= n)) JOIN win USING (win)),
+  covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS p FROM hit) GROUP BY doc_id),
+  named AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+      sha256(string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR)) AS items_sha256 FROM hit GROUP BY doc_id)
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
+  FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)"""

@@ -88,6 +88,8 @@ QUERIES = {
 }
 SQL: dict[str, str] = {
     "op1_license_scan": licences.scan_sql(),
+    "op3_decontamination": decontaminate.measured_sql(),
     "op4_line_dedup": linededup.LINE_COUNTS_SQL,
     "op7_rendezvous_shards": shard.key_law_sql(SHARDS),
+    "op8_substring_dedup": suffix.without_repeats_sql(),
 }

@@ -275,3 +275,17 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     found = repeats(docs, text, window, lead, group)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t"), text_key(text).alias("key"))
     return rows.join(found, "key", "left").select("doc_id", cut("t", "spans").alias("c")).select("doc_id", "c.*")
+
+
+def without_repeats_sql(window: int = WINDOW) -> str:
+    """DuckDB SQL for ``documents``, kept words as a digest."""
+    return f"""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+  win AS (SELECT doc_id, pos, md5(array_to_string(list_slice(w, pos, pos + {window - 1}), ' ')) AS win
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - {window - 2})) AS pos FROM d WHERE len(w) >= {window})),
+  twice AS (SELECT win FROM win GROUP BY win HAVING count(*) > 1),
+  gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + {window})) AS pos FROM win SEMI JOIN twice USING (win)),
+  kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS text
+    FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d) ANTI JOIN gone USING (doc_id, pos)
+    GROUP BY doc_id)
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(text, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)"""
