@@ -34,7 +34,7 @@ SAMPLES = 128
 #: Samples that are drawn side by side.
 SIDE = 16
 #: Bytes of text for which terms are looked up together.
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -87,8 +87,8 @@ def signatures(texts: list[str | None], samples: int = SAMPLES) -> np.ndarray:
     return np.concatenate(parts)
 
 
-def hexed(signature: np.ndarray) -> list[str]:
-    return [row.astype(">u2").tobytes().hex() for row in signature]
+def packed(signature: np.ndarray) -> list[bytes]:
+    return [row.astype(">u2").tobytes() for row in signature]
 
 
 def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -112,8 +112,8 @@ def _compared(ids: list, texts: list[str], samples: int) -> pd.DataFrame:
     own, new = both[: len(texts)], both[len(texts) :]
     return pd.DataFrame({
         "doc_id": pd.Series(ids[:-1], dtype=object), "n_chars": [len(t) for t in texts[:-1]],
-        "edited_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in changed],
-        "fingerprint": hexed(own[:-1]), "edited_fingerprint": hexed(new),
+        "edited_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).digest() for t in changed],
+        "fingerprint": packed(own[:-1]), "edited_fingerprint": packed(new),
         "near_edited": alike(own[:-1], new), "near_next": alike(own[:-1], own[1:]),
     }, columns=_COLUMNS)
 
@@ -125,8 +125,8 @@ def neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", samp
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     fields = (
-        f"doc_id {kind}, n_chars bigint, edited_sha256 string, fingerprint string, "
-        "edited_fingerprint string, near_edited double, near_next double"
+        f"doc_id {kind}, n_chars bigint, edited_sha256 binary, fingerprint binary, "
+        "edited_fingerprint binary, near_edited double, near_next double"
     )
     edge = f"part int, first_text string, last_id {kind}, last_text string"
 
@@ -166,4 +166,7 @@ def neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", samp
     pairs = edges.join(following, "part").join(
         edges.select(F.col("part").alias("next"), F.col("first_text").alias("following")), "next"
     )
-    return inner.unionByName(pairs.select("last_id", "last_text", "following").mapInPandas(stitched, fields))
+    whole = inner.unionByName(pairs.select("last_id", "last_text", "following").mapInPandas(stitched, fields))
+    # written as bytes, shown as digits
+    shown = ("edited_sha256", "fingerprint", "edited_fingerprint")
+    return whole.withColumns({c: F.lower(F.hex(c)) for c in shown})

@@ -242,7 +242,7 @@ def test_sampling_neighbours(docs, none, spark):
         new = sampling.edited(texts[i], texts[j])
         sign = sampling.signatures([new])
         want.append((
-            d, len(texts[i]), hashlib.sha256(new.encode()).hexdigest(), sampling.hexed(prints[i : i + 1])[0], sampling.hexed(sign)[0],
+            d, len(texts[i]), hashlib.sha256(new.encode()).hexdigest(), sampling.packed(prints[i : i + 1])[0].hex(), sampling.packed(sign)[0].hex(),
             float(sampling.alike(prints[i : i + 1], sign)[0]), float(sampling.alike(prints[i : i + 1], prints[j : j + 1])[0]),
         ))
     same(sampling.neighbours(docs).collect(), want)
