@@ -18,6 +18,7 @@ All documents are scored, whole.
 Cases: null and empty texts have one window without words and its score; texts of
 any length are scored in pieces; labels that are null, or of unknown
 documents, teach nothing; a document labelled twice is toxic if one label says so;
+of several texts of one id that of the least hash is learned from;
 repeated rows get equal scores; without both labels to learn from, scores are 0;
 other columns are kept by ``kept_rows`` and ignored elsewhere.
 """
@@ -363,11 +364,11 @@ def learned(
             out.append([words.joined(k * STEP, min(len(words), k * STEP + WIDTH)) if len(words) else "" for k in nth.tolist()])
         return pd.Series(out)
 
-    # at most positives + negatives rows
-    sample = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).join(
-        F.broadcast(sides[0].union(sides[1])), "id"
-    )
-    rows = sample.select("id", "toxic", spread("t").alias("windows")).toPandas().drop_duplicates("id")
+    chosen = F.broadcast(sides[0].union(sides[1]))
+    texts = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(chosen, "id")
+    # at most positives + negatives rows: tasks keep one text of an id before the shuffle, always the same one
+    sample = texts.groupBy("id", "toxic").agg(F.min_by("t", F.xxhash64("t")).alias("t"))
+    rows = sample.select("id", "toxic", spread("t").alias("windows")).toPandas()
     toxic = rows["toxic"].to_numpy()
     if not 0 < toxic.sum() < len(toxic):
         return None

@@ -122,6 +122,29 @@ def test_toxicity_without_labels(spark, docs):
     assert toxicity.kept_rows(docs, labels).count() == len(ROWS)
 
 
+def test_toxicity_learns_from_one_row_an_id(spark, monkeypatch):
+    rng = __import__("random").Random(3)
+    rows = [(i, odd.sentence(rng, 20)) for i in range(40)] + [(0, odd.sentence(rng, 20)) for _ in range(300)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, toxic int")
+    collected, learned = [], []
+    to_pandas = type(labels).toPandas
+
+    def counted(frame):
+        out = to_pandas(frame)
+        collected.append(len(out))
+        return out
+
+    monkeypatch.setattr(type(labels), "toPandas", counted)
+    monkeypatch.setattr(toxicity, "train", lambda texts, *_: learned.append(texts))
+    # ids outside the held-out third; 0 is one of them
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert 0 in ids
+    for some in (rows, rows[::-1]):
+        toxicity.learned(spark.createDataFrame(some, "doc_id bigint, text string").coalesce(1), labels)
+    assert collected == [len(ids)] * 2
+    assert learned[0] == learned[1]
+
+
 # -- 3 -------------------------------------------------------------------------------
 
 def _windows(words: list[str], size: int) -> set[tuple]:
