@@ -2,7 +2,10 @@
 
 Entities are found by one pattern: mail addresses, phone numbers, card numbers,
 IP addresses, account numbers (IBAN), secrets (keys and tokens), and persons' names
-after a title. Each distinct entity of a kind gets a surrogate made from a keyed hash:
+after a title. Phone numbers are recognised with ``+`` and country code; without, with a
+bracketed area code ((415) 555-2671), in groups of 3-3-4 (415-555-2671), or after a trunk 0
+(030 1234567, 01 23 45 67 89); groups part at blanks, hyphens or dots, after a trunk 0 also
+at a slash. National numbers written as one run of digits are not recognised. Each distinct entity of a kind gets a surrogate made from a keyed hash:
 
 * of its kind and format: digits for digits, letters for letters of the same script
   and case, punctuation, prefixes and lengths as they were; a card keeps its first digit,
@@ -44,6 +47,16 @@ CYRILLIC_ENDINGS = {"m": "н", "f": "ла", "x": "р"}
 _TITLES = MALE_TITLES + FEMALE_TITLES + OTHER_TITLES
 _TITLE = "(?i:" + "|".join(sorted(_TITLES, key=len, reverse=True)) + r")\.?"
 _NAME = r"\p{Lu}[\p{L}'’]+"
+#: Phone numbers: with a country code and dots (eight digits or more, so no decimal fraction), with a country
+#: code, with a bracketed area code, in groups of 3-3-4, after a trunk 0, and after a trunk 0 in pairs.
+PHONES = [
+    r"(?=\+[0-9() -]*\.[0-9(])(?=\+(?:[ .()-]{0,2}[0-9]){8})\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-][0-9]{2,8}){1,4}(?![0-9]|[.-][0-9])",
+    r"(?:\+[0-9]{1,3}[ -]?)(?:\([0-9]{1,4}\)[ -]?)?[0-9]{2,4}(?:[ -]?[0-9]{2,4}){1,4}(?![0-9])",
+    r"\([0-9]{2,5}\)[ .-]?(?:[0-9]{3,4}[ .-]?[0-9]{4}|[0-9]{5,8}|[0-9]{2,4}(?:[ .-][0-9]{2,4}){2,3})(?![0-9]|[.-][0-9])",
+    r"(?<![.-])(?:1[ .-])?[2-9][0-9]{2}(?:-[0-9]{3}-|\.[0-9]{3}\.| [0-9]{3}[ -])[0-9]{4}(?![0-9]|[.-][0-9])",
+    r"(?<![.-])(?=0(?:[ ./-]?[0-9]){7,12}(?![0-9]|[ ./-][0-9]))0[1-9][0-9]{1,4}(?:[ ./-][0-9]{2,8}){1,4}(?![0-9]|[./-][0-9])",
+    r"(?<![.-])0[1-9](?:[ .-][0-9]{2}){4}(?![0-9]|[.-][0-9])",
+]
 #: The kinds in order of precedence, and what they look like.
 KINDS = [
     ("email", r"[\p{L}\p{N}_][\p{L}\p{N}._+-]*+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]+)+"),
@@ -51,7 +64,7 @@ KINDS = [
     ("iban", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"),
     ("ip", r"(?<![.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"),
     ("card", r"(?<!-)[0-9]{4}(?:[ -]?[0-9]{4}){3}(?![0-9-])"),
-    ("phone", r"(?:\+[0-9]{1,3}[ -]?)(?:\([0-9]{1,4}\)[ -]?)?[0-9]{2,4}(?:[ -]?[0-9]{2,4}){1,4}(?![0-9])"),
+    ("phone", "|".join(f"(?:{p})" for p in PHONES)),
     ("ssn", r"(?<!-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     ("name", rf"{_TITLE} {_NAME}(?: {_NAME})?"),
 ]

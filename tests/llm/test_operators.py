@@ -231,6 +231,21 @@ def test_surrogates(spark, docs, none):
     assert private.pseudonymised(none, "k").count() == 0
 
 
+def test_surrogates_of_national_phones(spark):
+    phones = [
+        "(017) 555-7713", "415-555-2671", "415.555.2671", "1-415-555-2672", "030 1234567", "030/1234568", "020 7946 0958",
+        "01 23 45 67 89", "+1.415.555.2671", "+49.30.1234567", "+1 415.555.2673",
+    ]
+    others = ["2020-01-02", "01-02-2024", "01.02.2024", "+3.14159", "(2020) 12-34", "1.415.555", "12 345 6789", "3.415-555-2671"]
+    texts = [(i, f"at {t}, or") for i, t in enumerate(phones + others)]
+    rows = private.pseudonymised(spark.createDataFrame(texts, "doc_id bigint, text string"), "k").collect()
+    got = {r.doc_id: (r.n_entities, r.text) for r in rows}
+    for i, text in texts[: len(phones)]:
+        assert got[i][0] == 1 and got[i][1] != text
+        assert re.sub("[0-9]", "0", got[i][1]) == re.sub("[0-9]", "0", text)
+    assert [got[i] for i, _ in texts[len(phones) :]] == [(0, t) for _, t in texts[len(phones) :]]
+
+
 def test_surrogates_stay_distinct(spark):
     # one letter and one digit: 26 * 10 surrogates for 120 entities, so many tries collide
     texts = [(i, f"{c}{d}@x.org") for i, (c, d) in enumerate((c, d) for c in "abcdefghijkl" for d in range(10))]
