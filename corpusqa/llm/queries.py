@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusqa.llm import decontaminate, licences, linededup, packing, private, sampling, shard, simhash, suffix, toxicity
+from corpusqa.llm import bpe, decontaminate, licences, linededup, packing, private, sampling, shard, simhash, suffix, toxicity
 from corpusqa.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -74,6 +74,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = bpe.encoded(table(spark, sf_dir, "documents"), TOKENIZER, keep=["doc_id"])
+    spelled = F.array_join(F.col("ids").cast("array<string>"), ",")
+    rows = rows.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(spelled, 256).alias("ids_sha256"), "ids")
+    return bpe.decoded(rows, TOKENIZER).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_toxicity": op2_toxicity,
@@ -85,6 +92,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
+    "op11_bpe_round_trip": op11_bpe_round_trip,
 }
 SQL: dict[str, str] = {
     "op1_license_scan": licences.scan_sql(),
