@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusqa.llm import bpe, decontaminate, licences, linededup, packing, private, sampling, shard, simhash, suffix, toxicity
+from corpusqa.llm import bpe, decontaminate, licences, linededup, packing, private, ranked, sampling, shard, simhash, suffix, toxicity, vectorcodes
 from corpusqa.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -81,6 +81,18 @@ def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decoded(rows, TOKENIZER).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vectorcodes.compressed(table(spark, sf_dir, "embeddings"))
+    return vectorcodes.with_label_error(coded).select(
+        "vec_id", vectorcodes.hex_code(F.col("codes")).alias("code"), "error", "label_error",
+        F.lit(vectorcodes.books_digest(books)).alias("codebooks_sha256"),
+    )
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_toxicity": op2_toxicity,
@@ -93,6 +105,8 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
     "op11_bpe_round_trip": op11_bpe_round_trip,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_vector_codes": op13_vector_codes,
 }
 SQL: dict[str, str] = {
     "op1_license_scan": licences.scan_sql(),
@@ -100,4 +114,6 @@ SQL: dict[str, str] = {
     "op4_line_dedup": linededup.LINE_COUNTS_SQL,
     "op7_rendezvous_shards": shard.key_law_sql(SHARDS),
     "op8_substring_dedup": suffix.without_repeats_sql(),
+    "op12_ranked_search": ranked.ranked_sql(),
+    "op13_vector_codes": vectorcodes.compressed_sql(),
 }
