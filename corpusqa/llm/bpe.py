@@ -29,6 +29,7 @@ import itertools
 import json
 import os
 import re
+import uuid
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -39,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusqa.sources.shared import written
+from corpusqa.sources.shared import new_folder
 
 #: Bytes of text in a block; a block ends with the Arrow batch that reaches them.
 BLOCK = 1 << 25
@@ -125,32 +126,37 @@ class Block:
         self.rows: list[pa.Array] = []
         self.size = 0
 
-    def add(self, texts: list[str | None], rows: pa.Array, splitter: Splitter) -> None:
-        for text in texts:
-            words = splitter.words(text or "")
-            self.texts.append(np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)))
-            self.size += len(text or "")
+    def add(self, texts: pa.Array, rows: pa.Array, splitter: Splitter) -> None:
+        for lo in range(0, len(texts), 256):
+            for text in texts.slice(lo, 256).to_pylist():
+                words = splitter.words(text or "")
+                self.texts.append(np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)))
+                self.size += len(text or "")
         self.rows.append(rows)
 
     def tables(self, name: int, buckets: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         """Rows of words by bucket, then rows of texts."""
-        words = list(self.number)
+        words = [w.encode() for w in self.number]
         seen = np.bincount(np.concatenate(self.texts), minlength=len(words))
         order = np.argsort(-seen, kind="stable")
         place = np.empty(len(words), np.int64)
         place[order] = np.arange(len(words))
-        bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words), np.int64, len(words))
+        bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
         by = np.lexsort((place, bucket))
         opens = np.flatnonzero(np.diff(bucket[by], prepend=-1))
-        lists = pa.ListArray.from_arrays(np.append(opens, len(by)).astype(np.int32), pa.array(words, pa.string()).take(pa.array(by)))
-        steps = np.diff(place[by], prepend=0)
-        steps[opens] = place[by][opens]
-        at = packed_numbers(np.split(steps, opens[1:])) if len(opens) else []
-        n = len(opens)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([name] * n, pa.int64()), pa.array(bucket[by][opens], pa.int32()), pa.array(at, pa.binary()), lists,
-             pa.nulls(n, schema.field("row").type)], schema=schema,
-        )
+        if len(opens):
+            steps = np.diff(place[by], prepend=0)
+            steps[opens] = place[by][opens]
+            length = np.fromiter(map(len, words), np.int64, len(words))[by]
+            joined = [b"".join([words[i] for i in part.tolist()]) for part in np.split(by, opens[1:])]
+            n = len(opens)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * n, pa.int64()), pa.array(bucket[by][opens], pa.int32()),
+                 pa.array(packed_numbers(np.split(steps, opens[1:])), pa.binary()),
+                 pa.array(packed_numbers(np.split(length, opens[1:])), pa.binary()), pa.array(joined, pa.binary()),
+                 pa.nulls(n, schema.field("row").type)], schema=schema,
+            )
+        del words
         rows, lo = pa.concat_arrays(self.rows), 0
         while lo < len(self.texts):
             hi, size = lo + 1, len(self.texts[lo])
@@ -161,7 +167,7 @@ class Block:
             m = hi - lo
             yield pa.RecordBatch.from_arrays(
                 [pa.array([name] * m, pa.int64()), pa.array([buckets] * m, pa.int32()), pa.array(data, pa.binary()),
-                 pa.nulls(m, pa.list_(pa.string())), rows.slice(lo, m)], schema=schema,
+                 pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary()), rows.slice(lo, m)], schema=schema,
             )
             lo = hi
 
@@ -173,10 +179,10 @@ def _split(special: list[str], block: int, buckets: int):
         for batch in batches:
             if schema is None:
                 schema = pa.schema([
-                    ("block", pa.int64()), ("bucket", pa.int32()), ("data", pa.binary()),
-                    ("words", pa.list_(pa.string())), ("row", batch.schema.field("row").type),
+                    ("block", pa.int64()), ("bucket", pa.int32()), ("data", pa.binary()), ("lengths", pa.binary()),
+                    ("words", pa.binary()), ("row", batch.schema.field("row").type),
                 ])
-            current.add(batch.column("text").to_pylist(), batch.column("row"), splitter)
+            current.add(batch.column("text"), batch.column("row"), splitter)
             if current.size >= block:
                 yield from current.tables(name, buckets, schema)
                 current, name = Block(), name + 1
@@ -198,7 +204,7 @@ class Runs:
         return self.flat[np.repeat(self.start[which] - (end - size), size) + np.arange(end[-1] if len(end) else 0)]
 
 
-def _encoded_words(path: str):
+def _encoded_words(path: str, kind: str):
     """Words by bucket to their ids; each distinct word of a bucket is encoded once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,78 +216,51 @@ def _encoded_words(path: str):
         tokenizer.no_padding()
         known: dict[str, list[int]] = {}
         for batch in batches:
-            lists, bucket = batch.column("words"), batch.column("bucket").to_numpy()
-            flat = lists.flatten().dictionary_encode()
-            words, number = flat.dictionary.to_pylist(), flat.indices.to_numpy()
-            new = [w for w in words if w not in known]
-            for lo in range(0, len(new), 20_000):
-                part = new[lo : lo + 20_000]
-                known.update(zip(part, (e.ids for e in tokenizer.encode_batch_fast(part, add_special_tokens=False))))
-            ids = [known[w] for w in words]
-            length = np.fromiter(map(len, ids), np.int64, len(ids))
-            every = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, length.sum())
-            first = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            runs, out = Runs(length, every), []
-            for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
-                here = number[a:b]
-                out.append(length[here].astype("<u4").tobytes() + runs.picked(here).astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("bucket"), batch.column("data"), pa.array(out, pa.binary())],
-                names=["block", "bucket", "data", "ids"],
-            )
-            # only the last bucket can go on in the next batch
-            from_last = first[np.flatnonzero(bucket == bucket[-1])[0]]
-            if bucket[0] != bucket[-1]:
-                known = {words[i]: ids[i] for i in np.unique(number[from_last:]).tolist()}
+            for lo in range(0, len(batch), 256):
+                some = batch.slice(lo, 256)
+                bucket = some.column("bucket").to_numpy()
+                sizes = [unpacked_numbers(x) for x in some.column("lengths").to_pylist()]
+                ends = np.append(0, np.cumsum(np.concatenate(sizes))).astype(np.int32)
+                data = b"".join(some.column("words").to_pylist())
+                flat = pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(data)).dictionary_encode()
+                words, number = flat.dictionary.to_pylist(), flat.indices.to_numpy()
+                new = [w for w in words if w not in known]
+                known.update(zip(new, (e.ids for e in tokenizer.encode_batch_fast(new, add_special_tokens=False))))
+                ids = [known[w] for w in words]
+                length = np.fromiter(map(len, ids), np.int64, len(ids))
+                runs = Runs(length, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, length.sum()).astype(kind))
+                each = np.split(number, np.cumsum([len(x) for x in sizes])[:-1])
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("block"), some.column("data"), pa.array(packed_numbers([length[x] for x in each]), pa.binary()),
+                     pa.array([runs.picked(x).tobytes() for x in each], pa.binary())],
+                    names=["block", "data", "lengths", "ids"],
+                )
+                # only the last bucket can go on
+                if bucket[0] != bucket[-1]:
+                    rest = int(np.concatenate([[0], np.cumsum([len(x) for x in sizes])])[np.searchsorted(bucket, bucket[-1])])
+                    known = {words[i]: ids[i] for i in np.unique(number[rest:]).tolist()}
 
     return run
 
 
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a block's ids, then of its texts, to texts with ids.
+def _joined(kind: str):
+    """A block's texts and the ids of its words, by number, to texts with ids."""
 
-    A block's ids are one list of at most as many words as the block has bytes.
-    """
-    block, parts, runs = None, [], None
-    for batch in batches:
-        names, rows = batch.column("block").to_numpy(), batch.column("row")
-        data, ids = batch.column("data"), batch.column("ids")
-        held: list[np.ndarray] = []
-        first = size = 0
-        for i, name in enumerate(names.tolist()):
-            if name != block:
-                block, parts, runs = name, [], None
-            if ids[i].is_valid:  # words of the block, before any of its texts
-                yield from _batch(rows, first, held)
-                first, held, size = i + 1, [], 0
-                at = np.cumsum(unpacked_numbers(data[i].as_py()))
-                raw = np.frombuffer(ids[i].as_py(), "<u4")
-                parts.append((at, raw[: len(at)].astype(np.int64), raw[len(at) :]))
-                continue
-            if runs is None:
-                runs, parts = _in_order(parts), []
-            held.append(runs.picked(unpacked_numbers(data[i].as_py())))
-            size += len(held[-1])
-            if size > BATCH:
-                yield from _batch(rows, first, held)
-                first, held, size = i + 1, [], 0
-        yield from _batch(rows, first, held)
-
-
-def _in_order(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Runs:
-    """The ids of a block's words, by the word's number."""
-    if not parts:
-        return Runs(np.zeros(0, np.int64), np.zeros(0, np.uint32))
-    at, length, flat = (np.concatenate([p[k] for p in parts]) for k in range(3))
-    order = np.argsort(at)
-    return Runs(length[order], Runs(length, flat).picked(order))
-
-
-def _batch(rows: pa.Array, first: int, held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    if held:
+    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
+        at, length, flat = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, kind)]
+        for data, lengths, ids in zip(*(words.column(c).to_pylist() for c in ("data", "lengths", "ids"))):
+            at.append(np.cumsum(unpacked_numbers(data)))
+            length.append(unpacked_numbers(lengths))
+            flat.append(np.frombuffer(ids, kind))
+        order = np.argsort(np.concatenate(at))
+        lengths = np.concatenate(length)
+        runs = Runs(lengths[order], Runs(lengths, np.concatenate(flat)).picked(order))
+        held = [runs.picked(unpacked_numbers(x.as_py())).astype(np.int32) for x in texts.column("data")]
         ends = np.cumsum([0] + [len(x) for x in held]).astype(np.int32)
-        ids = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(held).astype(np.int32)))
-        yield pa.RecordBatch.from_arrays([rows.slice(first, len(held)), ids], names=["row", "ids"])
+        ids = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int32), *held])))
+        return pa.table({"row": texts.column("row"), "ids": ids})
+
+    return run
 
 
 def encoded(
@@ -292,28 +271,44 @@ def encoded(
 
     ``tokenizer`` is the vocabulary file's path, the same on driver and executors.
     """
-    special = [m["content"] for m in described(tokenizer).get("added_tokens") or []]
+    spec = described(tokenizer)
+    marks = spec.get("added_tokens") or []
+    top = max([*spec["model"]["vocab"].values(), *(m["id"] for m in marks)])
+    kind = "<u2" if top < 1 << 16 else "<u4"
     names = [c for c in (docs.columns if keep is None else keep) if c != ids]
     kept = F.struct(*[F.col(f"`{c}`") for c in names]) if names else F.struct(F.lit(True).alias("_"))
     plain = docs.select(kept.alias("row"), F.make_valid_utf8(F.col(f"`{text}`")).alias("text"))
     row = plain.schema["row"].dataType.simpleString()
-    parts = written(
-        plain.mapInArrow(
-            _split(special, block, buckets),
-            f"block bigint, bucket int, data binary, words array<string>, row {row}",
-        ),
-        "blocks",
+    split = plain.mapInArrow(
+        _split([m["content"] for m in marks], block, buckets),
+        f"block bigint, bucket int, data binary, lengths binary, words binary, row {row}",
     )
-    words = parts.filter(F.col("bucket") < buckets).select("block", "bucket", "data", "words")
+    # texts stay where they are: only the words' ids are shuffled to the block's bucket
+    parts = bucketed(split, "block", "blocks")
+    words = parts.filter(F.col("bucket") < buckets).select("block", "bucket", "data", "lengths", "words")
     words = words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        _encoded_words(tokenizer), "block bigint, bucket int, data binary, ids binary"
+        _encoded_words(tokenizer, kind), "block bigint, data binary, lengths binary, ids binary"
     )
-    texts = parts.filter(F.col("bucket") == buckets).select("block", "bucket", "data", "row")
-    both = words.unionByName(texts, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "bucket")
-    out = both.select("block", "data", "ids", "row").mapInArrow(_joined, f"row {row}, ids array<int>")
+    texts = parts.filter(F.col("bucket") == buckets).select("block", "data", "row")
+    out = texts.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(_joined(kind), f"row {row}, ids array<int>")
     return out.select(*[F.col(f"row.`{c}`") for c in names], F.col("ids").alias(ids))
 
 
+def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """``df`` written to the shared folder in buckets of ``key``, so that a join by it shuffles the other side only.
+
+    The catalog's entry is needed for reading alone and is dropped; the files stay.
+    """
+    spark = df.sparkSession
+    folder, entry = new_folder(spark, name), f"{name}_{uuid.uuid4().hex}"
+    writer = df.write.format("parquet").option("path", folder).option("compression", "zstd")
+    writer.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).saveAsTable(entry)
+    rows = spark.table(entry)
+    rows.schema  # resolved before the entry goes
+    spark.sql(f"DROP TABLE {entry}")
+    return rows
+
+
 def byte_of_sign() -> dict[str, int]:
     """The byte that each sign of a byte-level vocabulary stands for.
 
