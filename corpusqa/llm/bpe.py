@@ -49,7 +49,7 @@ BUCKETS = 1 << 12
 #: Ids of a vocabulary whose pieces every task may hold (some 10 MB).
 VOCABULARY = 1 << 20
 #: Ids in one batch of results.
-BATCH = 1 << 21
+BATCH = 1 << 19
 
 #: White space as Unicode has it (Python counts four control characters more).
 SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and not 0x1C <= ord(c) <= 0x1F)

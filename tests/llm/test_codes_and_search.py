@@ -55,7 +55,7 @@ def test_numbers_packed():
 
 @pytest.mark.parametrize("bounds", [{}, {"block": 500, "buckets": 7}])
 def test_bpe_equals_library(docs, none, tokenizer, bounds, monkeypatch):
-    monkeypatch.setattr(bpe, "BATCH", 1 << 21 if not bounds else 100)
+    monkeypatch.setattr(bpe, "BATCH", 1 << 19 if not bounds else 100)
     rows = bpe.encoded(docs.withColumn("decoded", F.lit(1)).withColumn("ids", F.lit(2)), queries.TOKENIZER, **bounds)
     assert rows.columns == [*docs.columns, "decoded", "ids"]
     got = bpe.decoded(rows.withColumn("k", F.col("ids")), queries.TOKENIZER).collect()
