@@ -10,19 +10,24 @@ from pyspark.sql import functions as F
 from corpusqa.fixed_values import HTML_SECTION_TAGS
 from corpusqa.functions.text import col, literal_map, py_strip
 
-# Parts of a page that are not text. An unclosed one runs to the end; an
-# unclosed head ends where the body starts.
-HIDDEN = "(?is)<(?:" + "|".join(
-    [r"!--.*?(?:-->|\z)", r"head\b[^>]*>.*?(?:</head\s*>|(?=<body\b)|\z)"]
-    + [rf"{tag}\b[^>]*>.*?(?:</{tag}\s*>|\z)" for tag in ("script", "style", "template", "noscript")]
-) + ")"
+# What stands in a tag after its name. A ``>`` inside a quoted value is no end, and only a
+# value is quoted: a quote that nothing closes, or that follows no ``=``, is a character.
+ATTRIBUTES = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+"""
+_REST = rf"(?:[\s/]{ATTRIBUTES})?+>"
+TAG = rf"<[/!?]?[A-Za-z]{ATTRIBUTES}>"
+# Parts of a page that are not text. An unclosed one runs to the end.
+HIDDEN = "|".join(
+    [r"<!--.*?(?:-->|\z)"]
+    + [rf"<{tag}{_REST}.*?(?:</{tag}\s*>|\z)" for tag in ("script", "style", "template", "noscript", "title")]
+)
 # Tags that end a block of text.
 BLOCK_TAG = (
-    r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|details|div|dl|dt|fieldset"
+    r"</?(?:address|article|aside|blockquote|body|br|dd|details|div|dl|dt|fieldset"
     r"|figcaption|figure|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|p|pre|section"
-    r"|summary|table|tbody|td|tfoot|th|thead|title|tr|ul)\b[^>]*>"
+    rf"|summary|table|tbody|td|tfoot|th|thead|tr|ul){_REST}"
 )
-ANY_TAG = r"<[/!?]?[A-Za-z][^>]*>"
+# Stands before each tag once a page is scanned; no character of any text.
+MARK = "\ufdd0"
 # References other than the ones plain replacements below can take.
 _OTHER_ENTITY = r"&(?!(?:amp|lt|gt|quot);)[A-Za-z#]"
 _ENTITY = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]+);"
@@ -73,9 +78,22 @@ def unescape(c: Column | str) -> Column:
     )
 
 
-def visible(html: Column | str) -> Column:
-    """HTML without comments, scripts, styles and head."""
-    return F.regexp_replace(col(html), HIDDEN, "")
+def scanned(html: Column | str) -> Column:
+    """HTML with a mark before each tag, and without comments, scripts, styles and titles.
+
+    One scan from left to right, which takes each tag, comment and hidden element whole:
+    what looks like a tag inside one of them is none, and has no mark.
+    """
+    html = F.replace(col(html), F.lit(MARK), F.lit(""))
+    return F.regexp_replace(html, f"(?is)(?:{HIDDEN})|({TAG})", MARK + "$1")
+
+
+def _text(page: Column) -> Column:
+    """A scanned page's text."""
+    text = F.regexp_replace(page, r"\s{2,}|[\t-\r]", " ")
+    text = F.regexp_replace(text, f"(?i){MARK}{BLOCK_TAG}", "\n")
+    text = unescape(F.regexp_replace(text, f"{MARK}(?:{TAG})?+", ""))
+    return py_strip(F.regexp_replace(text, r"[ \xa0]*\n[ \xa0\n]*", "\n\n"))
 
 
 def html_text(html: Column | str) -> Column:
@@ -83,16 +101,13 @@ def html_text(html: Column | str) -> Column:
 
     Blanks inside a block collapse to one space, as a browser shows them.
     """
-    text = F.regexp_replace(visible(html), r"\s+", " ")
-    text = F.regexp_replace(text, BLOCK_TAG, "\n")
-    text = unescape(F.regexp_replace(text, ANY_TAG, ""))
-    return py_strip(F.regexp_replace(text, r"[ \xa0]*\n[ \xa0\n]*", "\n\n"))
+    return _text(scanned(html))
 
 
 def html_sections(html: Column | str) -> Column:
-    """Visible HTML cut before each heading or sectioning tag: ``array<string>``.
+    """The texts before, between and after heading and sectioning tags: ``array<string>``.
 
     The cut is a split at a look-ahead inside the row, so no shuffle is needed.
     """
     tags = "|".join(HTML_SECTION_TAGS)
-    return F.split(visible(html), rf"(?i)(?=<(?:{tags})\b)")
+    return F.transform(F.split(scanned(html), rf"(?i)(?={MARK}<(?:{tags})[\s/>])"), _text)

@@ -25,7 +25,7 @@ from corpusqa.fixed_values import (
     MARKUP_SEPARATORS,
 )
 from corpusqa.functions.filetypes import language, splitter
-from corpusqa.functions.html import html_sections, html_text
+from corpusqa.functions.html import html_sections
 from corpusqa.functions.text import col, fold_newlines, py_strip
 
 
@@ -304,8 +304,7 @@ def html_header_sections(
     documents: DataFrame, keep: Sequence[str] = (), max_size: int | None = None
 ) -> DataFrame:
     """Raw HTML (column ``text``): one chunk of plain text per heading or section tag."""
-    chunks = F.transform(html_sections("text"), html_text)
-    return _resized(_exploded(documents, chunks, keep), list(keep), max_size)
+    return _resized(_exploded(documents, html_sections("text"), keep), list(keep), max_size)
 
 
 def _resized(chunks: DataFrame, keep: list[str], max_size: int | None) -> DataFrame:
@@ -346,7 +345,7 @@ def split_documents(
     html = html_sections(text) if html_is_raw else F.array(text)
     sections = F.regexp_extract_all(fold_newlines(text), F.lit(_MD_SECTION), F.lit(0))
     chunks = (
-        F.when(kind == "html", F.transform(html, html_text) if html_is_raw else html)
+        F.when(kind == "html", html)
         .when(
             kind == "markdown",
             F.transform(sections, lambda s: py_strip(F.regexp_replace(s, _MD_HEAD, ""))),

@@ -18,7 +18,7 @@ from corpusqa.functions.html import html_text
 from corpusqa.functions.text import py_strip
 from corpusqa.operators import assemble, chunking, tables, usage
 from corpusqa.plans import samples
-from corpusqa.plans.samples import table
+from corpusqa.plans.samples import spread, table
 from corpusqa.sources import csv_files, files
 from corpusqa.sources.shared import new_folder
 
@@ -210,48 +210,51 @@ def quoted_csv_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- HTML ----------------------------------------------------------------------------
 
-_HIDDEN = (
-    r"(?is)<!--.*?-->|<head\b[^>]*>.*?</head\s*>|<script\b[^>]*>.*?</script\s*>"
-    r"|<style\b[^>]*>.*?</style\s*>"
-)
+_ATTRIBUTES = r"""(?:[^>=]|=\s*(?:"[^"]*"|''[^'']*'')?)*"""
+_REST = rf"(?:[\s/]{_ATTRIBUTES})?>"
+_TAG = rf"<[/!?]?[A-Za-z]{_ATTRIBUTES}>"
+_HIDDEN = "|".join([r"<!--.*?-->", *(rf"<{t}{_REST}.*?</{t}\s*>" for t in ("title", "script", "style"))])
 _BLOCK = (
-    r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|details|div|dl|dt|fieldset"
+    r"</?(?:address|article|aside|blockquote|body|br|dd|details|div|dl|dt|fieldset"
     r"|figcaption|figure|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|p|pre|section"
-    r"|summary|table|tbody|td|tfoot|th|thead|title|tr|ul)\b[^>]*>"
+    rf"|summary|table|tbody|td|tfoot|th|thead|tr|ul){_REST}"
 )
 
 
-def visible_sql(x: str) -> str:
-    return f"regexp_replace({x}, '{_HIDDEN}', '', 'g')"
+def scanned_sql(x: str) -> str:
+    """A character 1 before each tag; hidden parts out."""
+    return f"regexp_replace({x}, '(?is)(?:{_HIDDEN})|({_TAG})', chr(1) || '\\1', 'g')"
 
 
-def html_text_sql(x: str) -> str:
-    x = f"regexp_replace({visible_sql(x)}, '\\s+', ' ', 'g')"
-    x = f"regexp_replace({x}, '{_BLOCK}', chr(10), 'g')"
-    x = f"regexp_replace({x}, '<[/!?]?[A-Za-z][^>]*>', '', 'g')"
+def scanned_text_sql(x: str) -> str:
+    x = f"regexp_replace({x}, '\\s+', ' ', 'g')"
+    x = f"regexp_replace({x}, '(?i)\\x01{_BLOCK}', chr(10), 'g')"
+    x = f"regexp_replace({x}, '\\x01(?:{_TAG})?', '', 'g')"
     for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):
         x = f"replace({x}, '&{name};', '{char}')"
     x = f"regexp_replace({x}, '[ \\x{{a0}}]*\\n[ \\x{{a0}}\\n]*', chr(10) || chr(10), 'g')"
     return strip_sql(x)
 
 
-@query(f"SELECT page_id, {html_text_sql('html')} AS text FROM pages")
+@query(f"SELECT page_id, {scanned_text_sql(scanned_sql('html'))} AS text FROM pages")
 def page_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", html_text("html").alias("text"))
+    return spread(table(spark, sf_dir, "pages"), "page_id").select("page_id", html_text("html").alias("text"))
 
 
 _TAGS = "|".join(HTML_SECTION_TAGS)
 
 
-@query(f"""SELECT path, CAST(row_number() OVER (PARTITION BY path ORDER BY i) - 1 AS INTEGER) AS chunk_id, chunk
-  FROM (SELECT path, i, {html_text_sql('piece')} AS chunk
-    FROM (SELECT path, unnest(string_split(v, chr(1))) AS piece,
-                 unnest(range(len(string_split(v, chr(1))))) AS i
+def sections_sql(pages: str) -> str:
+    return f"""SELECT path, CAST(row_number() OVER (PARTITION BY path ORDER BY i) - 1 AS INTEGER) AS chunk_id, chunk
+  FROM (SELECT path, i, {scanned_text_sql('piece')} AS chunk
+    FROM (SELECT path, unnest(string_split(v, chr(2))) AS piece,
+                 unnest(range(len(string_split(v, chr(2))))) AS i
       FROM (SELECT url || '#' || page_id AS path,
-              regexp_replace({visible_sql('html')}, '(?i)(<(?:{_TAGS})\\b)', chr(1) || '\\1', 'g') AS v FROM pages)))
-  WHERE chunk <> ''""")
-def html_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
+              regexp_replace({scanned_sql('html')}, '(?i)(\\x01<(?:{_TAGS})[\\s/>])', chr(2) || '\\1', 'g') AS v FROM {pages})))
+  WHERE chunk <> ''"""
+
+
+def _page_sections(pages: DataFrame) -> DataFrame:
     raw = pages.select(
         F.concat("url", F.lit("#"), F.col("page_id").cast("string")).alias("path"),
         F.col("html").alias("text"),
@@ -259,6 +262,36 @@ def html_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.html_header_sections(raw)
 
 
+@query(sections_sql("pages"))
+def html_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _page_sections(spread(table(spark, sf_dir, "pages"), "page_id"))
+
+
+# Before each page: signs of tags inside values, a comment inside a script, an end inside a comment.
+_ODD_HEAD = (
+    "<p title=\"a > b <h2>\" data-x='<script>'>odd <img alt=\"x > y\"> one</p><!-- <h1> > --><a b=c>d's</a>"
+    "<script>'<!--'</script><title-bar>bar</title-bar> 1 < 2 <H3 id=\"a'b\">Three</H3>"
+)
+_ODD_PAGES = f"""(SELECT page_id, url, '{_ODD_HEAD.replace("'", "''")}' || html AS html FROM pages)"""
+
+
+def _odd_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spread(table(spark, sf_dir, "pages"), "page_id")
+    return pages.withColumn("html", F.concat(F.lit(_ODD_HEAD), "html"))
+
+
+@query(f"SELECT page_id, {scanned_text_sql(scanned_sql('html'))} AS text FROM {_ODD_PAGES}")
+def quoted_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with signs of tags where there are none."""
+    return _odd_pages(spark, sf_dir).select("page_id", html_text("html").alias("text"))
+
+
+@query(sections_sql(_ODD_PAGES))
+def quoted_page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pages cut at headings."""
+    return _page_sections(_odd_pages(spark, sf_dir))
+
+
 # -- rows and tables to text -----------------------------------------------------------
 
 

@@ -24,6 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """The rows over all cores, by the hash of ``key``.
+
+    The given tables are one row group each, which Spark reads in one task. The price is
+    one exchange of the input; files of many row groups need no such step.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def micros(ts: str) -> Column:
     """A timestamp without time zone as microseconds since 1970, in any session zone."""
     ts = F.col(ts)

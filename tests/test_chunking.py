@@ -178,6 +178,12 @@ def test_html_sections(spark):
     assert got == ["pre", "menu", "T\n\none", "U\n\ntwo\n\nh"]
 
 
+def test_html_sections_cut_at_tags_only(spark):
+    page = "<h1>T</h1><p data-x='<h2>'>q</p><!-- <h3> --><script>'<nav>'</script><header>r</header><H2\nid=\"a>b\">U</H2>v"
+    got = [c for _, _, c in chunks_of(html_header_sections(docs(spark, ("p.html", page))))]
+    assert got == ["T\n\nq\n\nr", "U\n\nv"]
+
+
 def test_split_documents_picks_the_splitter(spark):
     rows = [
         ("a.md", MARKDOWN), ("b.html", "<h1>A</h1>x<h2>B</h2>y"), ("c.txt", "plain " * 1000),

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import html
+import html.parser
 
 import pytest
 from pyspark.sql import functions as F
@@ -99,6 +100,51 @@ def test_html_text(spark):
     ]
 
 
+class Shown(html.parser.HTMLParser):
+    """The standard parser's view: text outside of hidden elements, without blanks."""
+
+    def __init__(self):
+        super().__init__()
+        self.inside, self.text = [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("script", "style", "title", "template", "noscript"):
+            self.inside.append(tag)
+
+    def handle_endtag(self, tag):
+        if tag in self.inside:
+            self.inside.remove(tag)
+
+    def handle_data(self, data):
+        if not self.inside:
+            self.text.append(data)
+
+
+ODD_PAGES = [
+    '<p>a <img alt="x > y"> b</p>', '<h1>T</h1><p data-x="<h2>">q</p>', "<p a='>' b=\">\" c=d>e</p>",
+    "<a href=x>it's</a> <a title='b\"c>d'>e</a>", '<p x = "1 > 2">f</p>', "<div\n class='<p>'\n>g</div>", "<br/><hr / >h",
+    "<!-- <p> > --><!---->i", "<script>if (a < b) '<!--' </script>j", "<script src='</script>'>k()</script>l",
+    "<title-bar>m</title-bar><titles>n</titles>", "1 < 2 > 0 <3 & <", "<!DOCTYPE html><?xml version='1'?>o",
+    "<p>" + "".join(f'<i a{n}="{n} > {n}">r</i>' for n in range(300)) + "</p>", '<p t="' + "x>" * 30_000 + '">long</p>',
+    "<p " + " ".join(f"a{n}=\"{n}\"" for n in range(1500)) + ">many</p>", "a\ufdd0<b>c</b>",
+]
+
+
+def test_html_tags_end_where_the_standard_parser_ends_them(spark):
+    got = column(spark, ODD_PAGES, html_text("v"))
+    for page, text in zip(ODD_PAGES, got):
+        parser = Shown()
+        parser.feed(page)
+        parser.close()
+        want = "".join("".join(parser.text).split()).replace("\ufdd0", "")
+        assert "".join(text.split()) == want, page[:80]
+
+
+def test_unclosed_tags_and_quotes_are_text_or_end_at_once(spark):
+    pages = ['<p a="x>text</p>', "<p a='b", "<p>x<!-- open", "<style>never", '<b c=">" d="e>f</b>']
+    assert column(spark, pages, html_text("v")) == ["text", "<p a='b", "x", "", "f"]
+
+
 def test_amounts(spark):
     assert column(spark, [1234.5, -2.0, 0.0000005], currency("v"), "double") == [
         "$1,234.500000", "$-2.000000", "$0.000000",
