@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from corpusqa.fixed_values import CHUNK_OVERLAP, CHUNK_SIZE
 from corpusqa.functions.tokens import TokenCounter, estimate_tokens
 from corpusqa.operators import chunking, exchange, usage
+from corpusqa.operators.answers import ask_logged
 from corpusqa.sinks.json_rows import run_stamp, save_rows
 from corpusqa.sources.files import documents as with_text
 from corpusqa.sources.files import read_texts, rejects
-from corpusqa.sources.shared import written
+from corpusqa.sources.shared import new_folder, written
 
 Model = Callable[[str], str]
 
@@ -71,25 +72,35 @@ def mine(
 
 
 def asking(
-    model: Model, name: str, parallelism: int | None = None
+    model: Model, log: str | None = None, parallelism: int | None = None
 ) -> Callable[[DataFrame], DataFrame]:
-    """Requests to answered requests by calling ``model``, written once asked."""
-    return lambda requests: written(exchange.apply_model(requests, model, parallelism), name)
+    """Requests to answered requests by calling ``model`` for each that ``log`` has no answer to.
 
+    Without ``log`` the answers are logged in a new folder: asked once, whatever is read
+    from them, but not found again by another run.
+    """
+    def answered(requests: DataFrame) -> DataFrame:
+        folder = log or new_folder(requests.sparkSession, "answers")
+        return ask_logged(requests, model, folder, tasks=parallelism)
+
+    return answered
 
-def process_text(chunks: DataFrame, model: Model, parallelism: int | None = None) -> DataFrame:
+
+def process_text(
+    chunks: DataFrame, model: Model, parallelism: int | None = None, log: str | None = None
+) -> DataFrame:
     """Chunks to pairs by calling ``model`` once per chunk."""
     requests = exchange.generation_requests(chunks)
-    return exchange.pairs(asking(model, "responses", parallelism)(requests))
+    return exchange.pairs(asking(model, log, parallelism)(requests))
 
 
 def verify_dataset(
     pairs: DataFrame, chunks: DataFrame, model: Model,
-    verdict_mode: str = "prefix", parallelism: int | None = None,
+    verdict_mode: str = "prefix", parallelism: int | None = None, log: str | None = None,
 ) -> DataFrame:
     """Pairs with verdicts by calling ``model`` once per pair."""
     requests = exchange.verification_requests(pairs, chunks)
-    return exchange.verified_pairs(asking(model, "verdicts", parallelism)(requests), verdict_mode)
+    return exchange.verified_pairs(asking(model, log, parallelism)(requests), verdict_mode)
 
 
 def mine_documents(
@@ -107,11 +118,14 @@ def mine_documents(
     count_tokens: TokenCounter = estimate_tokens,
     verdict_mode: str = "prefix",
     parallelism: int | None = None,
+    log: str | None = None,
 ) -> tuple[Mined, str]:
     """Mine a directory and append the rows to ``output``; the run's tables and its folder.
 
-    Extracted texts and both sets of answers are written to the shared folder,
-    so no file is read and no prompt is sent a second time.
+    Extracted texts are written to the shared folder and answers to ``log`` (or to the
+    shared folder, too), so no file is read and no prompt is sent a second time. With
+    ``log`` that also holds for a later run, above all one after a crash: files are known by
+    their path, so delete the log, or name another, once a file's content has changed.
     """
     run_id = run_stamp()
     extracted = written(
@@ -124,11 +138,10 @@ def mine_documents(
     chunks = chunking.split_documents(with_text(extracted), chunk_size, chunk_overlap)
     requests = exchange.generation_requests(chunks, count_tokens, ["chunk"] if verify else [])
     mined = mine(
-        asking(model, "responses", parallelism)(requests),
-        asking(model, "verdicts", parallelism) if verify else None,
+        asking(model, log, parallelism)(requests),
+        asking(model, log, parallelism) if verify else None,
         verdict_mode,
         count_tokens,
-        is_written=True,
     )
     save_rows(mined.pairs, output, run_id, include_verification and verify)
     bad = rejects(extracted).unionByName(mined.rejects)

@@ -13,6 +13,7 @@ from corpusqa.functions.tokens import estimate_tokens
 from corpusqa.operators import exchange, rates, usage
 from corpusqa.operators.assemble import fold_lines
 from corpusqa.operators.chunking import split_documents
+from corpusqa.operators.answers import ask_logged
 from corpusqa.plans import samples
 from corpusqa.plans.mining import Mined, mine
 from corpusqa.plans.samples import table
@@ -267,8 +268,10 @@ def model_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
             for p in prompts
         ]
 
-    answered = exchange.apply_model(exchange.generation_requests(chunks), model, batch_size=16)
-    return exchange.pairs(answered).drop("complete")
+    requests, log = exchange.generation_requests(chunks), new_folder(spark, "answers")
+    # a run that answers even sizes only, as if it had ended early, and one that goes on
+    ask_logged(requests.filter(F.length("prompt") % 2 == 0), model, log, batch_size=16)
+    return exchange.pairs(ask_logged(requests, model, log, batch_size=16)).drop("complete")
 
 
 @query(f"SELECT path, chunk_id, pair_id, instruction, input, output FROM ({samples.PAIRS_SQL})")

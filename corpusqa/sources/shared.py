@@ -39,12 +39,12 @@ def release(spark: SparkSession) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read back.
+def written(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder, in a folder for each value of ``by``, and read back.
 
     Cuts the lineage: what was computed, a model's answers above all, is not
     computed again when several results read it or an executor is lost.
     """
     folder = new_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    (df.write.partitionBy(*by) if by else df.write).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -15,7 +15,7 @@ from corpusqa.functions.prompts import (
 )
 from corpusqa.functions.responses import json_elements, verdict
 from corpusqa.functions.tokens import estimate_tokens
-from corpusqa.operators import exchange, rates, usage
+from corpusqa.operators import answers, exchange, rates, usage
 from corpusqa.plans.mining import mine, process_text, verify_dataset
 
 GOOD = '[{"instruction": "q", "input": "", "output": "a"}]'
@@ -255,3 +255,88 @@ def test_a_model_may_take_batches(spark):
 def test_an_answer_must_be_one_array(spark, text):
     df = spark.createDataFrame([(text,), ("so: [1, [2]] ok",)], "t string")
     assert [r[0] for r in df.select(json_elements("t")).collect()] == [None, ["1", "[2]"]]
+
+
+# -- the log of answers ------------------------------------------------------------------
+
+def prompts(spark, n):
+    return spark.range(n).select(
+        F.concat(F.lit("r"), "id").alias("request_id"), F.concat(F.lit("prompt "), "id").alias("prompt"), "id"
+    )
+
+
+def test_a_run_that_was_killed_goes_on_without_asking_twice(spark, tmp_path):
+    log, calls, dying = str(tmp_path / "log"), tmp_path / "calls", tmp_path / "dying"
+    dying.touch()
+
+    def model(prompt):
+        import os
+
+        with open(calls, "a") as file:
+            file.write(prompt + "\n")
+        with open(calls) as file:
+            asked = len(file.readlines())
+        if asked > 60 and os.path.exists(dying):
+            os._exit(3)  # in the middle of a task
+        return prompt.upper()
+
+    requests = prompts(spark, 100)
+    with pytest.raises(Exception):
+        answers.ask_logged(requests, model, log, tasks=2, piece=5)
+    kept = {r.request_id for r in answers.answer_log(spark, log).collect()}
+    assert 0 < len(kept) < 100
+    asked_before = calls.read_text().splitlines()
+    dying.unlink()
+    rows = answers.ask_logged(requests, model, log, tasks=2, piece=5).collect()
+    assert sorted((r.id, r.response, r.error) for r in rows) == [(i, f"PROMPT {i}", None) for i in range(100)]
+    again = calls.read_text().splitlines()[len(asked_before):]
+    assert len(again) == len(set(again)) == 100 - len(kept)
+    assert not {f"prompt {i[1:]}" for i in kept} & set(again)
+    # a third run asks nothing
+    assert answers.ask_logged(requests, model, log).count() == 100
+    assert len(calls.read_text().splitlines()) == len(asked_before) + len(again)
+
+
+def test_waves_and_tasks_follow_the_number_of_prompts(spark, tmp_path):
+    requests = prompts(spark, 37)
+    requests = requests.union(requests.limit(5))  # an id asked for by two rows has one answer
+    log = str(tmp_path / "log")
+    rows = answers.ask_logged(requests, lambda p: p[::-1], log, tasks=2, piece=4)
+    assert rows.count() == 42 and rows.columns == ["request_id", "id", "response", "error"]
+    assert answers.answer_log(spark, log).count() == 37
+    folders = {r.f for r in spark.read.parquet(log).select(F.input_file_name().alias("f")).collect()}
+    assert len(folders) >= 5  # as many waves of two tasks
+    assert answers.ask_logged(requests.limit(0), lambda p: p, str(tmp_path / "other")).count() == 0
+
+
+def test_errors_are_answers_unless_retried(spark, tmp_path):
+    log, broken = str(tmp_path / "log"), tmp_path / "broken"
+    broken.touch()
+
+    def model(batch):
+        import os
+
+        return [ValueError("busy") if p.endswith("3") and os.path.exists(broken) else "ok" for p in batch]
+
+    requests = prompts(spark, 10)
+    for retry, is_broken, want in ((False, True, "busy"), (False, False, "busy"), (True, False, None)):
+        if not is_broken and broken.exists():
+            broken.unlink()
+        rows = answers.ask_logged(requests, model, log, batch_size=4, retry_errors=retry).collect()
+        assert {r.id: r.error for r in rows} == {i: want if i == 3 else None for i in range(10)}
+
+
+def test_mining_continues_from_a_log(spark, tmp_path):
+    chunks = spark.createDataFrame([("a", i, f"text {i}") for i in range(6)], "path string, chunk_id int, chunk string")
+    log, calls = str(tmp_path / "log"), tmp_path / "calls"
+
+    def model(prompt):
+        with open(calls, "a") as file:
+            file.write("x")
+        return '[{"instruction": "q", "output": "a"}]'
+
+    assert process_text(chunks.limit(2), model, log=log).count() == 2
+    pairs = process_text(chunks, model, log=log)
+    assert pairs.count() == 6 and len(calls.read_text()) == 6
+    checked = verify_dataset(pairs, chunks, model, log=log)
+    assert checked.count() == 6 and len(calls.read_text()) == 12
