@@ -29,13 +29,14 @@ def json_elements(response: Column | str) -> Column:
     Parsed bare, text after the array would be accepted, so it is wrapped, in two
     ways: as an object's value, where it could add keys of its own, and as an
     array's element, where it could add elements. Only one JSON text alone passes
-    both. Going through ``array<string>`` keeps one bad element from nulling all
+    both. A text that closes the array early needs a bracket before a comma or a brace;
+    without one the first reading is enough. Going through ``array<string>`` keeps one bad element from nulling all
     the others.
     """
     array = json_array_text(response)
     value = F.from_json(F.concat(F.lit('{"r":'), array, F.lit("}")), "r array<string>", _STRICT)["r"]
     alone = F.from_json(F.concat(F.lit('{"r":['), array, F.lit("]}")), "r array<string>", _STRICT)["r"]
-    return F.when(F.size(alone) == 1, value)
+    return F.when(~array.rlike(r"\]\s*[,}]") | (F.size(alone) == 1), value)
 
 
 def pair_fields(element: Column) -> Column:

@@ -23,7 +23,7 @@ BOOLEAN = r"^(True|TRUE|true|False|FALSE|false)$"
 # closing quote belong to it, and a doubled quote stands for one; what follows the
 # closing quote is kept as it is, and so is a quote inside a bare cell. A quote that
 # is never closed takes the rest of the text. Possessive, so matching never backs up.
-_QUOTED = r'"(?:[^"]|"")*+'
+_QUOTED = r'"(?:[^"]++|"")*+'
 _RECORD = rf'(?:{_QUOTED}(?:"[^,\n]*+|\z)|[^,\n"][^,\n]*+|)(?:,(?:{_QUOTED}(?:"[^,\n]*+|\z)|[^,\n"][^,\n]*+|))*+'
 _CELL = rf',({_QUOTED}(?:"[^,]*+|\z)|[^,"][^,]*+|)'
 _CLOSED = rf'^{_QUOTED}"'

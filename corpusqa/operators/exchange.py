@@ -113,15 +113,21 @@ def attach_responses(requests: DataFrame, responses: DataFrame) -> DataFrame:
     """Requests with ``response`` and ``error``; no answer at all is an error, too.
 
     Of several answers to one request a successful one counts, the first in the order
-    of texts, so that each request has one. An equi-join on ids, which the answers
-    are grouped by already. Columns nothing later reads, the prompt above all, are
-    pruned before the shuffle.
+    of texts, so that each request has one. Only ids are counted to find such
+    requests; where there are few, as should be, the other answers go to the join
+    untouched. Columns nothing later reads, the prompt above all, are pruned before the
+    shuffle.
     """
     failed = (F.col("error").isNotNull() | F.col("response").isNull()).alias("failed")
-    came = (
-        responses.groupBy("request_id").agg(F.min(F.struct(failed, "response", "error")).alias("_r"))
-        .select("request_id", "_r.response", "_r.error", F.lit(True).alias("_came"))
+    responses = responses.select("request_id", "response", "error").filter(F.col("request_id").isNotNull())
+    several = responses.groupBy("request_id").count().filter(F.col("count") > 1).select("request_id")
+    chosen = (
+        responses.join(several, "request_id", "left_semi")
+        .groupBy("request_id").agg(F.min(F.struct(failed, "response", "error")).alias("_r"))
+        .select("request_id", "_r.response", "_r.error")
     )
+    came = responses.join(several, "request_id", "left_anti").unionByName(chosen)
+    came = came.withColumn("_came", F.lit(True))
     joined = requests.join(came, "request_id", "left")
     return joined.withColumn(
         "error",

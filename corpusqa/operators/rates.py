@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusqa.fixed_values import RATE_WINDOW_SECONDS, REQUESTS_PER_MINUTE, TOKENS_PER_MINUTE
+from corpusqa.sources.shared import written
 
 #: Parts of a window, each at least a second, in which running sums are made.
 PARTS = 60
@@ -116,9 +117,11 @@ def audit_calls(
     """Every call with the rolling usage at its moment and its flags.
 
     An equi-join on (key, at_us); the usage side has one row per pair of them, so a
-    moment with very many calls is skewed on one side only, which AQE splits.
+    moment with very many calls is skewed on one side only. That side is written: AQE
+    splits a join with a written table, but none with an aggregation by the same key.
     """
     usage = rolling_usage(calls, window_seconds).select("key", "at_us", "window_calls", "window_tokens")
+    usage = written(usage, "usage")
     flagged = over_limits(
         calls.join(usage, ["key", "at_us"]).withColumn("max_tokens", F.col("tokens")),
         max_calls, max_tokens,

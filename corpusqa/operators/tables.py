@@ -33,6 +33,7 @@ from corpusqa.functions.tabletext import (
     write_cell,
 )
 from corpusqa.functions.text import col, py_strip
+from corpusqa.sources.shared import written
 
 TABLE = ["path", "sheet"]
 
@@ -237,8 +238,14 @@ def layout_in_row(names: Column, body: Column) -> Column:
 
 
 def _with_layout(rows: DataFrame) -> DataFrame:
-    """Rows joined to their table's layout; the rows' side may be skewed, AQE splits it."""
-    return rows.join(column_layout(rows), TABLE)
+    """Rows joined to their table's layout.
+
+    The rows are written first, so that their source is read once. The layouts are, too: a join
+    with an aggregation by the same key is not split, one with a written table is, and
+    a table with very many rows is skewed on the rows' side.
+    """
+    rows = written(rows, "table_rows")
+    return rows.join(written(column_layout(rows), "layouts"), TABLE)
 
 
 def _is_empty(at: Column) -> Column:

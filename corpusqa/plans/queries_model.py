@@ -16,7 +16,7 @@ from corpusqa.operators.chunking import split_documents
 from corpusqa.operators.answers import ask_logged
 from corpusqa.plans import samples
 from corpusqa.plans.mining import Mined, mine
-from corpusqa.plans.samples import table
+from corpusqa.plans.samples import spread, table
 from corpusqa.plans.queries_text import MARKDOWN_SQL, _DENSE_ID
 from corpusqa.sinks.json_rows import save_rows, stamped_name
 from corpusqa.sources.files import documents, extract_text
@@ -71,7 +71,7 @@ def gen_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT doc_id, {tokens_sql('text')} AS n_tokens FROM documents")
 def token_est(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     return docs.select("doc_id", estimate_tokens("text").alias("n_tokens"))
 
 

@@ -85,7 +85,7 @@ def supported_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT doc_id, {strip_sql('text')} AS text, text AS code FROM documents")
 def decoded_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text files in two encodings and two line-end styles, read back."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     ends = F.when(F.col("doc_id") % 2 == 0, "\r\n").otherwise("\r")
     shown = F.replace(F.col("text"), F.lit("\n"), ends)
     latin = (F.col("doc_id") % 3 == 0) & F.col("text").rlike(r"\A[\x00-\xff]*\z")
@@ -163,7 +163,7 @@ def nonempty_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     '{' || chr(10) || '  "k": ' || json_extract_string(props, '$.k') || chr(10) || '}' AS pretty
   FROM events""")
 def json_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"), "event_id")
     return events.select(
         "event_id",
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
@@ -171,6 +171,17 @@ def json_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""SELECT doc_id, lang, '"' || text || chr(10) || chr(10) || '" ' || source || ',' AS text, length(text) AS n FROM documents""")
+def multi_line_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents as cells of CSV files, with their line feeds, quotes and commas, read by splits."""
+    docs = table(spark, sf_dir, "documents")
+    text = F.concat(F.lit('"'), "text", F.lit('\n\n" '), "source", F.lit(","))
+    folder = new_folder(spark, "documents_csv")
+    shown = docs.select("doc_id", "lang", text.alias("text"), F.length("text").cast("bigint").alias("n"))
+    shown.write.csv(folder, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return csv_files.read_csv_table(spark, folder, multi_line=True)
+
+
 @query("""SELECT CAST(p_partkey AS BIGINT) AS p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, p_retailprice FROM part
   UNION ALL SELECT p_partkey + 1234567890123456000, p_name || ' 5" wide', p_brand, NULL, -1, p_retailprice FROM part""")
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -492,7 +503,7 @@ def splitter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _marked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with every third line made a header and every seventh a fence."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
 
     def mark(line, i):
         level = F.repeat(F.lit("#"), (i % 4 + 1).cast("int"))

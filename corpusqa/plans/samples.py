@@ -49,7 +49,7 @@ def document_path(ext: Column) -> Column:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``path, text`` (and the source columns) with every document a ``.txt`` file."""
-    return table(spark, sf_dir, "documents").withColumn("path", document_path(F.lit(".txt")))
+    return spread(table(spark, sf_dir, "documents"), "doc_id").withColumn("path", document_path(F.lit(".txt")))
 
 
 DOCUMENTS_SQL = "SELECT *, source || '/doc' || doc_id || '.txt' AS path FROM documents"
@@ -60,7 +60,7 @@ def mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     choice = F.element_at(
         F.array(*[F.lit(e) for e in EXTENSIONS]), (F.col("doc_id") % len(EXTENSIONS) + 1).cast("int")
     )
-    return table(spark, sf_dir, "documents").withColumn("path", document_path(choice))
+    return spread(table(spark, sf_dir, "documents"), "doc_id").withColumn("path", document_path(choice))
 
 
 _EXTENSION_LIST = "[" + ", ".join(f"'{e}'" for e in EXTENSIONS) + "]"

@@ -19,6 +19,8 @@ from corpusqa.functions.tabletext import (
     unquoted,
 )
 from corpusqa.operators.tables import aligned_line, csv_names, layout_in_row, too_long
+from corpusqa.sources.csv_records import csv_file_records
+from corpusqa.sources.shared import written as written_rows
 
 NO_COLUMNS = "No columns to parse from file"
 UNCLOSED_QUOTE = "a quote is never closed"
@@ -34,8 +36,8 @@ def read_csv_table(
 ) -> DataFrame:
     """One large CSV table with a header line, types inferred unless given.
 
-    Without ``multi_line`` a file is split over tasks; set it only if cells hold
-    line breaks. All of pandas' missing-value texts become null. Inference reads
+    Files are split over tasks, also with ``multi_line``, which is for cells that hold
+    line breaks (it reads the lines once more and deals them out by split). All of pandas' missing-value texts become null. Inference reads
     the data once more, so pass ``schema`` for a large table; Spark's reader
     knows only one null text, which is why inference runs on text columns with
     the others already nulled. Data that is no UTF-8 is read in the encoding
@@ -44,9 +46,10 @@ def read_csv_table(
     if fallback and encoding.lower() in ("utf-8", "utf8"):
         valid = spark.read.text(path).agg(F.bool_and(F.is_valid_utf8("value")).alias("v")).first()["v"]
         encoding = encoding if valid in (True, None) else fallback
-    raw = spark.read.csv(
-        path, header=True, encoding=encoding, multiLine=multi_line, quote='"', escape='"'
-    )
+    if multi_line:
+        raw = record_table(csv_file_records(spark, path, encoding))
+    else:
+        raw = spark.read.csv(path, header=True, encoding=encoding, quote='"', escape='"')
     raw = raw.toDF(*[c.removeprefix("\ufeff") for c in raw.columns])
     nulled = raw.select(
         *[F.when(~F.col(f"`{c}`").isin(CSV_NULL_TOKENS), F.col(f"`{c}`")).alias(c) for c in raw.columns]
@@ -58,6 +61,28 @@ def read_csv_table(
     return nulled.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) for c in raw.columns])
 
 
+def record_table(records: DataFrame) -> DataFrame:
+    """Records ``path, n, record`` as a table of text columns, named by the first file's first record.
+
+    Each file begins with a header. Blank records are none; cells beyond the header are left
+    out, and missing or empty bare ones are null.
+    """
+    records = written_rows(records.filter(F.col("record").rlike(r"\S")), "csv_records")
+    heads = written_rows(records.groupBy("path").agg(F.min("n").alias("head")), "csv_heads")
+    rows = records.join(heads, "path")
+    first = rows.filter(F.col("n") == F.col("head")).orderBy("path").select("record").first()
+    if first is None:
+        raise ValueError(NO_COLUMNS)
+
+    def cells(record: Column) -> Column:
+        return F.transform(csv_cells(record), unquoted)
+
+    names = records.sparkSession.range(1).select(cells(F.lit(first["record"]))).first()[0]
+    names = [name or f"_c{i}" for i, name in enumerate(names)]
+    cut = rows.filter(F.col("n") > F.col("head")).select(cells(F.col("record")).alias("cells"))
+    return cut.select(*[F.nullif(F.get("cells", F.lit(i)), F.lit("")).alias(name) for i, name in enumerate(names)])
+
+
 def inferred_types(table: DataFrame) -> dict[str, T.DataType]:
     """bigint, decimal, double, boolean or string for each text column, in one aggregate.
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import csv
 import io
 import random
 
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusqa.operators import assemble, tables
+from corpusqa.sources import csv_records
 from corpusqa.sources.csv_files import csv_text, read_csv_table
 
 CSV_FILES = [
@@ -166,3 +168,61 @@ def test_table_of_one_hot_path(spark):
     rows = tables.table_rows(df, F.lit("hot"), F.lit(""), F.col("n") + 1)
     lines = [r.line for r in tables.table_lines(rows).orderBy("row_no").collect()]
     assert "\n".join(lines) == df.toPandas().to_string(index=False)
+
+
+ODD_CELLS = ["", "a", "a b", 'say "x"', '"', '""', "x,y", "line\nbreak", "\n", '\n"\n', 'q"\n,"z', ",", "5\" pipe", "é\r\nü", "long " * 40]
+
+
+@pytest.mark.parametrize("split", [16, 61, 500, 1 << 20])
+def test_multi_line_csv_is_equal_for_any_split(spark, tmp_path, split):
+    rng = random.Random(split)
+    want = []
+    for name in ("a", "b"):
+        rows = [[rng.choice(ODD_CELLS) for _ in range(3)] for _ in range(120)]
+        with open(tmp_path / f"{name}.csv", "w", newline="", encoding="utf-8") as file:
+            writer = csv.writer(file, lineterminator="\r\n" if name == "b" else "\n")
+            writer.writerow(["k", "l\nm", 'n"'])
+            writer.writerows([[f"{name}{i}", *r[:2]] for i, r in enumerate(rows)])
+            if name == "a":
+                file.write('\n\nbare,5" x,y"z\n')
+        want += [(f"{name}{i}", *[c.replace("\r\n", "\n") or None for c in r[:2]]) for i, r in enumerate(rows)]
+    want.append(("bare", '5" x', 'y"z'))
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        got = read_csv_table(spark, str(tmp_path), multi_line=True)
+        assert got.columns == ["k", "l\nm", 'n"']
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+        splits = csv_records.csv_lines(spark, str(tmp_path)).select("path", "split").distinct().count()
+        assert splits > 20 or split > 100
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", kept[1])
+
+
+def test_lines_that_change_the_state(spark):
+    def ends_inside(line, inside):
+        quoted, fresh, i = inside, not inside, 0
+        while i < len(line):
+            c = line[i]
+            if quoted:
+                if c == '"' and line[i + 1 : i + 2] == '"':
+                    i += 1
+                elif c == '"':
+                    quoted = False
+            elif c == "," :
+                fresh, i = True, i + 1
+                continue
+            elif c == '"' and fresh:
+                quoted = True
+            fresh = False
+            i += 1
+        return quoted
+
+    rng = random.Random(4)
+    lines = ["".join(rng.choice('",a ') for _ in range(rng.randrange(9))) for _ in range(3000)] + ['"' + "x\"\"" * 20_000]
+    frame = spark.createDataFrame([(x,) for x in lines], "v string")
+    got = frame.select("v", *[F.col("v").rlike(csv_records.ENDS_INSIDE[s]).alias(f"s{s}") for s in (0, 1)]).collect()
+    for r in got:
+        assert (r.s0, r.s1) == (ends_inside(r.v, False), ends_inside(r.v, True)), r.v[:20]
