@@ -14,6 +14,7 @@ from corpusqa.operators import exchange, rates, usage
 from corpusqa.operators.assemble import fold_lines
 from corpusqa.operators.chunking import split_documents
 from corpusqa.operators.answers import ask_logged
+from corpusqa.operators.token_counts import count_tokens, read_ranks
 from corpusqa.plans import samples
 from corpusqa.plans.mining import Mined, mine
 from corpusqa.plans.samples import spread, table
@@ -75,6 +76,16 @@ def token_est(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", estimate_tokens("text").alias("n_tokens"))
 
 
+@query()
+def bpe_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact counts of whole documents with a public vocabulary's ranks."""
+    import public_tokenizers
+
+    ranks = read_ranks(spark, f"file://{public_tokenizers.path('byte_bpe_50k.tiktoken')}")
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", "text")
+    return count_tokens(docs, ranks, public_tokenizers.PATTERN).select("doc_id", "n_tokens")
+
+
 @query(f"""SELECT path, chunk_id, CAST(pair_id AS INTEGER) AS pair_id, json_type(e) = 'OBJECT' AS is_object,
     json_extract_string(e, '$.instruction') AS instruction, json_extract_string(e, '$.output') AS output
   FROM ({samples.ELEMENTS_SQL})""")

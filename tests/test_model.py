@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import base64
 import json
 import random
 from collections import defaultdict
@@ -15,7 +16,7 @@ from corpusqa.functions.prompts import (
 )
 from corpusqa.functions.responses import json_elements, verdict
 from corpusqa.functions.tokens import estimate_tokens
-from corpusqa.operators import answers, exchange, rates, usage
+from corpusqa.operators import answers, exchange, rates, token_counts, usage
 from corpusqa.plans.mining import mine, process_text, verify_dataset
 
 GOOD = '[{"instruction": "q", "input": "", "output": "a"}]'
@@ -340,3 +341,51 @@ def test_mining_continues_from_a_log(spark, tmp_path):
     assert pairs.count() == 6 and len(calls.read_text()) == 6
     checked = verify_dataset(pairs, chunks, model, log=log)
     assert checked.count() == 6 and len(calls.read_text()) == 12
+
+
+# -- exact token counts ------------------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    tiktoken, tokenizers = pytest.importorskip("tiktoken"), pytest.importorskip("public_tokenizers")
+    path = tokenizers.path("byte_bpe_50k.tiktoken")
+    with open(path, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    return path, tokenizers.PATTERN, tiktoken.Encoding("own", pat_str=tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), ranks
+
+
+def test_pieces_merge_by_rank(vocabulary):
+    import tiktoken
+
+    ranks = vocabulary[3]
+    whole = tiktoken.Encoding("whole", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(6)
+    for n in [1, 2, 3, 10, 40, 200, 5000]:
+        for letters in ("ab", "etaoin shrdlu", "aé日😀x"):
+            piece = "".join(rng.choice(letters) for _ in range(n))
+            tokens = token_counts.merged(piece.encode(), ranks)
+            assert b"".join(tokens) == piece.encode()
+            assert [ranks[t] for t in tokens] == whole.encode_ordinary(piece)
+
+
+def test_counts_equal_the_librarys(spark, vocabulary):
+    path, pattern, encoding, _ = vocabulary
+    texts = [
+        None, "", " ", "a", "don't stop", "tabs\t\tand\n\n lines \u00a0\u2003x", "1234567 ½ ² Ⅷ", "naïve café — ok", "日本語 テキスト 😀😀",
+        "x" * 3000, "zqxj" * 2000, "<|endoftext|>", "same rare wordlikezz", "same rare wordlikezz", "  lead and trail  ",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "n_tokens int, text string").withColumn("key", F.lit("k"))
+    ranks = token_counts.read_ranks(spark, path)
+    got = token_counts.count_tokens(frame, ranks, pattern, into="size").collect()
+    assert {r.n_tokens: r.size for r in got} == {i: len(encoding.encode_ordinary(t or "")) for i, t in enumerate(texts)}
+    assert len(got) == len(texts) and got[0].key == "k"
+    assert token_counts.count_tokens(frame.limit(0), ranks, pattern).count() == 0
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = token_counts.count_tokens(docs, ranks, pattern).collect()
+    assert len(rows) == 200 and all(r.n_tokens == len(encoding.encode_ordinary(r.text or "")) for r in rows)
+
+
+def test_a_vocabulary_too_large_is_refused(spark, vocabulary, monkeypatch):
+    monkeypatch.setattr(token_counts, "LARGEST", 100)
+    with pytest.raises(ValueError, match="too large"):
+        token_counts.count_tokens(spark.range(1).withColumn("text", F.lit("a")), token_counts.read_ranks(spark, vocabulary[0]), "a")
