@@ -4,9 +4,11 @@ A line that stands on at least ``SITES`` distinct sites is boilerplate and goes,
 all its occurrences. Lines are known by 128 bits of hash. Lines too rare to qualify
 leave by count alone; for the rest, HyperLogLog sketches of their sites merge by
 aggregation, and lines whose estimate lies near the threshold are counted exactly.
-A removed line's number is joined back by text, so hot lines meet in no task.
+A removed line's number is joined back by text, so hot lines meet in no task; what is
+joined is written first, so that a text which very many rows share is a join which is split.
 
-Cases: lines end at a line feed; blank lines are never removed; a null site is one
+Cases: lines end at a line feed, and a carriage return before it is no part of the line that
+is compared; lines of white space only are never removed; a null site is one
 more site; null and empty texts stay as they are; a text may become empty, its
 row stays; repeated rows and copies lose the same lines; ties with the threshold go.
 """
@@ -31,6 +33,7 @@ def _lines(text: Column) -> Column:
 
 
 def _hashes(line: Column) -> list[Column]:
+    line = F.rtrim(line, F.lit("\r"))
     return [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2")]
 
 
@@ -38,7 +41,7 @@ def boilerplate(docs: DataFrame, text: str = "text", site: str = "source", sites
     """``h1, h2``: hashes of the lines that stand on at least ``sites`` distinct sites."""
     lines = (
         docs.select(F.xxhash64(F.col(site)).alias("site"), F.explode(_lines(F.col(text))).alias("line"))
-        .filter(F.trim("line") != "").select(*_hashes(F.col("line")), "site")
+        .filter(F.col("line").rlike(r"[^ \t-\r]")).select(*_hashes(F.col("line")), "site")
     )
     frequent = (
         lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("site").alias("a"), F.max("site").alias("b"))
@@ -68,7 +71,7 @@ def _marked(docs: DataFrame, text: str, **names) -> DataFrame:
         .groupBy("key").agg(F.collect_set("at").alias("gone"))
     )
     rows = docs.select(F.struct("*").alias("row"), text_key(text).alias("key"))
-    return rows.join(gone, "key", "left").select("row", "gone")
+    return rows.join(written(gone, "lines_to_remove"), "key", "left").select("row", "gone")
 
 
 def _kept(text: Column, gone: Column) -> Column:
@@ -106,15 +109,15 @@ def line_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **n
     )
 
 
-LINE_COUNTS_SQL = f"""
+LINE_COUNTS_SQL = rf"""
 WITH lines AS (
   SELECT doc_id, text, source, unnest(string_split(text, chr(10))) AS line,
     unnest(range(len(string_split(text, chr(10))))) AS at FROM documents),
 boiler AS (
-  SELECT line FROM lines WHERE trim(line, ' ') <> '' GROUP BY line
+  SELECT rtrim(line, chr(13)) AS line FROM lines WHERE regexp_matches(line, '[^ \t-\r]') GROUP BY 1
   HAVING count(DISTINCT source) + max((source IS NULL)::INT) >= {SITES})
 SELECT d.doc_id, len(string_split(d.text, chr(10))) AS n_lines,
-  (SELECT count(*) FROM lines l WHERE l.doc_id = d.doc_id AND l.line IN (SELECT line FROM boiler)) AS n_removed,
+  (SELECT count(*) FROM lines l WHERE l.doc_id = d.doc_id AND rtrim(l.line, chr(13)) IN (SELECT line FROM boiler)) AS n_removed,
   coalesce((SELECT string_agg(l.line, chr(10) ORDER BY l.at) FROM lines l
-    WHERE l.doc_id = d.doc_id AND l.line NOT IN (SELECT line FROM boiler)), '') AS text
+    WHERE l.doc_id = d.doc_id AND rtrim(l.line, chr(13)) NOT IN (SELECT line FROM boiler)), '') AS text
 FROM documents d"""
