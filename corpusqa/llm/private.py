@@ -16,7 +16,8 @@ at a slash. National numbers written as one run of digits are not recognised. Ea
   a person's later bare name in the same document follows (coreference).
 
 Surrogates are checked against each other and against all entities of the corpus: of
-those that collide all but one try again, until all are distinct. This works on the
+those that collide all but one try again, until all are distinct; where a format has fewer
+surrogates than entities, digits are added. This works on the
 table of distinct entities, so a hot entity is one row.
 
 Cases: null texts stay null, texts without entities stay as they are; a text that is
@@ -42,10 +43,14 @@ CYRILLIC_SYLLABLES = ["ба", "де", "фи", "га", "жо", "ка", "ле", "
 LATIN_ENDINGS = {"m": "n", "f": "la", "x": "r"}
 CYRILLIC_ENDINGS = {"m": "н", "f": "ла", "x": "р"}
 
+#: Country calling codes of one and two digits; all others have three.
+CALLING_CODES = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+
 # -- end of fixed values -------------------------------------------------------------
 
 _TITLES = MALE_TITLES + FEMALE_TITLES + OTHER_TITLES
-_TITLE = "(?i:" + "|".join(sorted(_TITLES, key=len, reverse=True)) + r")\.?"
+# a small "miss" is a verb
+_TITLE = "(?!miss )(?i:" + "|".join(sorted(_TITLES, key=len, reverse=True)) + r")\.?"
 _NAME = r"\p{Lu}[\p{L}'’]+"
 #: Phone numbers: with a country code and dots (eight digits or more, so no decimal fraction), with a country
 #: code, with a bracketed area code, in groups of 3-3-4, after a trunk 0, and after a trunk 0 in pairs.
@@ -70,7 +75,8 @@ KINDS = [
 ]
 #: No entity begins inside a word.
 PATTERN = r"(?<![\p{L}\p{N}_])(?:" + "|".join(f"(?:{p})" for _, p in KINDS) + ")"
-ROUNDS = 64
+#: Tries after which surrogates of one format get longer.
+ROUNDS = 16
 
 
 def _kind(entity: Column) -> Column:
@@ -97,6 +103,7 @@ def _part(kind: Column, value: Column) -> Column:
 def canonical(kind: Column, value: Column) -> Column:
     """One form for all spellings of an entity."""
     bare = F.upper(F.regexp_replace(value, r"[^\p{L}\p{N}]", ""))
+    bare = F.when((kind == "phone") & value.startswith("+"), F.concat(F.lit("+"), bare)).otherwise(bare)
     return F.when(kind.isin("card", "phone", "ssn", "iban"), bare).otherwise(F.lower(value))
 
 
@@ -152,6 +159,20 @@ def _address_for(value: Column, seed: Column) -> Column:
     return F.concat_ws(".", *byte)
 
 
+def _phone_for(form: Column, seed: Column) -> Column:
+    """Other digits after a country's code, or after the first digit of a national number."""
+    kept = F.regexp_extract(form, rf"^\+({CALLING_CODES}|[0-9]{{3}})", 1)
+    kept = F.when(form.startswith("+"), kept).otherwise(F.substring(form, 1, 1))
+    left = F.length(F.replace(form, F.lit("+"), F.lit(""))) - F.length(kept)
+    return F.concat(kept, F.substring(_digits(seed, 24), F.lit(1), left))
+
+
+def _longer(kind: Column, made: Column, seed: Column, digits: int) -> Column:
+    """A surrogate with digits more, for formats with more entities than surrogates; names grow by themselves."""
+    more = F.substring(_digits(seed, 60), 60 - min(digits, 36), min(digits, 36))
+    return F.when(kind.startswith("given") | (kind == "family"), made).when(kind == "email", F.concat(more, made)).otherwise(F.concat(made, more))
+
+
 def _surrogate(kind: Column, form: Column, seed: Column) -> Column:
     number = F.length(form)
     mail = F.concat(_letters_for(F.regexp_extract(form, r"^(.*)\.", 1), seed), F.regexp_extract(form, r"(\.[^.]*)$", 1))
@@ -161,7 +182,7 @@ def _surrogate(kind: Column, form: Column, seed: Column) -> Column:
         .when(kind == "iban", F.concat(F.substring(form, 1, 2), F.upper(_letters_for(F.substring(form, F.lit(3), number), seed))))
         .when(kind == "ip", _address_for(form, seed))
         .when(kind == "card", F.concat(F.substring(form, 1, 1), F.substring(_digits(seed, 24), F.lit(1), number - 1)))
-        .when(kind == "phone", F.concat(F.substring(form, 1, 1), F.substring(_digits(seed, 24), F.lit(1), number - 1)))
+        .when(kind == "phone", _phone_for(form, seed))
         .when(kind == "ssn", F.substring(_digits(seed, 24), F.lit(1), number))
         .otherwise(_name_for(kind, form, seed))
     )
@@ -172,13 +193,16 @@ def surrogates(found: DataFrame, secret: str) -> DataFrame:
     todo = written(found.select("kind", "form").distinct(), "entities")
     # names of all roles share one space
     space = F.when(F.col("kind").startswith("given") | (F.col("kind") == "family"), "name").otherwise(F.col("kind"))
-    taken = written(todo.select(space.alias("space"), F.col("form").alias("made")).distinct(), "taken")
+    # a phone number's form has a plus sign that its surrogate, which is put into the number's format, has not
+    bare = F.when(space == "phone", F.replace("form", F.lit("+"), F.lit(""))).otherwise(F.col("form"))
+    taken = written(todo.select(space.alias("space"), bare.alias("made")).distinct(), "taken")
     done, attempt = None, 0
     while True:
         seed = F.sha2(F.concat_ws("|", F.lit(secret), space, "form", F.lit(str(attempt))), 256)
-        made = todo.withColumn("attempt", F.lit(attempt)).select(
-            "kind", "form", space.alias("space"), _surrogate(F.col("kind"), F.col("form"), seed).alias("made")
-        )
+        new = _surrogate(F.col("kind"), F.col("form"), seed)
+        if attempt >= ROUNDS:
+            new = _longer(F.col("kind"), new, seed, attempt // ROUNDS)
+        made = todo.withColumn("attempt", F.lit(attempt)).select("kind", "form", space.alias("space"), new.alias("made"))
         first = made.groupBy("space", "made").agg(F.min(F.struct("form", "kind")).alias("one")).join(taken, ["space", "made"], "left_anti")
         won = written(first.select("one.kind", "one.form", "space", "made"), "surrogates")
         done = won if done is None else done.unionByName(won)
@@ -186,8 +210,6 @@ def surrogates(found: DataFrame, secret: str) -> DataFrame:
         if todo.isEmpty():
             return done.select("kind", "form", F.col("made").alias("surrogate"))
         attempt += 1
-        if attempt == ROUNDS:
-            raise ValueError("more entities of one format than it has surrogates")
         taken = taken.unionByName(won.select("space", "made"))
 
 
@@ -225,6 +247,8 @@ def pseudonymised(docs: DataFrame, secret: str, doc_id: str = "doc_id", text: st
     by_text = whole.select("key", "at", replaced.alias("new"), F.when(is_name, F.col("names")).alias("names")).groupBy("key").agg(
         F.array_sort(F.collect_list(F.struct("at", "new"))).alias("new"), F.array_distinct(F.flatten(F.collect_list("names"))).alias("names")
     )
+    # written, so that a text which very many rows share is a join which is split
+    by_text = written(by_text, "surrogates_by_text")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t"), text_key(text).alias("key")).join(by_text, "key", "left")
     gaps = F.split("t", PATTERN, -1)
 
