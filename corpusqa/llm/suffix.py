@@ -272,7 +272,8 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             out.append((n, n - len(words), b" ".join(words).decode()))
         return pd.DataFrame(out, columns=["n_words", "n_removed", "kept"])
 
-    found = repeats(docs, text, window, lead, group)
+    # written, so that a text which very many rows share is a join which is split
+    found = written(repeats(docs, text, window, lead, group), "repeats")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t"), text_key(text).alias("key"))
     return rows.join(found, "key", "left").select("doc_id", cut("t", "spans").alias("c")).select("doc_id", "c.*")
 
