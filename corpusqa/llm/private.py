@@ -247,8 +247,9 @@ def pseudonymised(docs: DataFrame, secret: str, doc_id: str = "doc_id", text: st
     by_text = whole.select("key", "at", replaced.alias("new"), F.when(is_name, F.col("names")).alias("names")).groupBy("key").agg(
         F.array_sort(F.collect_list(F.struct("at", "new"))).alias("new"), F.array_distinct(F.flatten(F.collect_list("names"))).alias("names")
     )
-    # written, so that a text which very many rows share is a join which is split
-    by_text = written(by_text, "surrogates_by_text")
+    # written, so that a text which very many rows share is a join which is split; and merged at
+    # every size, as a broadcast of few texts' surrogates would be another plan than that of many
+    by_text = written(by_text, "surrogates_by_text").hint("merge")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t"), text_key(text).alias("key")).join(by_text, "key", "left")
     gaps = F.split("t", PATTERN, -1)
 
