@@ -5,15 +5,16 @@ runs of three to five characters. Two gated recurrent layers read a window of ``
 in both directions; attention pools their states into one logit. A text's windows
 start every ``STEP`` words, overlap, and cover all of it; its score comes from the
 highest logit and the share of windows that seem toxic, by a logistic curve fitted
-on the learned rows.
+on all windows of the learned rows.
 
 Only documents are labelled, not windows, so learning goes in rounds: first any
 window of a toxic document counts as toxic, then only those that the network so
 far takes for toxic itself, which also leaves wrong labels aside.
 
-Bounds: at most ``POSITIVES`` and ``NEGATIVES`` labelled documents, chosen by hash
-of their id, and ``SAMPLED`` windows of each, evenly spread, reach the driver.
-All documents are scored, whole.
+Bounds: at most ``POSITIVES`` and ``NEGATIVES`` labelled documents are learned from,
+chosen by hash of their id. Of each, ``SAMPLED`` windows, evenly spread, reach the driver
+for the network's weights; for the curve tasks read all its windows with the trained
+network and return four numbers. All documents are scored, whole.
 
 Cases: null and empty texts have one window without words and its score; texts of
 any length are scored in pieces; labels that are null, or of unknown
@@ -25,6 +26,7 @@ other columns are kept by ``kept_rows`` and ignored elsewhere.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -33,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusqa.llm.common import ALNUM, Words, mixed, pieces
+from corpusqa.sources.shared import written
 
 WIDTH, STEP = 32, 24
 WORD_DIM, CHAR_DIM, HIDDEN, ATTEND = 8, 8, 8, 8
@@ -242,8 +245,8 @@ class Network:
         g["char"] = _summed(lexicon.rows, each, CHAR_ROWS)
         return loss, g
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
-        """A score of each text from the logits of all its windows."""
+    def traits(self, texts: list[str | None]) -> np.ndarray:
+        """``traits`` of each text from the logits of all its windows."""
         out = [np.zeros((0, 4))]
         for _, piece in pieces(texts):
             words = Words(piece, ALNUM, True)
@@ -253,7 +256,11 @@ class Network:
             own = np.append(number, -1)  # -1 stays -1
             logit = np.concatenate([self.forward(gates, own[at[lo : lo + 2048]]) for lo in range(0, len(at), 2048)])
             out.append(traits(logit, np.searchsorted(text, np.arange(len(piece)))))
-        return np.round(_sigmoid(np.concatenate(out) @ self.curve), 6)
+        return np.concatenate(out)
+
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        """A score of each text."""
+        return np.round(_sigmoid(self.traits(texts) @ self.curve), 6)
 
 
 def traits(logit: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -275,8 +282,14 @@ def _subset(lexicon: Lexicon, numbers: np.ndarray) -> tuple[Lexicon, np.ndarray]
     return Lexicon(lexicon.h[used], lexicon.rows[at], first, size), again
 
 
-def train(texts: list[list[str]], toxic: np.ndarray, weight: np.ndarray, rounds: int = 4, batch: int = 256, rate: float = 0.02, seed: int = SEED) -> Network:
-    """Learn from documents given as lists of windows; ``weight`` says how many documents each stands for."""
+def train(
+    texts: list[list[str]], toxic: np.ndarray, weight: np.ndarray, whole: Callable[[Network], np.ndarray],
+    rounds: int = 4, batch: int = 256, rate: float = 0.02, seed: int = SEED,
+) -> Network:
+    """Learn from documents given as lists of windows; ``weight`` says how many documents each stands for.
+
+    ``whole`` gives the traits of the whole documents under the trained network, for the curve.
+    """
     flat = [w for windows_ in texts for w in windows_]
     owner = np.repeat(np.arange(len(texts)), [len(w) for w in texts])
     words = Words([w.encode() for w in flat], ALNUM, True)
@@ -318,7 +331,7 @@ def train(texts: list[list[str]], toxic: np.ndarray, weight: np.ndarray, rounds:
                     mean[k] += 0.1 * (g - mean[k])
                     square[k] += 0.01 * (g * g - square[k])
                     net.p[k] -= rate * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-6)
-    net.curve = _logistic(traits(all_logits(), np.searchsorted(owner, np.arange(len(texts)))), toxic.astype(float), weight)
+    net.curve = _logistic(whole(net), toxic.astype(float), weight)
     return net
 
 
@@ -367,7 +380,7 @@ def learned(
     chosen = F.broadcast(sides[0].union(sides[1]))
     texts = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(chosen, "id")
     # at most positives + negatives rows: tasks keep one text of an id before the shuffle, always the same one
-    sample = texts.groupBy("id", "toxic").agg(F.min_by("t", F.xxhash64("t")).alias("t"))
+    sample = written(texts.groupBy("id", "toxic").agg(F.min_by("t", F.xxhash64("t")).alias("t")), "learned")
     rows = sample.select("id", "toxic", spread("t").alias("windows")).toPandas()
     toxic = rows["toxic"].to_numpy()
     if not 0 < toxic.sum() < len(toxic):
@@ -375,7 +388,16 @@ def learned(
     rows = rows.sort_values("id")
     toxic = rows["toxic"].to_numpy()
     weight = np.where(toxic == 1, sizes[1] / toxic.sum(), sizes[0] / (toxic == 0).sum())
-    return train([list(w) for w in rows["windows"]], toxic, weight)
+
+    def whole(network: Network) -> np.ndarray:
+        @F.pandas_udf("array<double>")
+        def measured(texts: pd.Series) -> pd.Series:
+            return pd.Series(list(network.traits(texts.tolist())))
+
+        found = sample.select("id", measured("t").alias("traits")).toPandas().sort_values("id")
+        return np.stack(found["traits"].to_list())
+
+    return train([list(w) for w in rows["windows"]], toxic, weight, whole)
 
 
 def score(text: Column, network: Network | None) -> Column:
