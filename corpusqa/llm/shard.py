@@ -6,7 +6,9 @@ on no other shard, so one more shard takes records only into itself, and a
 shard's share follows its weight. A record's slot numbers a shard without gaps:
 rows are numbered within (shard, bucket), a bucket being a hash of the whole
 record, and start after the shard's earlier buckets, of which there are few, so
-no task has to sort a whole shard.
+no task has to sort a whole shard. Fully equal rows are counted before the shuffle;
+every ``COPIES`` of them get a bucket of their own, so a row that is repeated
+without end is spread over its shard's buckets.
 
 Cases: a null key is a key of its own; a null text has no bytes; equal keys share
 a shard, their rows have different slots; fully equal rows may swap slots; other
@@ -22,6 +24,8 @@ from pyspark.sql import functions as F
 
 #: Parts into which each shard is cut to number its rows.
 BUCKETS = 256
+#: Copies of a row that share a bucket.
+COPIES = 1 << 16
 _UNIT = float(1 << 60)
 
 
@@ -43,7 +47,7 @@ def bids(key: Column, weights: Sequence[float]) -> Column:
 
 def sharded(
     docs: DataFrame, weights: Sequence[float], extra: float | None = None,
-    doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS,
+    doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS, copies: int = COPIES,
 ) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot``, and ``grown_shard`` with one shard more of weight ``extra``."""
     if any(w <= 0 for w in [*weights, extra or 1]):
@@ -58,22 +62,28 @@ def sharded(
     )
     best = F.array_max(F.slice("bids", 1, len(weights)))["shard"]
     grown = F.array_max("bids")["shard"] if more else F.lit(None).cast("int")
-    rows = rows.select(
-        "doc_id", "size", "text_crc32", best.alias("shard"), grown.alias("grown_shard"),
-        (_number(F.concat_ws(":", "doc_id", "text_crc32", "size"), 8) % buckets).cast("int").alias("bucket"),
+    record = ["doc_id", "text_crc32", "size"]
+    equal = rows.select(*record, best.alias("shard"), grown.alias("grown_shard")).groupBy(*record, "shard", "grown_shard")
+    blocks = F.sequence(F.lit(0), ((F.col("n") - 1) / copies).cast("int"))
+    runs = equal.agg(F.count("*").alias("n")).withColumn("block", F.explode(blocks))
+    runs = runs.select(
+        *record, "shard", "grown_shard", "block",
+        F.least(F.lit(copies).cast("bigint"), F.col("n") - F.col("block").cast("bigint") * copies).alias("m"),
+        (_number(F.concat_ws(":", *record, F.when(F.col("block") > 0, F.col("block"))), 8) % buckets).cast("int").alias("bucket"),
     )
-    counts = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
+    counts = runs.groupBy("shard", "bucket").agg(F.sum("m").alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     opens = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("opens"))
-    within = Window.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32", "size")
-    numbered = rows.withColumn("nth", F.row_number().over(within) - 1)
+    within = Window.partitionBy("shard", "bucket").orderBy(*record, "block").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = runs.withColumn("earlier", F.coalesce(F.sum("m").over(within), F.lit(0)))
     # opens has at most shards x buckets rows
-    return numbered.join(F.broadcast(opens), ["shard", "bucket"]).select(
-        "doc_id", "size", "text_crc32", "shard", (F.col("opens") + F.col("nth")).alias("slot"), "grown_shard"
+    placed = numbered.join(F.broadcast(opens), ["shard", "bucket"])
+    return placed.withColumn("nth", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("m") - 1))).select(
+        "doc_id", "size", "text_crc32", "shard", (F.col("opens") + F.col("earlier") + F.col("nth")).alias("slot"), "grown_shard"
     )
 
 
-def key_law_sql(shards: int, buckets: int = BUCKETS) -> str:
+def key_law_sql(shards: int, buckets: int = BUCKETS, copies: int = COPIES) -> str:
     """DuckDB SQL for ``documents`` in equal shards by key, and with one shard more."""
     hashed = "('0x' || substring(md5({}), 1, {}))::BIGINT"
     step = "CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
@@ -88,6 +98,7 @@ def key_law_sql(shards: int, buckets: int = BUCKETS) -> str:
     FROM rows, crc),
   dealt AS (SELECT *, CAST(list_position(bids[1:{shards}], list_max(bids[1:{shards}])) - 1 AS INTEGER) AS shard,
       CAST(list_position(bids, list_max(bids)) - 1 AS INTEGER) AS grown_shard,
-      {hashed.format("concat_ws(':', doc_id, text_crc32, size)", 8)} % {buckets} AS bucket FROM summed)
+      {hashed.format("concat_ws(':', doc_id, text_crc32, size, nullif(block, 0))", 8)} % {buckets} AS bucket
+    FROM (SELECT *, (row_number() OVER (PARTITION BY doc_id, text_crc32, size) - 1) // {copies} AS block FROM summed))
   SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law, shard,
-    row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id, text_crc32, size) - 1 AS slot, grown_shard FROM dealt"""
+    row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, grown_shard FROM dealt"""
