@@ -8,6 +8,7 @@ import math
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -84,6 +85,77 @@ def test_network_gradient():
         assert (found[0] - found[1]) / 2e-3 == pytest.approx(grad[name][place], rel=1e-3, abs=1e-8)
 
 
+def _plain_traits(net: toxicity.Network, text: str) -> list[float]:
+    """The network's four numbers, word by word and window by window in plain loops."""
+    p, h, limit = net.p, toxicity.HIDDEN, 1 << 64
+
+    def sigmoid(x):
+        return 1 / (1 + np.exp(-x))
+
+    def vector(word):
+        marked, rows = f"\0{word}\0", []
+        for n in toxicity.NGRAMS:
+            for i in range(len(marked) - n + 1):
+                code = n
+                for c in marked[i : i + n]:
+                    code = (code * 0x100000001B3 + ord(c)) % limit
+                rows.append(int(toxicity.mixed(np.array([code], np.uint64))[0]) % toxicity.CHAR_ROWS)
+        known = np.flatnonzero(net.vocabulary == Words([word.encode()], ALNUM, True).hashes()[0])
+        char = sum(p["char"][r] for r in rows) / len(rows) ** 0.5
+        return np.concatenate([p["word"][known[0] + 1 if len(known) else 0], char])
+
+    def run(d, inputs):
+        state, out = np.zeros(h), []
+        for x in inputs:
+            share = x @ p["W"][d] + p["b"][d, 0]
+            past = state @ p["U"][d]
+            z, r = sigmoid(share[:h] + past[:h]), sigmoid(share[h : 2 * h] + past[h : 2 * h])
+            state = (1 - z) * np.tanh(share[2 * h :] + r * past[2 * h :]) + z * state
+            out.append(state)
+        return out
+
+    words = ALNUM_WORD.findall(text.translate(LOWER))
+    logits, at = [], 0
+    while True:
+        inputs = [vector(w) for w in words[at : at + toxicity.WIDTH]]
+        logit = float(p["o"][0])
+        if inputs:
+            states = [np.concatenate(s) for s in zip(run(0, inputs), run(1, inputs[::-1])[::-1])]
+            force = np.exp([np.tanh(s @ p["A"] + p["a"]) @ p["v"] for s in states])
+            logit += float(sum(f * (s @ p["w"]) for f, s in zip(force, states)) / force.sum())
+        logits.append(logit)
+        if at + toxicity.WIDTH >= len(words):
+            break
+        at += toxicity.STEP
+    share = sum(sigmoid(x) for x in logits) / len(logits)
+    return [max(logits), 10 * share, math.log(len(logits)), 1.0]
+
+
+def test_network_equals_plain_loops():
+    texts = [t for _, t in TEXTS if len(t or "") < 20_000]
+    words = Words([(t or "").encode() for t in texts], ALNUM, True)
+    net = toxicity.Network(np.unique(words.hashes())[::3])
+    net.start()
+    net.p["o"][0] = 0.25
+    want = np.array([_plain_traits(net, t or "") for t in texts])
+    assert net.traits(texts) == pytest.approx(want, rel=1e-3, abs=1e-4)
+    net.curve = np.array([0.7, 0.3, -0.2, 0.1])
+    assert net.scores(texts) == pytest.approx(1 / (1 + np.exp(-want @ net.curve)), rel=1e-3, abs=1e-4)
+
+
+def test_curve_is_fitted_on_all_windows(spark, monkeypatch):
+    rng = __import__("random").Random(4)
+    texts = [(i, odd.sentence(rng, 900 if i % 2 else 30)) for i in range(40)]
+    labels = spark.createDataFrame([(i, i // 2 % 2) for i in range(40)], "doc_id bigint, toxic int")
+    fitted = []
+    fit = toxicity._logistic
+    monkeypatch.setattr(toxicity, "_logistic", lambda x, y, weight: fitted.append(x) or fit(x, y, weight))
+    network = toxicity.learned(spark.createDataFrame(texts, "doc_id bigint, text string"), labels)
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert fitted[0] == pytest.approx(network.traits([texts[i][1] for i in ids]), rel=1e-5)
+    assert np.exp(fitted[0][:, 2]).max() > 2 * toxicity.SAMPLED
+
+
 def test_windows_cover_and_overlap():
     at, text = toxicity.windows(np.array([0, 0, 5, 100]), 32, 24)
     assert collections.Counter(text.tolist()) == {0: 1, 1: 1, 2: 4}
@@ -313,6 +385,17 @@ def test_sharding(docs, none):
         shard.sharded(docs, [1.0, 0.0])
 
 
+def test_sharding_of_copies(spark):
+    some = [(i % 5, f"t{i % 7}") for i in range(70)] + [(3, "hot")] * 200 + [(None, None)] * 9
+    docs = spark.createDataFrame(some, "doc_id bigint, text string")
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas().astype({"doc_id": "Int64"}))
+    for copies in (1, 4, shard.COPIES):
+        rows = shard.sharded(docs, [1.0] * 3, extra=1.0, buckets=8, copies=copies)
+        got = rows.withColumn("law", F.lit("key")).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+        same(got.collect(), con.execute(shard.key_law_sql(3, 8, copies)).fetchall())
+
+
 def test_weighted_shares(spark):
     rows = shard.sharded(spark.range(20_000).selectExpr("id AS doc_id", "'' AS text"), [1.0, 3.0])
     n = {r["shard"]: r["count"] for r in rows.groupBy("shard").count().collect()}
