@@ -28,17 +28,33 @@ def _total(tokens: str, op: str | None = None):
     return F.coalesce(F.sum(value), F.lit(0).cast("bigint"))
 
 
+SUMS = ["n_calls", "input_tokens", "output_tokens"]
+
+
+def op_sums(calls: DataFrame) -> DataFrame:
+    """``op`` and ``SUMS``: calls and tokens of each operation, which can be added up further."""
+    return calls.groupBy("op").agg(
+        F.count("*").alias("n_calls"),
+        _total("input_tokens").alias("input_tokens"),
+        _total("output_tokens").alias("output_tokens"),
+    )
+
+
 def usage_by_op(
     calls: DataFrame,
     input_price: float = INPUT_PRICE_PER_MILLION,
     output_price: float = OUTPUT_PRICE_PER_MILLION,
 ) -> DataFrame:
     """Calls, tokens and cost of each operation."""
-    sums = calls.groupBy("op").agg(
-        F.count("*").alias("n_calls"),
-        _total("input_tokens").alias("input_tokens"),
-        _total("output_tokens").alias("output_tokens"),
-    )
+    return priced(op_sums(calls), input_price, output_price)
+
+
+def priced(
+    sums: DataFrame,
+    input_price: float = INPUT_PRICE_PER_MILLION,
+    output_price: float = OUTPUT_PRICE_PER_MILLION,
+) -> DataFrame:
+    """Sums by operation with their cost."""
     return sums.select(
         "op",
         "n_calls",

@@ -23,6 +23,7 @@ from corpusqa.sinks.json_rows import save_rows, stamped_name
 from corpusqa.sources.files import documents, extract_text
 from corpusqa.sources.shared import new_folder
 from corpusqa.streaming.incremental import save_new
+from corpusqa.streaming.totals import running_totals, total_new
 
 QUERIES, SQL = {}, {}
 
@@ -312,8 +313,7 @@ _TURN_CALLS = f"""SELECT CASE WHEN conv_id % 3 = 0 THEN 'verify' ELSE 'generate'
     CASE WHEN role = 'assistant' THEN {tokens_sql('text')} ELSE 0 END AS o FROM conversations"""
 
 
-def _turn_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations")
+def _calls_of(turns: DataFrame) -> DataFrame:
     tokens, out = estimate_tokens("text"), F.col("role") == "assistant"
     return turns.select(
         F.when(F.col("conv_id") % 3 == 0, "verify").otherwise("generate").alias("op"),
@@ -322,6 +322,22 @@ def _turn_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _turn_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _calls_of(table(spark, sf_dir, "conversations"))
+
+
+@query(summary_sql(_TURN_CALLS))
+def running_usage_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns as a stream of several batches, totals kept by batch; a second run finds nothing new."""
+    turns = table(spark, sf_dir, "conversations")
+    source, folder, checkpoint = (new_folder(spark, n) for n in ("turns", "totals", "progress"))
+    turns.repartitionByRange(3, "conv_id").write.parquet(source)
+    for _ in range(2):
+        stream = spark.readStream.schema(turns.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        total_new(stream, _calls_of, folder, checkpoint)
+    return usage.usage_summary(running_totals(spark, folder))
+
+
 @query(summary_sql(_TURN_CALLS))
 def usage_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usage.usage_summary(_turn_calls(spark, sf_dir))

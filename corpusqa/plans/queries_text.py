@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusqa.fixed_values import (
@@ -20,6 +20,7 @@ from corpusqa.operators import assemble, chunking, tables, usage
 from corpusqa.plans import samples
 from corpusqa.plans.samples import spread, table
 from corpusqa.sources import csv_files, files
+from corpusqa.sources.pieces import file_pieces
 from corpusqa.sources.shared import new_folder
 
 QUERIES, SQL = {}, {}
@@ -98,6 +99,26 @@ def decoded_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(r"""SELECT doc_id, i - 1 AS nth,
+    replace(CASE WHEN i = len(lines) THEN regexp_replace(lines[i], '\r$', '') ELSE lines[i] END, chr(13), chr(10)) AS piece
+  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM (SELECT doc_id,
+      string_split(replace(coalesce(text, ''), '. ', '.' || chr(10)), chr(10)) AS lines FROM documents))""")
+def document_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents one after the other in large files, a sentence a line, read by ranges and told apart again."""
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
+    begin = F.concat(F.col("doc_id").cast("string"), F.lit(":"))
+    lines = F.replace(F.coalesce("text", F.lit("")), F.lit(". "), F.lit(".\n"))
+    folder = new_folder(spark, "documents_text")
+    docs.select(F.concat(begin, F.replace(lines, F.lit("\n"), F.concat(F.lit("\r\n"), begin)))).write.text(folder)
+    # a file's last piece, after its last line feed, is empty
+    pieces = file_pieces(spark, folder).filter(F.col("piece") != "").select(
+        "path", "n", F.substring_index("piece", ":", 1).try_cast("bigint").alias("doc_id"),
+        F.expr("substring(piece, instr(piece, ':') + 1)").alias("piece"),
+    )
+    first = F.min("n").over(Window.partitionBy("path", "doc_id"))
+    return pieces.select("doc_id", (F.col("n") - first).alias("nth"), "piece")
+
+
 _CODE = [e for e in EXTENSION_LANGUAGES if e != ".html"]
 
 

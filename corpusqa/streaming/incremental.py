@@ -23,6 +23,26 @@ def new_files(spark: SparkSession, source_dir: str, files_per_batch: int = 1000)
     return supported_files(files)
 
 
+def each_batch(stream: DataFrame, save: Callable[[DataFrame, str], None], checkpoint: str) -> None:
+    """Give ``save`` the batches that the checkpoint has not seen, each with its name, and stop.
+
+    A name is the same when a batch is run again, and differs between streams.
+    """
+
+    def named(batch: DataFrame, batch_id: int) -> None:
+        # the id that the checkpoint gives its stream
+        about = batch.sparkSession.read.text(f"{checkpoint}/metadata").first()["value"]
+        save(batch, f"{json.loads(about)['id']}-{batch_id:06d}")
+
+    query = (
+        stream.writeStream.foreachBatch(named)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def save_new(
     stream: DataFrame,
     process: Callable[[DataFrame], DataFrame],
@@ -38,16 +58,4 @@ def save_new(
     itself, so every input gives its rows exactly once, and a stream with another
     checkpoint never meets its folders.
     """
-
-    def save(batch: DataFrame, batch_id: int) -> None:
-        # the id that the checkpoint gives its stream
-        about = batch.sparkSession.read.text(f"{checkpoint}/metadata").first()["value"]
-        save_batch(process(batch), output, run_id, f"{json.loads(about)['id']}-{batch_id:06d}")
-
-    query = (
-        stream.writeStream.foreachBatch(save)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    each_batch(stream, lambda batch, name: save_batch(process(batch), output, run_id, name), checkpoint)
