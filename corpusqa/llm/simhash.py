@@ -173,37 +173,38 @@ def _blocks(bits: int, most: int) -> list[tuple[int, int]]:
     return list(zip(cuts, cuts[1:]))
 
 
+def _signed(bits: int) -> int:
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
 def _first_keys(most: int, bits: int = 64) -> Column:
     """One key for each block: which block, and its bits."""
     keys = []
     for i, (lo, hi) in enumerate(_blocks(bits, most)):
         part = F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1))
         left = ((1 << 64) - 1) & ~(((1 << (hi - lo)) - 1) << lo)
-        signed = left - (1 << 64) if left >> 63 else left
-        keys.append(F.struct(F.lit(str(i)).alias("path"), part.alias("bits"), F.lit(signed).alias("left")))
+        keys.append(F.struct(F.lit(str(i)).alias("path"), part.alias("bits"), F.lit(_signed(left)).alias("left")))
     return F.array(*keys)
 
 
-def _next_keys(most: int):
-    """Divide a group's remaining bits into blocks, one key for each."""
+def _next_keys(keyed: DataFrame, masks: list[int], most: int) -> DataFrame:
+    """Divide a group's remaining bits into blocks, one key for each.
 
-    def divided(batches):
-        for batch in batches:
-            out = []
-            for path, bits, left, fp in zip(batch["path"], batch["bits"], batch["left"], batch["fp"]):
-                value, mask = int(fp) & (2**64 - 1), int(left) & (2**64 - 1)
-                places = [p for p in range(64) if mask >> p & 1]
-                for i, (lo, hi) in enumerate(_blocks(len(places), most)):
-                    chosen = sum(1 << p for p in places[lo:hi])
-                    rest = np.array([mask & ~chosen], np.uint64).view(np.int64)[0]
-                    # the path with the value so far names the group; the new bits are its own
-                    out.append((f"{path}:{bits}/{i}", value & chosen, rest, fp))
-            yield pd.DataFrame(
-                [(p, np.array([b], np.uint64).view(np.int64)[0], r, f) for p, b, r, f in out],
-                columns=["path", "bits", "left", "fp"],
-            )
-
-    return divided
+    What remains depends on the blocks chosen so far alone, so there are at most
+    ``(most + 1) ** rounds`` values of ``left``; their divisions are a small table.
+    """
+    cuts = []
+    for left in masks:
+        places = [p for p in range(64) if left >> p & 1]
+        for i, (lo, hi) in enumerate(_blocks(len(places), most)):
+            chosen = sum(1 << p for p in places[lo:hi])
+            cuts.append((_signed(left), str(i), _signed(chosen), _signed(left & ~chosen)))
+    blocks = keyed.sparkSession.createDataFrame(cuts, "left bigint, block string, chosen bigint, rest bigint")
+    return keyed.join(F.broadcast(blocks), "left").select(
+        # the path with the value so far names the group; the new bits are its own
+        F.concat("path", F.lit(":"), F.col("bits").cast("string"), F.lit("/"), "block").alias("path"),
+        F.col("fp").bitwiseAND(F.col("chosen")).alias("bits"), F.col("rest").alias("left"), "fp",
+    )
 
 
 def links(distinct: DataFrame, most: int = DISTANCE, group: int = GROUP) -> DataFrame:
@@ -219,7 +220,8 @@ def links(distinct: DataFrame, most: int = DISTANCE, group: int = GROUP) -> Data
             return functools.reduce(DataFrame.unionByName, parts)
         parts.append(_grouped(keyed.join(large, ["path", "bits"], "left_anti"), most))
         again = keyed.join(large, ["path", "bits"], "left_semi")
-        keyed = again.mapInPandas(_next_keys(most), keyed.schema)
+        masks = [r["left"] & (2**64 - 1) for r in large.select("left").distinct().collect()]
+        keyed = _next_keys(again, masks, most)
 
 
 def _grouped(keyed: DataFrame, most: int) -> DataFrame:
