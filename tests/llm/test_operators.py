@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import math
+import pathlib
 import re
 import zlib
 
@@ -48,7 +49,7 @@ def same(got: list[tuple], want: list[tuple]) -> None:
 
 def test_licences(spark, docs, none):
     known = licences.known_licences(spark)
-    mit = dict(licences.KNOWN[:1])["MIT"]
+    mit = next(t for n, t in licences.KNOWN if t.startswith("MIT License"))
     texts = [
         (1, mit.replace("<year> <copyright holders>", "2020 A. Person")), (2, mit.upper().replace('"', "'")),
         (3, "Some words\nreleased under the MIT licence!\n(c) 2001 me"), (4, "All rights reserved."), (5, None), (6, ""),
@@ -64,6 +65,33 @@ def test_licences(spark, docs, none):
     assert licences.scanned(none, known).count() == 0
 
 
+def test_long_licences_and_wordings(spark):
+    folder = pathlib.Path("/usr/share/common-licenses")
+    names = {
+        "Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0-Perl", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0",
+        "GFDL-1.3": "GFDL-1.3", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0",
+    }
+    texts, want = [], {}
+    for file, name in names.items():
+        if (folder / file).exists():  # reflowed and in upper case, with a line of copyright
+            words = "Copyright 2024 A. Person\n" + (folder / file).read_text()
+            texts += [(len(texts), words), (len(texts) + 1, words.upper()), (len(texts) + 2, words[: len(words) // 2])]
+            want |= {len(texts) - 3: [name], len(texts) - 2: [name], len(texts) - 1: None}
+    bsd = [t for n, t in licences.KNOWN if t.startswith("BSD 2-Clause License")]
+    lines = [
+        (bsd[1], "BSD-2-Clause"), ("This work is licensed under the MIT License.", "MIT"), ("# SPDX-License-Identifier: GPL-3.0-only", "GPL-3.0"),
+        ("Distributed under the GNU Lesser General Public Licence, v. 2.1", "LGPL-2.1"), ("Released under the Mozilla Public License, v. 2.0", "MPL-2.0"),
+        ("Licensed under nothing", None), (bsd[0].replace("source code", "code"), None),
+    ]
+    for text, name in lines:
+        want[len(texts)] = name and [name]
+        texts.append((len(texts), text))
+    got = licences.scanned(spark.createDataFrame(texts, "doc_id bigint, text string"), licences.known_licences(spark))
+    assert {r.doc_id: r.licences for r in got.collect()} == want
+    named = {n for n, _ in licences.KNOWN} | {n for n, _, _ in licences.DIGESTS}
+    assert named - {"all-rights-reserved"} == {n for n, _, _ in licences.NAMES}
+
+
 # -- 2 -------------------------------------------------------------------------------
 
 def test_network_gradient():
