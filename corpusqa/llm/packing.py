@@ -16,14 +16,21 @@ come; a null id stays null; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
+import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusqa.llm.bpe import described
+
 CAPACITY = 1024
 LINEAR, QUADRATIC = 1.0, 1.0 / 512
 #: Documents that are packed together.
@@ -31,14 +38,26 @@ GROUP = 4096
 #: Distinct words whose ids a task keeps (about 200 bytes each) before it starts anew.
 CACHE = 1_000_000
 END = 0
+#: Texts whose ids are looked up together, and their characters (one longer text is a run of its own).
+TEXTS, CHARACTERS = 512, 1 << 22
+#: What opens a word, letters (Latin and Cyrillic), and what follows them from a character of ASCII that is none.
+OPENERS = (" ", "\n")
+_LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u02af\u0400-\u0481\u048a-\u052f"
+STEM = re.compile(f"([ \n])?([{_LETTERS}]+)([\x00-@\\[-`{{-\x7f].*)?", re.S)
+#: How byte-level vocabularies spell bytes: printable ones as they are, the others from U+0100 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_OTHERS = sorted(set(range(256)).difference(_PRINTED))
+BYTES = [chr(256 + _OTHERS.index(b)) if b in _OTHERS else chr(b) for b in range(256)]
+BLANK = BYTES[32]
 
 
 class Encoder:
     """Ids of texts, encoding each distinct word once.
 
-    This vocabulary's merges never cross a single space or line feed between solid
-    characters, nor the place between a letter or digit and a full stop or comma. So
-    a text's ids are those of its words, each with the space or line feed before it.
+    The vocabulary's rule always splits before a single space or a line feed between solid
+    characters, and where letters end. So a text's ids are those of its words, each with
+    the space or line feed before it, and a word's those of its letters and of what
+    follows them: letters, the most of all, go to the vocabulary's merges straight away.
     A text for which that isn't sure (other white space next to a space, special
     strings) is encoded whole.
     """
@@ -46,85 +65,112 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        described(path)
         self.tokenizer = Tokenizer.from_file(path)
-        names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
-        # ids that open a word: with its space (as this vocabulary spells it), or its line feed
-        self.opens = {" ": np.array([n.startswith("Ġ") for n in names]), "\n": np.array([n == "Ċ" for n in names])}
-        self.marks = {m: int(self.whole([m])[0][0]) for m in ".,"}
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.int32)
+        # a key is a word, its space left out, or a space and what has nothing before it
+        self.number: defaultdict[str, int] = defaultdict()
+        self.number.default_factory = self.number.__len__
+        self.feed = self.number[" \n"]
+        self.flat = self.whole(["\n"])[0]
+        self.start, self.length = np.zeros(1, np.int64), np.array([len(self.flat)])
+        self.sure = np.ones(1, bool)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _keep(self, words: list[str], ids: np.ndarray, first: np.ndarray) -> None:
-        self.known.update(zip(words, range(len(self.start), len(self.start) + len(words))))
-        self.start = np.append(self.start, first + len(self.flat))
-        self.length = np.append(self.length, np.diff(np.append(first, len(ids))))
-        self.flat = np.append(self.flat, ids)
-
-    def _gather(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of known words, one after the other, and where each begins."""
+    def _gather(self, words: np.ndarray) -> np.ndarray:
+        """The ids of known words, one after the other."""
         length = self.length[words]
         first = np.cumsum(length) - length
-        return self.flat[np.repeat(self.start[words] - first, length) + np.arange(length.sum())], first
-
-    def _learn(self, words: set[str]) -> None:
-        marked = [w for w in words if len(w) > 1 and w[-1] in ".," and w[-2].isalnum()]
-        plain = words.difference(marked).union([w[:-1] for w in marked]).difference(self.known)
-        kinds: dict[str, list[str]] = {" ": [], "\n": []}
-        for w in plain:
-            feed = w[:1] == "\n"
-            bare = w[1:] if feed else w
-            if bare and not bare[0].isspace() and not bare[-1].isspace():
-                kinds["\n" if feed else " "].append(w)
-            else:
-                self.known[w] = -1
-        for opener, some in kinds.items():
-            for lo in range(0, len(some), 20_000):
-                part = some[lo : lo + 20_000]
-                # one text for all, cut again where words open
-                ids = self.whole([" " + " ".join(part) if opener == " " else "".join(part)])[0]
-                first = np.flatnonzero(self.opens[opener][ids])
-                if len(first) != len(part):
-                    raise ValueError("ids don't open with what parts the words")
-                self._keep(part, ids, first)
-        base = np.array([self.known[w[:-1]] for w in marked], np.int64)
-        self.known.update((w, -1) for w, n in zip(marked, base) if n < 0)
-        marked, base = [w for w, n in zip(marked, base) if n >= 0], base[base >= 0]
-        ids, first = self._gather(base)
-        ends = np.append(first[1:], len(ids))[: len(first)]
-        ids = np.insert(ids, ends, [self.marks[w[-1]] for w in marked])
-        self._keep(marked, ids, first + np.arange(len(first)))
+        return self.flat[np.repeat(self.start[words] - first, length) + np.arange(length.sum())]
+
+    def _keep(self, at: list[int] | np.ndarray, length: np.ndarray, ids: np.ndarray) -> None:
+        self.start[at] = np.cumsum(length) - length + len(self.flat)
+        self.length[at] = length
+        self.flat = np.append(self.flat, ids)
+
+    def _learn(self) -> None:
+        """Ids of the words that were numbered since the last call."""
+        plain, others, unsure = [], [], []
+        ids, sizes, texts = [], [], []
+        tailed, fed = [], []
+        number, tokenize, known = self.number, self.model.tokenize, len(self.start)
+        while known < len(number):
+            new = list(itertools.islice(reversed(number), len(number) - known))[::-1]
+            for at, key in enumerate(new, known):
+                cut = STEM.fullmatch(key)
+                opener, stem, tail = cut.groups() if cut else (key[:1] if key[:1] in OPENERS else "", None, None)
+                bare = key[1:] if opener else key
+                if not bare or bare[-1].isspace() or bare[0].isspace():
+                    unsure.append(at)
+                elif opener == "\n":
+                    fed += at, self.feed, number[" " + bare]
+                elif stem is None:
+                    others.append(at)
+                    texts.append(bare if opener else " " + bare)
+                elif tail:
+                    tailed += at, number[(opener or "") + stem], number[" " + tail]
+                else:
+                    spelled = bare if bare.isascii() else "".join(map(BYTES.__getitem__, bare.encode()))
+                    own = [t.id for t in tokenize(spelled if opener else BLANK + spelled)]
+                    plain.append(at)
+                    ids += own
+                    sizes.append(len(own))
+            known += len(new)
+        more = known - len(self.start)
+        self.start, self.length = (np.append(x, np.zeros(more, np.int64)) for x in (self.start, self.length))
+        self.sure = np.append(self.sure, np.ones(more, bool))
+        self.sure[unsure] = False
+        self._keep(plain, np.array(sizes, np.int64), np.array(ids, np.int32))
+        rest = self.whole(texts)
+        self._keep(others, np.array([len(x) for x in rest], np.int64), np.concatenate([self.flat[:0], *rest]))
+        # what follows a line feed may have a tail
+        for pairs in (tailed, fed):
+            triples = np.array(pairs, np.int64).reshape(-1, 3)
+            at, both = triples[:, 0], triples[:, 1:]
+            self.sure[at] = self.sure[both].all(axis=1)
+            self._keep(at, self.length[both].sum(axis=1), self._gather(both.ravel()))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        # a text's first word has nothing before it
-        cut = [t.replace("\n", " \n").split(" ") for t in texts]
-        words = set().union(*[c[1:] for c in cut])
-        new = words.difference(self.known)
-        if len(self.known) + len(new) > CACHE and self.known:
+        if not texts:
+            return []
+        if len(self.number) > CACHE:
             self._clear()
-            new = words
-        self._learn(new)
-        heads = self.whole([c[0] for c in cut])
-        out: list[np.ndarray | None] = []
-        for text, c, head in zip(texts, cut, heads):
-            n = np.fromiter(map(self.known.__getitem__, c[1:]), np.int64, len(c) - 1)
-            if any(s in text for s in self.special) or (len(n) and (n.min() < 0 or not c[0] or c[0][-1].isspace())):
-                out.append(None)
-            else:
-                out.append(np.concatenate([head, self._gather(n)[0]]))
-        rest = [i for i, ids in enumerate(out) if ids is None]
-        for i, ids in zip(rest, self.whole([texts[i] for i in rest]) if rest else []):
-            out[i] = ids
+        fed = pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n")
+        cut = pc.split_pattern(fed, " ")
+        words, opens = cut.flatten().dictionary_encode(), cut.offsets.to_numpy().astype(np.int64)
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))[words.indices.to_numpy()]
+        # a text's first word has nothing before it
+        numbers[opens[:-1]] = [self.number[" " + distinct[i]] for i in words.indices.to_numpy()[opens[:-1]]]
+        self._learn()
+        unsure = set((np.searchsorted(opens, np.flatnonzero(~self.sure[numbers]), "right") - 1).tolist())
+        ends = np.append(0, np.cumsum(self.length[numbers]))[opens].tolist()
+        ids = self._gather(numbers)
+        out = [ids[a:b] for a, b in zip(ends, ends[1:])]
+        rest = [i for i, t in enumerate(texts) if i in unsure or any(s in t for s in self.special)]
+        for i, own in zip(rest, self.whole([texts[i] for i in rest]) if rest else []):
+            out[i] = own
         return out
 
 
+def runs(texts: list[str], most: int = TEXTS, characters: int = CHARACTERS) -> Iterator[tuple[int, int]]:
+    """Bounds of consecutive runs of a batch's texts."""
+    lo = size = 0
+    for hi, text in enumerate(texts):
+        size += len(text)
+        if hi - lo == most or (hi > lo and size > characters):
+            yield lo, hi
+            lo, size = hi, len(text)
+    if texts:
+        yield lo, len(texts)
+
+
 def cost(n, linear: float = LINEAR, quadratic: float = QUADRATIC):
     return linear * n + quadratic * n * n
 
@@ -185,10 +231,10 @@ def packed(
         encoder, names, ids = Encoder(tokenizer), [], []
         first = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for lo in range(0, len(batch), 1024):
-                part = batch[lo : lo + 1024]
-                names += [None if pd.isna(x) else x for x in part["doc_id"]]
-                ids += [np.append(x, np.int32(END)) for x in encoder.encode(part["text"].tolist())]
+            texts = batch["text"].tolist()
+            for lo, hi in runs(texts):
+                names += [None if pd.isna(x) else x for x in batch["doc_id"][lo:hi]]
+                ids += [np.append(x, np.int32(END)) for x in encoder.encode(texts[lo:hi])]
                 while len(ids) >= group:
                     frame, first = rows(names[:group], ids[:group], first)
                     names, ids = names[group:], ids[group:]

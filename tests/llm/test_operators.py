@@ -512,6 +512,37 @@ def test_encoder_forgets(monkeypatch):
             assert got.tolist() == want.tolist()
 
 
+def test_encoder_merges_letters_once(monkeypatch):
+    encoder = packing.Encoder(queries.TOKENIZER)
+    plain, given = packing.Encoder.whole, []
+    monkeypatch.setattr(packing.Encoder, "whole", lambda self, texts: given.extend(texts) or plain(self, texts))
+    words = ["straße", "Überallher", "Привет", "thentionlya", "ÉLANS"]
+    text = " ".join([words[0], *(w + tail for w in words for tail in ("", ".", ",", "&&&", "'s", "-a b", "\n" + w))])
+    got = encoder.encode([text, text + " once"])
+    assert not any(w in t for t in given for w in words)
+    assert [x.tolist() for x in got] == [x.tolist() for x in plain(encoder, [text, text + " once"])]
+
+
+def test_encoder_on_odd_texts():
+    encoder = packing.Encoder(queries.TOKENIZER)
+    parts = [
+        "a", "it's", "I'LL", "é", "e\u0301t", "中文", "x中", "中x.", "²x", "x²", "x½y", "naïve-ly", "_a_", "a_b", "1a", "a1.5", "ªº",
+        ".", "...", "a.b,", "(x)", "\n", "\n\n", "\na", "\n(a)", "\r\n", "a\r\n", "\t", "a\tb", "a\t", "\ta", "\xa0", "a\xa0b", "a\xa0", "\u3000",
+        "<|endoftext|>", "a<|endoftext|>b", "<|endof", "😀", "x😀", "", " ", "ß", "ſ", "ĳ", "ʰ", "ʯ", "ʰx", "aʰ", "\u0483", "я\u0483", "ԯ", "Ա", "яԱ", "\x00", "a\x00b", "\x1c", "a\x1cb",
+    ]
+    texts = [a + s + b for a in parts for b in parts for s in ("", " ", "\n", "  ", " \n")]
+    texts += [" ".join(texts[i : i + 40]) for i in range(0, len(texts), 40)]
+    for lo, hi in packing.runs(texts):
+        for text, got, want in zip(texts[lo:hi], encoder.encode(texts[lo:hi]), encoder.whole(texts[lo:hi])):
+            assert got.tolist() == want.tolist(), text
+
+
+def test_runs():
+    assert list(packing.runs([])) == []
+    assert list(packing.runs(["a", "b", "c"], most=2)) == [(0, 2), (2, 3)]
+    assert list(packing.runs(["aaa", "b", "bb", "ccccc", ""], characters=4)) == [(0, 2), (2, 3), (3, 4), (4, 5)]
+
+
 # -- 10 ------------------------------------------------------------------------------
 
 def brute_fingerprint(text: str | None, shingle: int = 3) -> int:
