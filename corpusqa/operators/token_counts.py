@@ -1,25 +1,30 @@
-"""Exact byte-pair token counts, by the distinct pieces of a corpus.
+"""Exact byte-pair token counts, by the distinct pieces of a task's texts.
 
-A text is cut into pieces by the vocabulary's pattern. A piece that is an entry of the
-vocabulary is one token. Of the others, each distinct one of the whole corpus is merged once:
-its bytes, joined two by two in the order of the vocabulary's ranks until no two
-neighbours make an entry. Counts go back to the texts that hold the piece.
+A text is cut into pieces by the vocabulary's pattern, in its row. A piece that is an entry of the
+vocabulary is one token. Of the others, each distinct one is merged once in a task (again
+only if the task has met too many to remember): its bytes, joined two by two in the order of
+the vocabulary's ranks until no two neighbours make an entry. Nothing is shuffled: rows
+of texts and pieces would be many times the texts.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusqa.functions.text import col
-from corpusqa.sources.shared import written
 
 #: Entries of a vocabulary that every task may hold (some 100 MB).
 LARGEST = 1 << 20
+#: Distinct pieces whose sizes a task keeps (some 100 bytes each) before it starts anew.
+KEPT = 1_000_000
+#: Texts of an Arrow batch that are counted together.
+ROWS = 256
 
 
 def read_ranks(spark: SparkSession, path: str) -> DataFrame:
@@ -74,33 +79,32 @@ def count_tokens(
     """``docs`` with the number of tokens of each text (0 for none).
 
     ``vocabulary`` is a table ``piece binary, rank bigint`` of at most ``LARGEST`` entries;
-    every byte of the texts must be one. Equal texts are counted once.
+    every byte of the texts must be one.
     """
     entries = vocabulary.limit(LARGEST + 1).collect()
     if len(entries) > LARGEST:
         raise ValueError(f"a vocabulary of over {LARGEST} entries is too large for every task")
     ranks = {bytes(r["piece"]): r["rank"] for r in entries}
 
-    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts = [len(merged(p.encode(), ranks)) for p in batch.column("piece").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("piece"), pa.array(counts, pa.int64())], names=["piece", "size"])
-
-    key = F.unhex(F.md5(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
-    texts = docs.filter(F.length(f"`{text}`") > 0).select(key.alias("key"), F.col(f"`{text}`").alias("text"))
-    each = texts.select("key", F.explode(pieces_of("text", pattern)).alias("piece"))
-    # entries of the vocabulary are one token; repeated rows of a text are told by a count of the text
-    known = F.broadcast(vocabulary.select(F.col("piece").alias("entry")))
-    held = each.join(known, F.col("piece").cast("binary") == F.col("entry"), "left")
-    found = held.groupBy("key", F.when(F.col("entry").isNull(), F.col("piece")).alias("piece")).agg(F.count("*").alias("n"))
-    found = written(found, "text_pieces")
-    rare = found.filter(F.col("piece").isNotNull())
-    size = written(rare.select("piece").distinct().mapInArrow(sizes, "piece string, size bigint"), "piece_sizes")
-    counted = found.filter(F.col("piece").isNull()).select("key", "n").unionByName(
-        rare.join(size, "piece").groupBy("key").agg(F.sum(F.col("n") * F.col("size")).alias("n"))
-    )
-    copies = texts.groupBy("key").agg(F.count("*").alias("copies"))
-    total = counted.groupBy("key").agg(F.sum("n").alias("n")).join(copies, "key")
-    total = written(total.select(F.col("key").alias("_key"), F.expr("n div copies").alias("_n")), "text_sizes")
-    joined = docs.withColumn("_text_key", key).join(total, F.col("_text_key") == F.col("_key"), "left")
-    return joined.withColumn(into, F.coalesce("_n", F.lit(0).cast("bigint"))).drop("_text_key", "_key", "_n")
+    sizes: dict[str, int] = {}
+
+    @F.arrow_udf("bigint")
+    def counted(pieces: pa.Array) -> pa.Array:
+        out = []
+        for lo in range(0, len(pieces), ROWS):
+            some = pieces.slice(lo, ROWS)
+            flat = some.flatten().dictionary_encode()
+            distinct = flat.dictionary.to_numpy(zero_copy_only=False).tolist()
+            if len(sizes) > KEPT:
+                sizes.clear()
+            for piece in distinct:
+                if piece not in sizes:
+                    own = piece.encode()
+                    sizes[piece] = 1 if own in ranks else len(merged(own, ranks))
+            each = np.array([sizes[p] for p in distinct], np.int64)[flat.indices.to_numpy()]
+            ends = np.cumsum(pc.list_value_length(some).to_numpy())
+            out.append(np.diff(np.append(0, np.cumsum(each))[ends], prepend=0))
+        return pa.array(np.concatenate(out) if out else [], pa.int64())
+
+    pieces = pieces_of(F.coalesce(F.col(f"`{text}`"), F.lit("")), pattern)
+    return docs.withColumn(into, counted(pieces))

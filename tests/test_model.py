@@ -389,3 +389,13 @@ def test_a_vocabulary_too_large_is_refused(spark, vocabulary, monkeypatch):
     monkeypatch.setattr(token_counts, "LARGEST", 100)
     with pytest.raises(ValueError, match="too large"):
         token_counts.count_tokens(spark.range(1).withColumn("text", F.lit("a")), token_counts.read_ranks(spark, vocabulary[0]), "a")
+
+
+def test_token_counts_shuffle_nothing(spark, vocabulary, monkeypatch):
+    path, pattern, encoding, _ = vocabulary
+    monkeypatch.setattr(token_counts, "KEPT", 3)
+    texts = [None, "", "strange qqzzxv words", "strange qqzzxv", "a", "zzqqx " * 700, "a"] * 90
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id bigint, text string").coalesce(1)
+    got = token_counts.count_tokens(frame, token_counts.read_ranks(spark, path), pattern)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {r.id: r.n_tokens for r in got.collect()} == {i: len(encoding.encode_ordinary(t or "")) for i, t in enumerate(texts)}
