@@ -11,7 +11,7 @@ import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +28,9 @@ from corpusqa.functions.filetypes import language, splitter
 from corpusqa.functions.html import html_sections
 from corpusqa.functions.text import col, fold_newlines, py_strip
 
+#: Texts of an Arrow batch that are split together.
+ROWS = 64
+
 
 def _exploded(documents: DataFrame, chunks: Column, keep: Sequence[str]) -> DataFrame:
     """One row per chunk, numbered in order; blank chunks are left out first."""
@@ -165,8 +168,8 @@ def _recursive_udf(size: int, overlap: int):
     _checked(size, overlap)
     table = {lang: separators_for(lang) for lang in EXTENSION_LANGUAGES.values()}
 
-    @F.pandas_udf("array<string>")
-    def split(texts: pd.Series, languages: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<string>")
+    def split(texts: pa.Array, languages: pa.Array) -> pa.Array:
         compiled: dict[str | None, list[re.Pattern]] = {}
 
         def one(text: str | None, lang: str | None) -> list[str] | None:
@@ -177,7 +180,12 @@ def _recursive_udf(size: int, overlap: int):
             spans = recursive_spans(text, compiled[lang], size, overlap)
             return [text[a:b].strip() for a, b in spans]
 
-        return pd.Series([one(t, l) for t, l in zip(texts, languages)], dtype=object)
+        # a batch's texts are Python strings a few at a time only
+        parts = [pa.array([], pa.list_(pa.string()))]
+        for lo in range(0, len(texts), ROWS):
+            some = zip(texts.slice(lo, ROWS).to_pylist(), languages.slice(lo, ROWS).to_pylist())
+            parts.append(pa.array([one(t, l) for t, l in some], pa.list_(pa.string())))
+        return pa.concat_arrays(parts)
 
     return split
 

@@ -218,3 +218,34 @@ def test_splitters_refuse_an_overlap_that_never_ends(spark):
         for split in (char_windows, recursive_chunks, code_chunks, split_documents):
             with pytest.raises(ValueError):
                 split(df, size, overlap)
+
+
+def test_splitter_holds_few_texts_at_once(monkeypatch):
+    import pyarrow as pa
+
+    from corpusqa.operators import chunking
+
+    split = chunking._recursive_udf(10, 2).func
+    texts, langs = ["one two three four", None, "", "five six seven"] * 40, [None] * 160
+    held = []
+
+    class Texts:
+        def __init__(self, of):
+            self.of = of
+
+        def __len__(self):
+            return len(self.of)
+
+        def slice(self, lo, n):
+            return Texts(self.of.slice(lo, n))
+
+        def to_pylist(self):
+            held.append(len(self.of))
+            return self.of.to_pylist()
+
+    got = split(Texts(pa.array(texts)), Texts(pa.array(langs, pa.string()))).to_pylist()
+    assert 0 < max(held) <= chunking.ROWS < len(texts)
+    patterns = chunking._compiled(DEFAULT_SEPARATORS)
+    want = [t if t is None else [t[a:b].strip() for a, b in chunking.recursive_spans(t, patterns, 10, 2)] for t in texts]
+    assert got == want
+    assert len(split(pa.array([], pa.string()), pa.array([], pa.string()))) == 0
