@@ -73,8 +73,8 @@ class Encoder:
 
     def _clear(self) -> None:
         # a key is a word, its space left out, or a space and what has nothing before it
-        self.number: defaultdict[str, int] = defaultdict()
-        self.number.default_factory = self.number.__len__
+        # (numbers come from a counter: a dict that referred to itself would outlive its task)
+        self.number: defaultdict[str, int] = defaultdict(itertools.count().__next__)
         self.feed = self.number[" \n"]
         self.flat = self.whole(["\n"])[0]
         self.start, self.length = np.zeros(1, np.int64), np.array([len(self.flat)])

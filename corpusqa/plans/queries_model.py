@@ -27,6 +27,9 @@ from corpusqa.streaming.totals import running_totals, total_new
 
 QUERIES, SQL = {}, {}
 
+#: Batches of the documents as a stream, and rows in one of its files, about.
+BATCHES, FILE_ROWS = 3, 20_000
+
 
 def query(sql: str | None = None):
     def register(run):
@@ -291,7 +294,9 @@ def incremental_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents as a stream, mined batch by batch; a second run finds nothing new."""
     docs = table(spark, sf_dir, "documents")
     source, output, checkpoint = (new_folder(spark, n) for n in ("documents", "rows", "progress"))
-    docs.repartitionByRange(3, "doc_id").write.parquet(source)
+    # as many files as the rows ask for, dealt to three batches
+    files = max(BATCHES, -(-docs.count() // FILE_ROWS))
+    docs.repartitionByRange(files, "doc_id").write.parquet(source)
 
     def process(batch: DataFrame) -> DataFrame:
         named = batch.withColumn("path", samples.document_path(F.lit(".txt")))
@@ -299,7 +304,7 @@ def incremental_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     for _ in range(2):
         stream = (
-            spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(source)
+            spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", -(-files // BATCHES)).parquet(source)
         )
         save_new(stream, process, output, checkpoint, "check")
     schema = "path string, chunk_id int, pair_id int, instruction string, input string, output string"

@@ -208,3 +208,25 @@ def test_functions_travel_with_the_plan():
     from pyspark import cloudpickle
 
     assert "corpusqa" in cloudpickle.list_registry_pickle_by_value()
+
+
+def test_stream_files_follow_the_rows(spark, monkeypatch):
+    from corpusqa.plans import queries_model
+
+    folders = {}
+
+    def folder(session, name):
+        folders[name] = shared.new_folder(session, name)
+        return folders[name]
+
+    monkeypatch.setattr(queries_model, "new_folder", folder)
+    monkeypatch.setattr(queries_model, "FILE_ROWS", 20)
+    rows = queries_model.incremental_rows(spark, "/root/testdata/sf0.001").count()
+    docs = spark.read.parquet(folders["documents"]).groupBy(F.input_file_name()).count()
+    sizes = [r["count"] for r in docs.collect()]
+    assert sum(sizes) == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count() and max(sizes) <= 40
+    batches = spark.read.json(folders["rows"] + "/run_id=check/batch_id=*").groupBy(F.input_file_name()).count()
+    names = {r[0].split("/")[-2] for r in batches.collect()}
+    assert len(names) == queries_model.BATCHES
+    monkeypatch.undo()
+    assert rows == queries_model.incremental_rows(spark, "/root/testdata/sf0.001").count()
