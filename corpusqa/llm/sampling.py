@@ -20,6 +20,7 @@ repeated rows are rows; texts of any length are read whole; other columns are ig
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -33,57 +34,134 @@ from corpusqa.sources.shared import written
 SAMPLES = 128
 #: Samples that are drawn side by side.
 SIDE = 16
-#: Bytes of text for which terms are looked up together.
-BLOCK = 4 << 20
+#: Pairs of term and weight whose offers are bounded at once, and offers handed to their texts at once.
+STEP, HANDED = 4096, 1 << 20
+#: Words for which terms are looked up together.
+BLOCK = 1 << 20
+#: Offers that a text expects below its limit: the least cost of one in e^REACH samples lies above.
+REACH = 6.0
+#: Texts with fewer terms, on average, have all their offers worked out.
+FEW = 32
 
 
-def _unit(x: np.ndarray) -> np.ndarray:
-    """The lower 32 bits as a number above 0 and up to 1."""
-    return ((x & np.uint64(0xFFFFFFFF)).astype(np.float32) + np.float32(0.5)) * np.float32(2**-32)
+def _units(terms: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Two numbers above 0 and up to 1 for each term in each draw, multiplied."""
+    halves = mixed(terms ^ keys).view(np.uint32).astype(np.float32)
+    halves += np.float32(0.5)
+    halves *= np.float32(2**-32)
+    return halves[..., 0::2] * halves[..., 1::2]
 
 
-def _offers(terms: np.ndarray, weights: np.ndarray, draws: np.ndarray) -> np.ndarray:
-    """Cost and sample of each weighted term in each draw, as one sortable number."""
-    one = mixed(terms[:, None] ^ mixed(draws * np.uint64(3)))
-    two = mixed(terms[:, None] ^ mixed(draws * np.uint64(3) + np.uint64(1)))
-    three = mixed(terms[:, None] ^ mixed(draws * np.uint64(3) + np.uint64(2)))
+def _ordered(cost: np.ndarray) -> np.ndarray:
+    """32-bit numbers in the order of the costs."""
+    bits = cost.astype(np.float32).view(np.uint32)
+    return np.where(bits >> np.uint32(31), ~bits, bits | np.uint32(1 << 31))
+
+
+def _offers(weights: np.ndarray, r: np.ndarray, c: np.ndarray, three: np.ndarray) -> np.ndarray:
+    """Cost and sample of weighted terms, each in its draw, as one sortable number.
+
+    ``r`` and ``c`` come as e^-r and e^-c, ``three`` is what b is made of.
+    """
     half = np.uint64(32)
-    r = np.maximum(-np.log(_unit(one) * _unit(one >> half)), np.float32(1e-6))
-    c = np.maximum(-np.log(_unit(two) * _unit(two >> half)), np.float32(1e-6))
-    b = _unit(three)
-    level = np.floor(np.log(weights.astype(np.float32))[:, None] / r + b)
-    cost = (np.log(c) - r * (level - b + 1)).astype(np.float32)
-    bits = cost.view(np.uint32)
-    bits = np.where(bits >> 31, ~bits, bits | np.uint32(1 << 31))  # in the order of the numbers
+    r = np.maximum(-np.log(r), np.float32(1e-6))
+    c = np.maximum(-np.log(c), np.float32(1e-6))
+    b = ((three & np.uint64(0xFFFFFFFF)).astype(np.float32) + np.float32(0.5)) * np.float32(2**-32)
+    level = np.floor(np.log(weights.astype(np.float32)) / r + b)
+    cost = _ordered(np.log(c) - r * (level - b + 1))
     sample = mixed(three ^ level.astype(np.int64).view(np.uint64)) >> half
-    return (bits.astype(np.uint64) << half) | sample
+    return (cost.astype(np.uint64) << half) | sample
 
 
-def signatures(texts: list[str | None], samples: int = SAMPLES) -> np.ndarray:
-    """``[texts, samples]`` 16-bit samples; zeros for a text without words."""
-    parts = [np.zeros((0, samples), np.uint16)]
-    for _, piece in pieces(texts, BLOCK):
-        words = Words(piece, ALNUM, True)
-        terms, number = np.unique(words.hashes(), return_inverse=True)
-        text = np.repeat(np.arange(len(piece)), np.diff(words.first))
-        of_text, weight = np.unique(text * (len(terms) + 1) + number.reshape(-1), return_counts=True)
-        text, term = np.divmod(of_text, len(terms) + 1)
-        most = int(weight.max(initial=0)) + 1
-        pair, offer = np.unique(term * most + weight, return_inverse=True)
-        offer = offer.reshape(-1)
-        filled, first = np.unique(text, return_index=True)
-        out = np.zeros((len(piece), samples), np.uint16)
-        for lo in range(0, samples if len(filled) else 0, SIDE):
-            draws = np.arange(lo, min(lo + SIDE, samples), dtype=np.uint64)
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each range, one range after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _in_parts(size: np.ndarray) -> Iterator[slice]:
+    """Consecutive ranges of about ``HANDED`` numbers together."""
+    cut = (np.flatnonzero(np.diff(np.cumsum(size) // HANDED)) + 1).tolist()
+    for a, b in zip([0, *cut], [*cut, len(size)] if len(size) else []):
+        yield slice(a, b)
+
+
+def _drawn(terms: np.ndarray, counts: np.ndarray, samples: int) -> np.ndarray:
+    """Samples of texts given by their words' hashes, one text after the other; ``counts`` has their numbers.
+
+    A text of W words expects REACH offers below a cost of ln(REACH / W). Offers
+    that may be below that of a text which makes them are worked out, once for all
+    texts with that term and weight. Where a text gets none below its own limit, all
+    its offers for that sample are worked out.
+    """
+    out = np.zeros((len(counts), samples), np.uint16)
+    terms, number = np.unique(terms, return_inverse=True)
+    text = np.repeat(np.arange(len(counts)), counts)
+    of_text, weight = np.unique(text * (len(terms) + 1) + number.reshape(-1), return_counts=True)
+    text, term = np.divmod(of_text, len(terms) + 1)
+    most = int(weight.max(initial=0)) + 1
+    filled, first, size = np.unique(text, return_index=True, return_counts=True)
+    row = np.repeat(np.arange(len(filled)), size)
+    pair = term * most + weight
+    order = np.argsort(pair)
+    start = np.flatnonzero(np.diff(pair[order], prepend=-1))
+    spread = np.diff(start, append=len(order))
+    owner, offer = row[order], np.empty(len(order), np.int64)
+    offer[order] = np.repeat(np.arange(len(start)), spread)
+    hashes, weights = terms[term[order[start]]], weight[order[start]]
+    reach = REACH / counts[filled]
+    widest = np.maximum.reduceat(reach[owner], start) if len(start) else reach
+    limit, pair_limit = _ordered(np.log(reach)), _ordered(np.log(widest))
+    bound = (widest * weights * 1.001).astype(np.float32)[:, None]  # more than rounding may take away
+    half, one = np.uint64(32), np.float32(1)
+    for lo in range(0, samples if len(filled) else 0, SIDE):
+        key = mixed(np.arange(3 * lo, 3 * min(lo + SIDE, samples), dtype=np.uint64)).reshape(-1, 3).T
+        side = key.shape[1]
+        if len(row) < FEW * len(filled):  # nearly all offers would be below some limit
             table = np.concatenate([
-                _offers(terms[pair[a : a + 4096] // most], pair[a : a + 4096] % most, draws)
-                for a in range(0, len(pair), 4096)
+                _offers(weights[a : a + STEP, None], _units(h, key[0]), _units(h, key[1]), mixed(h ^ key[2]))
+                for a in range(0, len(start), STEP) for h in [hashes[a : a + STEP, None]]
             ])
             for a in range(0, len(filled), 256):  # texts whose offers are compared at once
                 end = first[a + 256] if a + 256 < len(filled) else len(offer)
                 least = np.minimum.reduceat(table[offer[first[a] : end]], first[a : a + 256] - first[a], axis=0)
                 out[filled[a : a + 256], lo : lo + SIDE] = least % np.uint64(65535) + np.uint64(1)
-        parts.append(out)
+            continue
+        least = np.full(len(filled) * side, np.uint64(2**64 - 1))
+        for a in range(0, len(start), STEP):
+            r, c = (_units(hashes[a : a + STEP, None], key[i]) for i in (0, 1))
+            # a level's t is at most ln w / r + b, so e^cost is at least c e^-r / w, and c = -ln u at least 2 (1 - u) / (1 + u)
+            p, d = np.nonzero((one - c) * (r + r) < (one + c) * bound[a : a + STEP])
+            r, c, p = r[p, d], c[p, d], p + a
+            made = _offers(weights[p], r, c, mixed(hashes[p] ^ key[2][d]))
+            low = made >> half < pair_limit[p]
+            p, d, made = p[low], d[low], made[low]
+            for x in _in_parts(spread[p]):
+                n = spread[p[x]]
+                at = owner[_ranges(start[p[x]], n)] * side + np.repeat(d[x], n)
+                np.minimum.at(least, at, np.repeat(made[x], n))
+        above = np.flatnonzero(least >> half >= np.repeat(limit, side))
+        t, d = np.divmod(above, side)
+        for x in _in_parts(size[t]):
+            n = size[t[x]]
+            p, k = offer[_ranges(first[t[x]], n)], key[:, np.repeat(d[x], n)]
+            term = hashes[p]
+            made = _offers(weights[p], _units(term, k[0]), _units(term, k[1]), mixed(term ^ k[2]))
+            least[above[x]] = np.minimum.reduceat(made, np.cumsum(n) - n)
+        out[filled, lo : lo + SIDE] = (least % np.uint64(65535) + np.uint64(1)).reshape(-1, side)
+    return out
+
+
+def signatures(texts: list[str | None], samples: int = SAMPLES) -> np.ndarray:
+    """``[texts, samples]`` 16-bit samples; zeros for a text without words."""
+    parts, hashes, counts = [np.zeros((0, samples), np.uint16)], [], []
+    for at, piece in pieces(texts):
+        words = Words(piece, ALNUM, True)
+        hashes.append(words.hashes())
+        counts.append(np.diff(words.first))
+        if sum(map(len, hashes)) >= BLOCK or at + len(piece) == len(texts):
+            parts.append(_drawn(np.concatenate(hashes), np.concatenate(counts), samples))
+            hashes, counts = [], []
     return np.concatenate(parts)
 
 
@@ -108,8 +186,9 @@ _COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerp
 def _compared(ids: list, texts: list[str], samples: int) -> pd.DataFrame:
     """Each text but the last against its edited form and the next text."""
     changed = [edited(a, b) for a, b in zip(texts, texts[1:])]
-    both = signatures([*texts, *changed], samples)
-    own, new = both[: len(texts)], both[len(texts) :]
+    # a text and its edited form share most of their terms
+    both = signatures([t for pair in zip(texts, [*changed, None]) for t in pair], samples)
+    own, new = both[::2], both[1:-1:2]
     return pd.DataFrame({
         "doc_id": pd.Series(ids[:-1], dtype=object), "n_chars": [len(t) for t in texts[:-1]],
         "edited_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).digest() for t in changed],

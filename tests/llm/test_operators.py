@@ -368,6 +368,63 @@ def test_sampling_estimates_jaccard():
     assert abs(np.mean(error)) < 0.02 and np.abs(error).max() < 0.1
 
 
+def plain_signature(text, samples):
+    """Term by term, draw by draw."""
+    mask, f = 2**64 - 1, np.float32
+
+    def mixed(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & mask
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & mask
+        return x ^ (x >> 31)
+
+    def unit(x):
+        return (f(x & 0xFFFFFFFF) + f(0.5)) * f(2**-32)
+
+    weights = collections.Counter(ALNUM_WORD.findall(text.translate(LOWER)))
+    out = []
+    for draw in range(samples if weights else 0):
+        offers = []
+        for word, weight in weights.items():
+            term = int(Words([word.encode()], ALNUM, True).hashes()[0])
+            one, two, three = (mixed(term ^ mixed(3 * draw + i)) for i in range(3))
+            r, c = (np.maximum(-np.log(unit(x) * unit(x >> 32)), f(1e-6)) for x in (one, two))
+            level = np.floor(np.log(f(weight)) / r + unit(three))
+            cost = np.log(c) - r * (level - unit(three) + f(1))
+            offers.append((cost, mixed(three ^ int(level)) >> 32))
+        cost, sample = min(offers)
+        bits = int(cost.view(np.uint32))
+        order = bits ^ mask >> 32 if bits >> 31 else bits | 1 << 31
+        out.append((order << 32 | sample) % 65535 + 1)
+    return out or [0] * samples
+
+
+@pytest.mark.parametrize("settings", [{}, {"FEW": 0}, {"FEW": 0, "REACH": 0.2}, {"FEW": 0, "REACH": 60.0, "HANDED": 50, "STEP": 7, "BLOCK": 300}, {"FEW": 10**9}])
+def test_sampling_draws_as_term_by_term(settings, monkeypatch):
+    for name, value in settings.items():
+        monkeypatch.setattr(sampling, name, value)
+    rng = __import__("random").Random(4)
+    texts = [odd.sentence(rng, n) for n in (1, 2, 5, 30, 60, 150)] + ["", "ab " * 400, "?!", "日本語 ab Ab", None]
+    texts += [texts[4], sampling.edited(texts[5], texts[4])]
+    got = sampling.signatures(texts, 20)
+    assert got.tolist() == [plain_signature(t or "", 20) for t in texts]
+
+
+def test_sampling_works_out_few_offers(monkeypatch):
+    worked, offers = [], sampling._offers
+
+    def counted(*args):
+        made = offers(*args)
+        worked.append(made.size)
+        return made
+
+    monkeypatch.setattr(sampling, "_offers", counted)
+    rng = __import__("random").Random(6)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.5)) % 10**9}" for _ in range(400)) for _ in range(40)]
+    sampling._compared(list(range(40)), texts, 128)
+    terms = {(w, n) for t in texts for w, n in collections.Counter(t.split()).items()}
+    assert sum(worked) < 0.25 * 128 * len(terms)  # all of them once, before
+
+
 def test_sampling_neighbours(docs, none, spark):
     order = sorted(
         TEXTS, key=lambda r: (r[0] is None, -(r[0] or 0), spark.range(1).select(F.xxhash64(F.lit(r[1] or ""))).first()[0] if r[0] in (None, 2, 10) else 0)
